@@ -60,4 +60,4 @@ def first_text(html: Column, tag: str, token: str) -> Column:
 def links(html: Column) -> Column:
     """Distinct link targets of a page as written, surrounding blanks removed."""
     targets = attributes(start_tags(html, "a|area"), "href")
-    return F.array_distinct(F.transform(targets, F.trim))
+    return F.array_distinct(F.transform(targets, lambda v: F.regexp_replace(v, r"^\s+|\s+$", "")))

@@ -232,10 +232,11 @@ def year_allow_list(spark, sf_dir):
 
 @query
 def recent_range(spark, sf_dir):
-    """The result rows of the last half hour before the newest one."""
-    lines = jobs.ads_by_city(tables.ads(spark, sf_dir)).withColumnRenamed("window_end", "ts")
-    now = lines.agg(F.max("ts")).scalar()
-    return rows.recent(lines, now).select("city", "num_ads", "ts")
+    """The result rows of the last half hour before the newest one, from the ads these rows count."""
+    ads = tables.ads(spark, sf_dir)
+    newest = rows.with_event_time(_known(ads)).agg(F.max("ts").alias("ts"))
+    now = windows.assign(newest, jobs.SLIDING_SIZE, jobs.SLIDING_STEP).agg(F.max("window_end")).scalar()
+    return jobs.recent_ads_by_city(ads, now).select("city", "num_ads", F.col("window_end").alias("ts"))
 
 
 # --- counts and windows ------------------------------------------------------------------------
@@ -369,7 +370,7 @@ def to_epoch_millis(spark, sf_dir):
 @query
 def from_epoch_millis(spark, sf_dir):
     """Event times with their fractions, which the conversion cuts off."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema(tables.EVENT).parquet(f"{sf_dir}/events.parquet")
     millis = events.select("event_id", times.to_epoch_millis(F.col("ts")).alias("ts_ms"))
     return millis.withColumn("ts", times.from_epoch_millis(F.col("ts_ms")))
 

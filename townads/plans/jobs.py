@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from townads.functions import wire
+from townads.functions.times import seconds
 from townads.operators import counts, rows, windows
 from townads.schema import SLIDING_TOPIC, TUMBLING_TOPIC
 from townads.session import LATENESS
@@ -47,6 +48,16 @@ def ads_by_city(ads: DataFrame, lateness: str = LATENESS, shared: bool | None =
     return found.select("city", "num_ads", *_SLIDING_BOUNDS)
 
 
+def recent_ads_by_city(ads: DataFrame, now: Column, span: str = "30 minutes") -> DataFrame:
+    """``ads_by_city`` for the windows that ended in the ``span`` before ``now``. Batch only.
+
+    Ads too old to be in such a window are dropped before they are counted.
+    """
+    reach = f"{seconds(span) + seconds(SLIDING_SIZE)} seconds"
+    counted = rows.recent(rows.with_event_time(ads), now, reach)
+    return rows.recent(ads_by_city(counted.drop("ts")), now, span, "window_end")
+
+
 def ads_by_city_sql(ads: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """``ads_by_city`` written as SQL text."""
     return ads.sparkSession.sql(

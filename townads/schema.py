@@ -14,6 +14,7 @@ AD_MESSAGE = _strings("ad_id", "city", "posted_date", "scraped_time", "spider")
 # The typed record has one derived member besides the message fields; it is also accepted as input.
 AD_RECORD = _strings("city", "ad_id", "posted_date", "scraped_time", "spider", "posted_year")
 AD_PAIR = _strings("ad_id", "city")
+PAGE = T.StructType([T.StructField("page_id", T.LongType()), *_strings("url", "html").fields])
 METRIC_LABELS = _strings("city", "num_ads", "posted_year")
 
 # Topic names of the input and of the two result streams.

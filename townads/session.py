@@ -21,6 +21,7 @@ def build_session(app: str = "townads", master: str | None = None, **extra: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         .config("spark.sql.streaming.minBatchesToRetain", BATCHES_TO_RETAIN)
     )
     if master:

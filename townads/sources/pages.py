@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from townads.schema import PAGE
+
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select("page_id", "url", "html")
+    return spark.read.schema(PAGE).parquet(path)

@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from townads.functions import times, wire
 from townads.sources.pages import read_pages
 
+EVENT = "event_id long, ts timestamp_ntz, user_id long, event_type string"
 SITE = "https://board.example.com"
 
 
 def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ad per event: ad_id, city, posted_date, scraped_time, spider."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema(EVENT).parquet(f"{sf_dir}/events.parquet")
     n = F.col("event_id")
     city = (
         F.when(n % 17 == 0, F.lit(None).cast("string"))

@@ -18,11 +18,9 @@ SPANS = 3
 
 def span_of(ads: DataFrame, spans: int = SPANS) -> Column:
     """Which of ``spans`` equally long stretches of time an ad was scraped in, from 0."""
-    first, last = ads.agg(
-        F.min(times.to_epoch_millis(times.event_time(F.col("scraped_time")))),
-        F.max(times.to_epoch_millis(times.event_time(F.col("scraped_time")))),
-    ).first()
-    millis = times.to_epoch_millis(times.event_time(F.col("scraped_time")))
+    ts = times.event_time(F.col("scraped_time"))
+    first, last = ads.agg(*(times.to_epoch_millis(f(ts)) for f in (F.min, F.max))).first()
+    millis = times.to_epoch_millis(ts)
     return F.floor((millis - F.lit(first)) * F.lit(spans) / F.lit(last - first + 1)).cast("int")
 
 

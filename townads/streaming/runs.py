@@ -21,9 +21,19 @@ from townads.sources import decode
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def ads_from_lines(lines: DataFrame) -> DataFrame:
-    """Good ads of a stream of messages."""
-    return decode.good(decode.check_times(decode.decode_rows(lines), posting_date=False))
+def decoded(lines: DataFrame, typed: bool = False) -> DataFrame:
+    """Messages with their ad columns and the reason why they cannot be used, if any.
+
+    ``typed`` reads them the way the tumbling job does, which also needs a posting year.
+    """
+    read = decode.decode_typed if typed else decode.decode_rows
+    return decode.check_times(read(lines), posting_date=typed)
+
+
+def ads_from_lines(lines: DataFrame, typed: bool = False, strict: bool = False) -> DataFrame:
+    """Good ads of a stream of messages; ``strict`` fails on the first other message."""
+    rows = decoded(lines, typed)
+    return decode.strict(rows) if strict else decode.good(rows)
 
 
 def _writer(result: DataFrame, checkpoint: str, mode: str, every: str | None):
@@ -92,17 +102,16 @@ def send_to_topic(options: dict) -> BatchWriter:
     return write
 
 
-def set_apart(good: BatchWriter, bad_path: str, posting_date: bool = True) -> BatchWriter:
+def set_apart(good: BatchWriter, bad_path: str, typed: bool = True) -> BatchWriter:
     """Good ads go on to ``good``, bad messages with their reason to a side table."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode.check_times(decode.decode_rows(batch), posting_date)
-        decoded.persist()
+        rows = decoded(batch, typed).persist()
         try:
-            good(decode.good(decoded), batch_id)
-            decode.quarantined(decoded).write.mode("overwrite").parquet(batch_folder(bad_path, batch_id))
+            good(decode.good(rows), batch_id)
+            decode.quarantined(rows).write.mode("overwrite").parquet(batch_folder(bad_path, batch_id))
         finally:
-            decoded.unpersist()
+            rows.unpersist()
 
     return write
 
