@@ -121,6 +121,12 @@ def sliding_messages(result: DataFrame) -> DataFrame:
     return result.select(wire.to_line(*_sliding_fields()).alias("value"))
 
 
+def windowed_text(result: DataFrame) -> DataFrame:
+    """Windowed counts with their bounds as zoned text."""
+    bounds = [wire.wire_time(F.col(c), zoned=True).alias(c) for c in ("w_start", "w_end")]
+    return result.select("city", "num_ads", *bounds)
+
+
 def _tumbling_fields() -> list:
     times = [wire.wire_time(F.col(c)).alias(c) for c in ("w_start", "w_end")]
     return [F.col("city"), F.col("num_ads"), F.col("posted_year"), *times]
