@@ -20,7 +20,7 @@ from townads.session import build_session
 BATCH = [
     "tumbling_city_year_count",
     "sliding_city_count",
-    "sliding_city_count_direct",
+    "sliding_city_count_panes",
     "sliding_city_count_sql",
     "sliding_uneven_count",
     "session_city_count",

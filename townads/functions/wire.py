@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def wire_time(ts: Column, zoned: bool = False) -> Column:
     """Result time as ``yyyy-MM-dd HH:mm:ss`` plus the milliseconds if any; ``Z`` marks UTC."""
-    text = F.regexp_replace(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS"), r"\.?0*$", "")
+    text = F.date_trunc("MILLISECOND", ts).cast("string")
     return F.concat(text, F.lit("Z")) if zoned else text
 
 

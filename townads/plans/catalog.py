@@ -105,7 +105,7 @@ def quarantine_bad_records(spark, sf_dir):
 
 @query
 def read_result_topics(spark, sf_dir):
-    return jobs.result_topics(tables.ads(spark, sf_dir))
+    return topics.with_labels(jobs.result_topics(tables.ads(spark, sf_dir)))
 
 
 @query
@@ -220,7 +220,8 @@ def is_ad_page(spark, sf_dir):
 @query
 def unwrap_numeric(spark, sf_dir):
     """Numbers among labels of which some carry a stray sign."""
-    lines = jobs.result_topics(tables.ads(spark, sf_dir)).filter(F.col("topic") == TUMBLING_TOPIC)
+    records = jobs.result_topics(tables.ads(spark, sf_dir))
+    lines = topics.with_labels(records).filter(F.col("topic") == TUMBLING_TOPIC)
     stray = F.when(F.minute("ts") % 15 == 0, F.concat("num_ads", F.lit("?"))).otherwise(F.col("num_ads"))
     return rows.unwrapped(lines.withColumn("num_ads", stray)).select("city", "posted_year", "ts", "num_ads")
 
@@ -264,10 +265,16 @@ def sliding_city_count(spark, sf_dir):
 
 @query
 def sliding_city_count_direct(spark, sf_dir):
-    """The same result with every row copied into its windows before counting."""
+    """The same result, every row copied into its windows before counting."""
     return jobs.ads_by_city(tables.ads(spark, sf_dir), shared=False)
 
 
+@query
+def sliding_city_count_panes(spark, sf_dir):
+    """The same result, from counts of panes."""
+    return jobs.ads_by_city(tables.ads(spark, sf_dir), shared=True)
+
+
 @query
 def sliding_city_count_sql(spark, sf_dir):
     return jobs.ads_by_city_sql(tables.ads(spark, sf_dir))
@@ -308,7 +315,7 @@ def count_changelog(spark, sf_dir):
 
 
 def _tumbling_samples(spark, sf_dir):
-    return jobs.samples(jobs.result_topics(tables.ads(spark, sf_dir)), TUMBLING_TOPIC)
+    return topics.samples(jobs.result_topics(tables.ads(spark, sf_dir)), TUMBLING_TOPIC)
 
 
 @query
@@ -333,7 +340,7 @@ def sum_city_year_hour(spark, sf_dir):
 
 @query
 def last_over_time_city(spark, sf_dir):
-    lines = jobs.samples(jobs.result_topics(tables.ads(spark, sf_dir)), SLIDING_TOPIC)
+    lines = topics.samples(jobs.result_topics(tables.ads(spark, sf_dir)), SLIDING_TOPIC)
     return series.last_over_time(lines, ["city"], "1 minute", "30 seconds")
 
 
@@ -490,8 +497,8 @@ def stream_late_rows(spark, sf_dir):
 
 @query
 def stream_restart(spark, sf_dir):
-    """Hourly counts of a query that is stopped and started again five times on the way."""
-    parts = replay.flushed(replay.in_order(tables.ads(spark, sf_dir), spans=6))
+    """Hourly counts of a query that is stopped and started again four times on the way."""
+    parts = replay.flushed(replay.in_order(tables.ads(spark, sf_dir), spans=5))
     return _stream_table(spark, parts, jobs.city_windows, _COUNT_ROW)
 
 

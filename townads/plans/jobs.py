@@ -138,14 +138,9 @@ def _sliding_fields() -> list:
 
 
 def result_topics(ads: DataFrame) -> DataFrame:
-    """Both result streams as labelled metric lines, timed by the end of their window."""
+    """Records of both result streams, timed by the end of their window."""
     tumbling = topics.as_topic(
         ads_by_city_and_year(ads), TUMBLING_TOPIC, _tumbling_fields(), F.col("w_end")
     )
     sliding = topics.as_topic(ads_by_city(ads), SLIDING_TOPIC, _sliding_fields(), F.col("window_end"))
-    return topics.with_labels(tumbling.unionByName(sliding))
-
-
-def samples(records: DataFrame, topic: str) -> DataFrame:
-    """Metric lines of one topic with ``num_ads`` as a number."""
-    return rows.unwrapped(records.filter(F.col("topic") == topic))
+    return tumbling.unionByName(sliding)

@@ -274,6 +274,7 @@ WHERE w_end > (SELECT max(w_end) FROM sliding) - INTERVAL 30 MINUTE""",
     "tumbling_city_year_count": _TUMBLING_RESULT,
     "sliding_city_count": _SLIDING_RESULT,
     "sliding_city_count_direct": _SLIDING_RESULT,
+    "sliding_city_count_panes": _SLIDING_RESULT,
     "sliding_city_count_sql": _SLIDING_RESULT,
     "sliding_uneven_count": _UNEVEN_RESULT,
     "assign_windows": f"""WITH {_ADS}

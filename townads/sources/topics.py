@@ -70,3 +70,15 @@ def with_labels(records: DataFrame, group: str | None = None) -> DataFrame:
     labels = [F.col(f"_l.{n}").alias(n) for n in METRIC_LABELS.fieldNames()]
     extra = [F.lit(group).alias("group")] if group else []
     return parsed.select(*kept, *extra, *labels, "ts")
+
+
+def samples(records: DataFrame, topic: str) -> DataFrame:
+    """Lines of one topic with ``num_ads`` as a number; lines where it is none are dropped.
+
+    The same as selecting and unwrapping ``with_labels``, but a generator parses each line once
+    where a filter on a parsed label would be pushed down and parse it again.
+    """
+    parsed = F.array(F.from_json("value", METRIC_LABELS))
+    usable = F.filter(parsed, lambda l: l.num_ads.try_cast("double").isNotNull())
+    lines = records.filter(F.col("topic") == topic).select("topic", "ts", F.inline(usable))
+    return lines.withColumn("num_ads", F.col("num_ads").try_cast("double"))

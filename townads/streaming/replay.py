@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,5 +72,23 @@ def replay_lines(
     inbox = f"{folder}/inbox"
     for part in parts:
         part.select("value").write.mode("append").text(inbox)
-        start(read_lines(spark, inbox), folder).awaitTermination()
+        with _partition_per_core(spark):
+            query = start(read_lines(spark, inbox), folder)
+        query.awaitTermination()
     return folder
+
+
+@contextmanager
+def _partition_per_core(spark: SparkSession):
+    """Streams started inside keep their state in at most as many partitions as tasks run at once.
+
+    Each partition commits its state in each batch, which for a replay of a few batches would cost
+    more than the counting. A stream copies its settings when it starts.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
