@@ -20,8 +20,3 @@ def to_line(*fields: Column) -> Column:
 def change_line(op: Column, *fields: Column) -> Column:
     """Change record: the row under ``data`` and the kind of change under ``type``."""
     return to_line(F.array(F.struct(*fields)).alias("data"), op.alias("type"))
-
-
-def label(value: Column, name: str) -> Column:
-    """A top-level member of a JSON object as text; NULL when absent or not JSON."""
-    return F.get_json_object(value, f"$.{name}")

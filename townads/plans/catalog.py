@@ -7,13 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from townads.functions import times, urls, wire
+from townads.functions import times, urls
 from townads.operators import changes, crawl, rows, series, windows
 from townads.plans import jobs
 from townads.schema import (
     AD_ITEM,
     AD_MESSAGE,
-    METRIC_LABELS,
     SLIDING_TOPIC,
     TUMBLING_TOPIC,
 )
@@ -110,8 +109,7 @@ def read_result_topics(spark, sf_dir):
 
 @query
 def json_labels(spark, sf_dir):
-    lines = jobs.tumbling_messages(jobs.ads_by_city_and_year(tables.ads(spark, sf_dir)))
-    return lines.select(*(wire.label(F.col("value"), n).alias(n) for n in METRIC_LABELS.fieldNames()))
+    return topics.labels(encode_json(spark, sf_dir))
 
 
 @query

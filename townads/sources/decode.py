@@ -25,7 +25,7 @@ def decode_typed(messages: DataFrame, value: str = "value") -> DataFrame:
     object and messages with a field the record does not have get a reason.
     """
     names = AD_RECORD.fieldNames()
-    parsed = messages.withColumn("_m", F.from_json(F.col(value), _MAP))
+    parsed = messages.select(value, _once(F.from_json(F.col(value), _MAP), "_m"))
     members = F.col("_m")
     extra = F.array_except(F.map_keys(members), F.array(*(F.lit(n) for n in names)))
     reason = F.when(members.isNull(), F.lit(BAD_JSON)).when(F.size(extra) > 0, F.lit(UNKNOWN_FIELD))
@@ -33,6 +33,15 @@ def decode_typed(messages: DataFrame, value: str = "value") -> DataFrame:
     return parsed.select(value, *fields, reason.alias("reason"))
 
 
+def _once(parsed: Column, name: str) -> Column:
+    """``parsed`` as a generated column.
+
+    Filters on a generated column stay above the generator, whereas filters on a computed one are
+    pushed down with a copy of the computation, here the parsing.
+    """
+    return F.inline(F.array(F.struct(parsed.alias(name))))
+
+
 def _present(members: Column, name: str) -> Column:
     return F.when(F.map_contains_key(members, name), F.try_element_at(members, F.lit(name))).when(
         members.isNotNull(), F.lit("")
@@ -43,7 +52,7 @@ def decode_rows(messages: DataFrame, value: str = "value") -> DataFrame:
     """Messages read by a declared table: unknown fields ignored, missing ones NULL, plus ``reason``."""
     schema = T.StructType(AD_MESSAGE.fields + [T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value), schema, {"columnNameOfCorruptRecord": _CORRUPT})
-    rows = messages.select(value, parsed.alias("_s"))
+    rows = messages.select(value, _once(parsed, "_s"))
     bad = F.col("_s").isNull() | F.col(f"_s.{_CORRUPT}").isNotNull()
     return rows.select(
         value,

@@ -63,6 +63,12 @@ def as_topic(rows: DataFrame, topic: str, fields: list[Column], ts: Column) -> D
     )
 
 
+def labels(lines: DataFrame) -> DataFrame:
+    """Only the labels of JSON lines, as text; NULL when absent."""
+    names = METRIC_LABELS.fieldNames()
+    return lines.select(F.json_tuple("value", *names).alias(*names))
+
+
 def with_labels(records: DataFrame, group: str | None = None) -> DataFrame:
     """Topic records as labelled metric lines; every label is text."""
     parsed = records.withColumn("_l", F.from_json("value", METRIC_LABELS))
