@@ -55,6 +55,14 @@ def test_years(spark):
         rows.with_valid_year(df, strict=True).collect()
 
 
+def test_ad_without_a_time(spark):
+    df = ads(spark, ("1", "A", "bad"), ("2", "A", "2024-02-01 10:00:00"))
+    for job in (jobs.ads_by_city_and_year, jobs.ads_by_city):
+        assert {r.num_ads for r in job(df).collect()} == {1}
+        with pytest.raises(Exception, match="no time in ad 1"):
+            job(df, strict=True).collect()
+
+
 def test_not_null(spark):
     df = spark.createDataFrame([("a", "1"), (None, "2"), ("b", None)], "city string, n string")
     assert plain(rows.not_null(df, ["city", "n"])) == [("a", "1")]

@@ -260,6 +260,13 @@ def test_file_jobs(spark, tmp_path, name):
         assert all(set(d) == {"city", "num_ads", "w_start", "w_end"} for d in data)
 
 
+@pytest.mark.parametrize("name", list(files.FILE_JOBS))
+def test_file_jobs_fail_on_a_bad_line(spark, tmp_path, name):
+    (tmp_path / "items.jsonl").write_text(line("1", "A", "10:00:10") + "\noops\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.run(spark, name, f"{tmp_path}/items.jsonl", f"{tmp_path}/out")
+
+
 def test_arguments():
     args = cli.parser().parse_args(["tumbling", "--servers", "b:1", "--checkpoint", "/c"])
     assert (args.source, args.target, args.strict) == ("scraped-ads", "ads-by-city-and-year-tmbl-win", False)

@@ -9,9 +9,17 @@ from townads.functions import times
 from townads.schema import CHART_SERIES
 
 
-def with_event_time(ads: DataFrame, source: str = "scraped_time", zoned: bool = False) -> DataFrame:
-    """Adds ``ts``. Batch plans keep it zone-less; watermarks need the zoned form."""
+def with_event_time(
+    ads: DataFrame, source: str = "scraped_time", zoned: bool = False, strict: bool = False
+) -> DataFrame:
+    """Adds ``ts``. Batch plans keep it zone-less; watermarks need the zoned form.
+
+    An ad without a readable time gets NULL and falls in no window; ``strict`` fails the job.
+    """
     ts = times.event_time(F.col(source))
+    if strict:
+        failure = F.raise_error(F.concat(F.lit("no time in ad "), F.coalesce("ad_id", F.lit("?"))))
+        ts = F.coalesce(ts, failure.cast("timestamp_ntz"))
     return ads.withColumn("ts", ts.cast("timestamp") if zoned else ts)
 
 

@@ -43,4 +43,5 @@ FILE_JOBS: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def run(spark: SparkSession, name: str, source: str, target: str) -> None:
-    FILE_JOBS[name](jsonl.read_ads(spark, source)).write.mode("overwrite").text(target)
+    """Runs one of the jobs; a line that is no JSON fails it."""
+    FILE_JOBS[name](jsonl.read_ads(spark, source, mode="FAILFAST")).write.mode("overwrite").text(target)

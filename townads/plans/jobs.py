@@ -20,11 +20,11 @@ UNEVEN_SIZE, UNEVEN_STEP, UNEVEN_LATENESS = "5 seconds", "2 seconds", "3 seconds
 _SLIDING_BOUNDS = ("window_start", "window_end")
 
 
-def timed(ads: DataFrame, lateness: str) -> DataFrame:
+def timed(ads: DataFrame, lateness: str, strict: bool = False) -> DataFrame:
     """Adds ``ts``; on a stream also the watermark."""
     if not ads.isStreaming:
-        return rows.with_event_time(ads)
-    return rows.with_event_time(ads, zoned=True).withWatermark("ts", lateness)
+        return rows.with_event_time(ads, strict=strict)
+    return rows.with_event_time(ads, zoned=True, strict=strict).withWatermark("ts", lateness)
 
 
 def ads_by_city_and_year(
@@ -34,14 +34,16 @@ def ads_by_city_and_year(
 
     ``lateness='0 seconds'`` expects times that never go back.
     """
-    dated = rows.with_valid_year(timed(ads, lateness), strict)
+    dated = rows.with_valid_year(timed(ads, lateness, strict), strict)
     found = windows.tumbling_counts(dated, ["city", "posted_year"], size)
     return rows.named_cities(found).select("city", "num_ads", "posted_year", "w_start", "w_end")
 
 
-def ads_by_city(ads: DataFrame, lateness: str = LATENESS, shared: bool | None = None) -> DataFrame:
+def ads_by_city(
+    ads: DataFrame, lateness: str = LATENESS, shared: bool | None = None, strict: bool = False
+) -> DataFrame:
     """Ads per city over the last minute, every ten seconds, without the city 'null'."""
-    known = rows.known_cities(timed(ads, lateness))
+    known = rows.known_cities(timed(ads, lateness, strict))
     found = windows.sliding_counts(
         known, ["city"], SLIDING_SIZE, SLIDING_STEP, bounds=_SLIDING_BOUNDS, shared=shared
     )
