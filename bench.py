@@ -65,6 +65,8 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("OFF")
     only = sys.argv[1:]
+    for _ in range(2):
+        run(spark, BATCH[0], sf_dir)
     timings = {}
     for name in BATCH + STREAMS:
         if only and name not in only:

@@ -197,7 +197,7 @@ def test_quarantine_and_good_are_everything(spark, small):
         write = runs.set_apart(runs.write_parquet(f"{folder}/good"), f"{folder}/bad")
         return runs.to_batches(stream, write, f"{folder}/cp")
 
-    folder = replay.replay_lines(spark, [lines], start)
+    folder = replay.replay_lines(spark, replay.Parts(lines.withColumn("part", F.lit(0)), 1), start)
     good, bad = (spark.read.parquet(f"{folder}/{n}").count() for n in ("good", "bad"))
     assert good and bad and good + bad == lines.count()
 

@@ -552,5 +552,6 @@ def stream_quarantine(spark, sf_dir):
         write = runs.set_apart(runs.write_parquet(f"{folder}/good"), f"{folder}/bad")
         return runs.to_batches(lines, write, f"{folder}/cp")
 
-    folder = replay.replay_lines(spark, [tables.messages(spark, sf_dir)], start)
+    lines = tables.messages(spark, sf_dir).withColumn("part", F.lit(0))
+    folder = replay.replay_lines(spark, replay.Parts(lines, 1), start)
     return spark.read.parquet(f"{folder}/bad").select("value", "reason")

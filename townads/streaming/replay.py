@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,14 @@ from townads.sources.topics import read_lines
 SPANS = 3
 
 
+@dataclass(frozen=True)
+class Parts:
+    """Ads or message lines with the number of the ``part`` they arrive in, from 0."""
+
+    rows: DataFrame
+    count: int
+
+
 def span_of(ads: DataFrame, spans: int = SPANS) -> Column:
     """Which of ``spans`` equally long stretches of time an ad was scraped in, from 0."""
     ts = times.event_time(F.col("scraped_time"))
@@ -25,21 +34,19 @@ def span_of(ads: DataFrame, spans: int = SPANS) -> Column:
     return F.floor((millis - F.lit(first)) * F.lit(spans) / F.lit(last - first + 1)).cast("int")
 
 
-def in_order(ads: DataFrame, spans: int = SPANS) -> list[DataFrame]:
+def in_order(ads: DataFrame, spans: int = SPANS) -> Parts:
     """The ads by span of scrape time."""
-    span = span_of(ads, spans)
-    return [ads.filter(span == i) for i in range(spans)]
+    return Parts(ads.withColumn("part", span_of(ads, spans)), spans)
 
 
-def with_held_back(ads: DataFrame, held: Column, spans: int = SPANS) -> list[DataFrame]:
+def with_held_back(ads: DataFrame, held: Column, spans: int = SPANS) -> Parts:
     """As ``in_order``, but ads for which ``held`` is TRUE arrive one span later."""
-    span = span_of(ads, spans) + F.when(held, 1).otherwise(0)
-    return [ads.filter(span == i) for i in range(spans + 1)]
+    late = F.when(held, 1).otherwise(0)
+    return Parts(ads.withColumn("part", span_of(ads, spans) + late), spans + 1)
 
 
-def flushed(parts: list[DataFrame]) -> list[DataFrame]:
+def flushed(parts: Parts) -> Parts:
     """Adds one ad far in the future to the last part, which closes all windows before it."""
-    spark = parts[-1].sparkSession
     values = {
         "ad_id": "flush",
         "city": "flush",
@@ -47,31 +54,32 @@ def flushed(parts: list[DataFrame]) -> list[DataFrame]:
         "scraped_time": "2999-01-01 00:00:00",
         "spider": "flush",
     }
-    row = spark.range(1).select(*(F.lit(values[n]).alias(n) for n in AD_MESSAGE.fieldNames()))
-    return [*parts[:-1], parts[-1].select(*AD_MESSAGE.fieldNames()).unionByName(row)]
+    names = AD_MESSAGE.fieldNames()
+    row = parts.rows.sparkSession.range(1).select(
+        *(F.lit(values[n]).alias(n) for n in names), F.lit(parts.count - 1).alias("part")
+    )
+    return Parts(parts.rows.select(*names, "part").unionByName(row), parts.count)
 
 
-def replay(
-    spark: SparkSession, parts: list[DataFrame], start: Callable[[DataFrame, str], StreamingQuery]
-) -> str:
+def replay(spark: SparkSession, ads: Parts, start: Callable[[DataFrame, str], StreamingQuery]) -> str:
     """``replay_lines`` with ads instead of messages."""
-    names = AD_MESSAGE.fieldNames()
-    return replay_lines(spark, [p.select(wire.to_line(*names).alias("value")) for p in parts], start)
+    lines = ads.rows.select(wire.to_line(*AD_MESSAGE.fieldNames()).alias("value"), "part")
+    return replay_lines(spark, Parts(lines, ads.count), start)
 
 
-def replay_lines(
-    spark: SparkSession, parts: list[DataFrame], start: Callable[[DataFrame, str], StreamingQuery]
-) -> str:
-    """Stages one part after the other and each time runs the stream up to the end of what is there.
+def replay_lines(spark: SparkSession, lines: Parts, start: Callable[[DataFrame, str], StreamingQuery]) -> str:
+    """Delivers one part after the other and each time runs the stream up to the end of what is there.
 
-    Every run starts from the checkpoint of the run before, as a scheduled job would. ``start``
-    gets the message lines and the folder to work in, and returns the query; the folder is
-    returned.
+    Every run starts from the checkpoint of the run before, as a scheduled job would. All parts are
+    written in one pass first, so the source is read once. ``start`` gets the message lines and the
+    folder to work in, and returns the query; the folder is returned.
     """
     folder = scratch_folder(spark, "replay")
-    inbox = f"{folder}/inbox"
-    for part in parts:
-        part.select("value").write.mode("append").text(inbox)
+    inbox, staged = f"{folder}/inbox", f"{folder}/staged"
+    lines.rows.select("value", "part").write.partitionBy("part").text(staged)
+    stage = spark.read.schema("value string, part int").text(staged)
+    for part in range(lines.count):
+        stage.filter(F.col("part") == part).select("value").write.mode("append").text(inbox)
         with _partition_per_core(spark):
             query = start(read_lines(spark, inbox), folder)
         query.awaitTermination()
