@@ -24,9 +24,12 @@ def dedup(ads: DataFrame) -> DataFrame:
 
 
 def count_by_city(ads: DataFrame) -> DataFrame:
-    """Every change of the running counts, in the order the ads were scraped."""
+    """Every change of the running counts, city by city in the order the ads were scraped.
+
+    Files in name order and lines in file order are the order of the changes.
+    """
     changed = changes.count_changes(rows.with_event_time(rows.known_cities(ads)))
-    return changes.as_change_lines(changed, ["city", "num_ads"])
+    return changes.as_change_lines(changed.orderBy("city", "seq"), ["city", "num_ads"])
 
 
 def count_by_city_sliding(ads: DataFrame) -> DataFrame:
