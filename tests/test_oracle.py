@@ -7,7 +7,7 @@ from compare import connect, difference
 
 import __spark_entry__ as driver
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = driver.QUERIES, driver.ORACLE
 STREAMED = [n for n in QUERIES if n.startswith("stream_") or n in ("source_stream_replay", "fanout_two_sinks")]
 BATCH = [n for n in QUERIES if n not in STREAMED]
 
