@@ -19,14 +19,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from townads.llm.frames import table, text_bytes
-from townads.llm.words import UNCHANGED, Words, buffers, rolling, words_of
+from townads.llm.words import UNCHANGED, Words, buffers, parts, rolling, words_of
 
 WINDOW = 13
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
+BATCH_BYTES = 8 << 20  # texts that a task looks at together; a longer text alone
 _SECOND_BASE = 0xA0761D6478BD642F
 _LAST = (1 << 63) - 1  # stands for a missing id: such a row comes after all others
 
@@ -44,11 +46,15 @@ def _packed(keys: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
         return
     order = np.argsort(keys, kind="stable")
     keys, columns = keys[order], [c[order] for c in columns]
-    cuts = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1 if keys[0] else 1))
+    cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
     for low, high in zip(cuts, [*cuts[1:], len(keys)]):
         yield int(keys[low]), *(c[low:high].tobytes() for c in columns)
 
 
+def _pressed(x: np.ndarray) -> bytes:
+    return zstandard.compress(x.tobytes(), 1)
+
+
 def _first_seen(length: int, buckets: int) -> Callable:
     """Per batch and bucket: the distinct values with the number of their first document, and, as
     answers already known, the values that later documents of the batch repeat."""
@@ -58,8 +64,8 @@ def _first_seen(length: int, buckets: int) -> Callable:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = pa.Table.from_batches([batch]).sort_by("id")
+        whole = (pa.Table.from_batches([batch]).sort_by("id") for batch in batches)
+        for rows in (part for batch in whole for part in parts(batch, "text", BATCH_BYTES)):
             ids = rows["id"].to_numpy()
             words = words_of(rows["text"], UNCHANGED)
             values, at = _windows(words, length)
@@ -72,19 +78,19 @@ def _first_seen(length: int, buckets: int) -> Callable:
             fresh = np.ones(len(values), dtype=bool)
             fresh[1:] = (values[1:] != values[:-1]) | (bucket[1:] != bucket[:-1])
             # Equal values of different buckets are told apart by a second sort, which hardly ever happens.
-            if (odd := (values[1:] == values[:-1]) & (bucket[1:] != bucket[:-1])).any():
+            if ((values[1:] == values[:-1]) & (bucket[1:] != bucket[:-1])).any():
                 order = np.lexsort((docs, bucket, values))
                 values, bucket, docs = values[order], bucket[order], docs[order]
                 fresh[1:] = (values[1:] != values[:-1]) | (bucket[1:] != bucket[:-1])
-            del odd
             leader = np.flatnonzero(fresh)
             first = np.repeat(docs[leader], np.diff(np.append(leader, len(docs))))
             later = ids[docs] > ids[first]
             later[1:] &= fresh[1:] | (docs[1:] != docs[:-1])  # once for each document
             again = {k: x for k, *x in _packed(bucket[later], values[later], docs[later])}
-            packed_ids = ids.astype(np.int64).tobytes()
+            packed_ids = _pressed(np.diff(ids.astype(np.int64), prepend=0))
+            leader = leader[np.argsort(docs[leader], kind="stable")]
             out = [
-                (k, packed_ids, v, d, *again.pop(k, (None, None)))
+                (k, packed_ids, v, _pressed(np.diff(np.frombuffer(d, np.int32), prepend=np.int32(0))), *again.pop(k, (None, None)))
                 for k, v, d in _packed(bucket[leader], values[leader], docs[leader])
             ]
             for low in range(0, len(out), 64):
@@ -100,9 +106,9 @@ def _answered(group: pa.Table) -> pa.Table:
     values, ids, answers = [], [], []
     for row in group.to_batches(64):
         for packed_ids, v, d, again, again_docs in zip(*(row[c].to_pylist() for c in ("ids", "values", "docs", "again", "again_docs"))):
-            known = np.frombuffer(packed_ids, np.int64)
+            known = np.cumsum(np.frombuffer(zstandard.decompress(packed_ids), np.int64))
             values.append(np.frombuffer(v, np.uint64))
-            ids.append(known[np.frombuffer(d, np.int32)])
+            ids.append(known[np.cumsum(np.frombuffer(zstandard.decompress(d), np.int32))])
             if again:
                 answers.append((np.frombuffer(again, np.uint64), known[np.frombuffer(again_docs, np.int32)]))
     values, ids = np.concatenate(values), np.concatenate(ids)
@@ -128,14 +134,14 @@ def _intervals(hit: np.ndarray, length: int) -> np.ndarray:
 
 def _cut(length: int, names: list[str], schema: pa.Schema) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text")
+        for batch in (part for batch in batches for part in parts(batch, "text", BATCH_BYTES)):
+            texts = batch["text"].combine_chunks()
             words = words_of(texts, UNCHANGED)
             data, _ = buffers(texts)
             raw = memoryview(data)
-            found = batch.column("values")
+            found = batch["values"]
             spans, kept, removed = [], [], []
-            for row in range(batch.num_rows):
+            for row in range(len(texts)):
                 low, high = int(words.first[row]), int(words.first[row + 1])
                 intervals = np.zeros((0, 2), dtype=np.int64)
                 if found[row].is_valid:
@@ -156,9 +162,7 @@ def _cut(length: int, names: list[str], schema: pa.Schema) -> Callable:
                 "kept": pa.array(kept, pa.binary()).cast(pa.string()),
             }
             made["kept_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [made[n] if n in made else batch.column(n) for n in names], schema=schema
-            )
+            yield from pa.table([made.get(n, batch["own_id"]) for n in names], schema=schema).to_batches()
 
     return run
 

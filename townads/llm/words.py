@@ -7,6 +7,7 @@ beyond the text itself stays small for texts of any length.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -78,6 +79,17 @@ def buffers(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
+def parts(batch: pa.RecordBatch | pa.Table, column: str, limit: int) -> Iterator[pa.Table]:
+    """The batch in pieces of consecutive rows whose texts have about ``limit`` bytes, whole rows each."""
+    rows = batch if isinstance(batch, pa.Table) else pa.Table.from_batches([batch])
+    _, offsets = buffers(rows[column])
+    at = 0
+    while at < rows.num_rows:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+        yield rows.slice(at, to - at)
+        at = to
+
+
 def words_of(texts: pa.Array | pa.ChunkedArray, table: np.ndarray) -> Words:
     """The words of a text column; a null text has none."""
     if not len(texts):
