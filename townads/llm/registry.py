@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from townads.llm import decontamination, substrings
+from townads.llm import bpe, decontamination, substrings, token_counts
 
-_MODULES = (decontamination, substrings)
+_MODULES = (bpe, decontamination, substrings, token_counts)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in getattr(module, "ORACLE", {}).items()}
