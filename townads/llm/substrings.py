@@ -3,8 +3,8 @@
 Every window of ``length`` consecutive words gets a Rabin-Karp value. A map task reduces its batch of
 documents to the distinct values, each with the first document that has it, so a passage in a third of
 all documents costs one entry per batch. The values are dealt by hash into buckets and packed there;
-each bucket finds the first document of every value and answers the later documents with the values
-to remove. The document's words are then hashed again, and all windows with an answered value merge
+each bucket finds the first document of every value and answers each batch with the values that its
+documents have to remove. The document's words are then hashed again, and all windows with an answered value merge
 into maximal intervals.
 
 A value is 64 bits within its bucket, and the bucket comes from a second Rabin-Karp base, so about
@@ -20,15 +20,18 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from townads.llm.frames import table, text_bytes
 from townads.llm.words import UNCHANGED, Words, buffers, parts, rolling, words_of
 
 WINDOW = 13
 BUCKET_BYTES = 8 << 20
-BATCH_BYTES = 8 << 20  # texts that a task looks at together; a longer text alone
+BATCH_BYTES = 6 << 20  # texts that a task looks at together; a longer text alone
 _SECOND_BASE = 0xA0761D6478BD642F
 _LAST = (1 << 63) - 1  # stands for a missing id: such a row comes after all others
 
@@ -58,14 +61,14 @@ def _pressed(x: np.ndarray) -> bytes:
 def _first_seen(length: int, buckets: int) -> Callable:
     """Per batch and bucket: the distinct values with the number of their first document, and, as
     answers already known, the values that later documents of the batch repeat."""
-    schema = pa.schema(
-        [("bucket", pa.int64()), ("ids", pa.binary()), ("values", pa.binary()), ("docs", pa.binary()),
-         ("again", pa.binary()), ("again_docs", pa.binary())]
-    )
+    kinds = {"bucket": pa.int64(), "block": pa.string()}
+    kinds |= dict.fromkeys(("ids", "values", "docs", "again", "again_docs"), pa.binary())
+    schema = pa.schema(list(kinds.items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = (pa.Table.from_batches([batch]).sort_by("id") for batch in batches)
-        for rows in (part for batch in whole for part in parts(batch, "text", BATCH_BYTES)):
+        own = TaskContext.get().partitionId()
+        for n, rows in enumerate(part for batch in whole for part in parts(batch, "text", BATCH_BYTES)):
             ids = rows["id"].to_numpy()
             words = words_of(rows["text"], UNCHANGED)
             values, at = _windows(words, length)
@@ -90,7 +93,7 @@ def _first_seen(length: int, buckets: int) -> Callable:
             packed_ids = _pressed(np.diff(ids.astype(np.int64), prepend=0))
             leader = leader[np.argsort(docs[leader], kind="stable")]
             out = [
-                (k, packed_ids, v, _pressed(np.diff(np.frombuffer(d, np.int32), prepend=np.int32(0))), *again.pop(k, (None, None)))
+                (k, f"{own}-{n}", packed_ids, v, _pressed(np.diff(np.frombuffer(d, np.int32), prepend=np.int32(0))), *again.pop(k, (None, None)))
                 for k, v, d in _packed(bucket[leader], values[leader], docs[leader])
             ]
             for low in range(0, len(out), 64):
@@ -102,23 +105,39 @@ def _first_seen(length: int, buckets: int) -> Callable:
 
 
 def _answered(group: pa.Table) -> pa.Table:
-    """The values of a bucket that documents repeat from documents with a smaller id."""
-    values, ids, answers = [], [], []
-    for row in group.to_batches(64):
-        for packed_ids, v, d, again, again_docs in zip(*(row[c].to_pylist() for c in ("ids", "values", "docs", "again", "again_docs"))):
-            known = np.cumsum(np.frombuffer(zstandard.decompress(packed_ids), np.int64))
-            values.append(np.frombuffer(v, np.uint64))
-            ids.append(known[np.cumsum(np.frombuffer(zstandard.decompress(d), np.int32))])
-            if again:
-                answers.append((np.frombuffer(again, np.uint64), known[np.frombuffer(again_docs, np.int32)]))
-    values, ids = np.concatenate(values), np.concatenate(ids)
+    """The values of a bucket that documents repeat from documents with a smaller id, packed by block."""
+    rows = group.select(["block", "ids", "values", "docs", "again", "again_docs"]).to_pylist()
+    known = [np.cumsum(np.frombuffer(zstandard.decompress(row["ids"]), np.int64)) for row in rows]
+    docs = [np.cumsum(np.frombuffer(zstandard.decompress(row["docs"]), np.int32)) for row in rows]
+    values = np.concatenate([np.frombuffer(row["values"], np.uint64) for row in rows])
+    ids = np.concatenate([k[d] for k, d in zip(known, docs)])
     order = np.argsort(values, kind="stable")
-    values, ids = values[order], ids[order]
-    leader = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
-    least = np.repeat(np.minimum.reduceat(ids, leader), np.diff(np.append(leader, len(ids))))
+    sorted_values, sorted_ids = values[order], ids[order]
+    leader = np.flatnonzero(np.append(True, sorted_values[1:] != sorted_values[:-1]))
+    least = np.empty_like(ids)
+    least[order] = np.repeat(np.minimum.reduceat(sorted_ids, leader), np.diff(np.append(leader, len(ids))))
     repeated = ids > least
-    answers.append((values[repeated], ids[repeated]))
-    values, ids = (np.concatenate(x) for x in zip(*answers))
+    out, at = [], 0
+    for row, k, d in zip(rows, known, docs):
+        mine = np.flatnonzero(repeated[at : at + len(d)]) + at
+        found, whose = [values[mine]], [ids[mine]]
+        at += len(d)
+        if row["again"]:
+            found.append(np.frombuffer(row["again"], np.uint64))
+            whose.append(k[np.frombuffer(row["again_docs"], np.int32)])
+        found, whose = np.concatenate(found), np.concatenate(whose)
+        if len(found):
+            order = np.argsort(whose, kind="stable")
+            out.append((row["block"], found[order].tobytes(), _pressed(np.diff(whose[order], prepend=0))))
+    names = {"block": pa.string(), "values": pa.binary(), "ids": pa.binary()}
+    return pa.table({n: pa.array([x[i] for x in out], t) for i, (n, t) in enumerate(names.items())})
+
+
+def _by_document(group: pa.Table) -> pa.Table:
+    """The answers to a block, one row for each of its documents that has any."""
+    rows = group.to_pylist()
+    values = np.concatenate([np.frombuffer(row["values"], np.uint64) for row in rows])
+    ids = np.concatenate([np.cumsum(np.frombuffer(zstandard.decompress(row["ids"]), np.int64)) for row in rows])
     out = list(_packed(ids, values))
     return pa.table({"id": pa.array([x[0] for x in out], pa.int64()), "values": pa.array([x[1] for x in out], pa.binary())})
 
@@ -196,23 +215,22 @@ def remove_repeats(
         rows.select("id", "text")
         .mapInArrow(
             _first_seen(length, buckets),
-            "bucket long, ids binary, values binary, docs binary, again binary, again_docs binary",
+            "bucket long, block string, ids binary, values binary, docs binary, again binary, again_docs binary",
         )
         .groupBy("bucket")
-        .applyInArrow(_answered, "id long, values binary")
+        .applyInArrow(_answered, "block string, values binary, ids binary")
+        .groupBy("block")
+        .applyInArrow(_by_document, "id long, values binary")
         .groupBy("id")
         .agg(F.collect_list("values").alias("values"))
     )
     kinds = {"n_words": "long", "n_removed": "long", "removed": "array<array<bigint>>", "kept": "string", "kept_sha256": "string"}
     names = ["own_id", *outputs]
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string as parsed
-
     ddl = ", ".join([f"own_id {rows.schema['own_id'].dataType.simpleString()}", *(f"{n} {kinds[n]}" for n in outputs)])
     return (
         rows.join(answers, "id", "left")
         .select("own_id", "text", "values")
-        .mapInArrow(_cut(length, names, to_arrow_schema(parsed(ddl))), ddl)
+        .mapInArrow(_cut(length, names, to_arrow_schema(StructType.fromDDL(ddl))), ddl)
         .withColumnRenamed("own_id", id)
     )
 
