@@ -1,6 +1,6 @@
 """Benchmark passages in training texts, found through a positional inverted index.
 
-The index is cut by documents: a dozen megabytes of documents that a map task reads together are a shard with the
+The index is cut by documents: a few megabytes of documents that a map task reads together are a shard with the
 posting lists of all its tokens (sorted word positions, packed per bucket of tokens), so no posting
 list grows beyond a shard, however frequent its token. The shards are a stored table. A query meets
 every shard: the lists of its terms are shifted by their place in the phrase and intersected, from the
@@ -28,7 +28,7 @@ from townads.session import scratch_folder
 
 WINDOW = 13
 TOKEN_BUCKETS = 16
-SHARD_BYTES = 12 << 20  # texts of a shard; a longer text has one of its own
+SHARD_BYTES = 8 << 20  # texts of a shard; a longer text has one of its own
 # Words of query phrases in one broadcast block: 8 bytes each, so at most 32 MB.
 BLOCK_WORDS = 1 << 22
 _INDEX = "shard string, bucket int, tokens binary, sizes binary, positions binary, ids binary, starts binary"
