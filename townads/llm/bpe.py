@@ -1,12 +1,13 @@
 """BPE encoding through a table of distinct words, and decoding through a table of pieces.
 
-A map task cuts its documents into blocks of a few megabytes. Of each block it sends the distinct words
-and, apart, the number of the word at every position. The words are dealt by hash into buckets; a bucket
-encodes each of its distinct words once and answers every block with the ids of its words, in the order
-asked. A block then puts ids in the place of word numbers. A word in every document is sent once for
-each block, so no bucket depends on how frequent a word is.
-
-Blocks are numbered by input partition and place in it: a task that runs again gives the same numbers.
+A map task cuts its documents into blocks of a few megabytes. The distinct words of each block are dealt
+by hash into buckets; a bucket encodes each of its distinct words once and answers every block with the
+ids of its words, in the order asked. A second reading of the documents gives the number of the word at
+every position of a block, where the ids are then put. A word in every document is sent once for each
+block, so no bucket depends on how frequent a word is.
+
+Blocks are named by input partition, place in it and content. Both readings, and a task that runs again,
+must therefore see the rows of a partition in one order, as files give them; otherwise the job fails.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -34,8 +36,8 @@ from townads.llm.words import buffers, parts
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20
 MAX_PIECES = 1 << 20
-_PART = "bucket long, block string, words binary, places binary, rows binary, ids binary"
-_ANSWER = "block string, bucket long, sizes binary, tokens binary, places binary, rows binary, ids binary"
+_WORDS = "bucket long, block string, words binary"
+_PART = "block string, bucket long, n long, sizes binary, tokens binary, places binary, rows binary, ids binary"
 
 
 class _Numbers(dict):
@@ -61,60 +63,76 @@ def _arrow(rows: list[tuple], ddl: str) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=fields)
 
 
-def _split(buckets: int) -> Callable:
+class _Block(NamedTuple):
+    """Some documents: their distinct words, sorted within buckets, and the bucket of each."""
+
+    name: str
+    ids: pa.Array
+    split: list[list[bytes]]
+    words: list[bytes]
+    bucket: np.ndarray
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[_Block]:
+    own = TaskContext.get().partitionId()
+    for n, rows in enumerate(part for batch in batches for part in parts(batch, "text", BLOCK_BYTES)):
+        data, offsets = buffers(rows["text"])
+        raw = memoryview(data)
+        split = [bytes(raw[a:b]).split() for a, b in zip(offsets[:-1], offsets[1:])]
+        words = sorted(set(chain.from_iterable(split)))
+        bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int64, len(words))
+        order = np.argsort(bucket, kind="stable")
+        name = f"{own}-{n}-{xxhash.xxh3_64_hexdigest(raw[offsets[0] : offsets[-1]])}"
+        yield _Block(name, rows["id"].combine_chunks(), split, [words[i] for i in order.tolist()], bucket[order])
+
+
+def _asked(buckets: int) -> Callable:
+    """The words of each block by bucket."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = TaskContext.get().partitionId()
-        for n, rows in enumerate(part for batch in batches for part in parts(batch, "text", BLOCK_BYTES)):
-            data, offsets = buffers(rows["text"])
-            raw = memoryview(data)
-            split = [bytes(raw[a:b]).split() for a, b in zip(offsets[:-1], offsets[1:])]
-            sizes = np.array([len(x) for x in split], dtype=np.int32)
-            seen = _Numbers()
-            places = np.fromiter(map(seen.__getitem__, chain.from_iterable(split)), np.int32, int(sizes.sum()))
-            del split
-            # Within a bucket words are sorted, and numbered in that order, bucket after bucket.
-            words = list(seen)
-            bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int64, len(words))
-            order = sorted(range(len(words)), key=lambda i: (bucket[i], words[i]))
-            number = np.empty(len(words), dtype=np.int32)
-            number[order] = np.arange(len(words), dtype=np.int32)
-            bucket = bucket[order]
+        for block in _blocks(batches, buckets):
+            bucket = block.bucket
             cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
-            block = f"{own}-{n}"
-            ids = rows["id"].combine_chunks()
-            known = np.array(ids.is_valid()).astype(np.int64)
-            packed_ids = _press(np.concatenate([known, np.array(ids.fill_null(0), dtype=np.int64)]))
-            # Three planes of bytes: the high ones are mostly zero.
-            planes = number[places].view(np.uint8).reshape(-1, 4).T if len(places) else number[places].view(np.uint8)
-            out = [(n % buckets, block, None, _press(planes), _press(sizes), packed_ids)]
-            for low, high in zip(cuts, [*cuts[1:], len(bucket)]):
-                out.append(
-                    (int(bucket[low]), block, _press(b"\n".join(words[i] for i in order[low:high])), None, None, None)
-                )
-            yield from _arrow(out, _PART).to_batches(max_chunksize=64)
+            out = [
+                (int(bucket[low]), block.name, _press(b"\n".join(block.words[low:high])))
+                for low, high in zip(cuts, [*cuts[1:], len(bucket)])
+            ]
+            yield from _arrow(out, _WORDS).to_batches(max_chunksize=64)
+
+    return run
+
+
+def _placed(buckets: int) -> Callable:
+    """The number of the word at each position of each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, buckets):
+            numbers = dict(zip(block.words, range(len(block.words))))
+            sizes = np.array([len(x) for x in block.split], dtype=np.int32)
+            places = np.fromiter(map(numbers.__getitem__, chain.from_iterable(block.split)), np.int32, int(sizes.sum()))
+            planes = places.view(np.uint8).reshape(-1, 4).T  # the high bytes are mostly zero
+            known = np.array(block.ids.is_valid()).astype(np.int64)
+            ids = np.concatenate([known, np.array(block.ids.fill_null(0), dtype=np.int64)])
+            out = [(block.name, None, len(numbers), None, None, _press(planes), _press(sizes), _press(ids))]
+            yield from _arrow(out, _PART).to_batches()
 
     return run
 
 
 def _encoded(model: Broadcast) -> Callable:
     def run(group: pa.Table) -> pa.Table:
-        out, asked = [], []
-        for row in group.to_pylist():
-            if row["words"] is None:
-                out.append((row["block"], None, None, None, row["places"], row["rows"], row["ids"]))
-            else:
-                asked.append((row["block"], row["bucket"], zstandard.decompress(row["words"]).split(b"\n")))
+        asked = [(r["block"], r["bucket"], zstandard.decompress(r["words"]).split(b"\n")) for r in group.to_pylist()]
         seen = _Numbers()
         numbers = [np.fromiter(map(seen.__getitem__, words), np.int32, len(words)) for *_, words in asked]
-        if seen:
-            ids = Encoder(model).ids([w.decode() for w in seen])
-            sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
-            starts = np.cumsum(sizes) - sizes
-            for (block, bucket, _), number in zip(asked, numbers):
-                tokens = flat[_ranges(starts[number], sizes[number])]
-                out.append((block, bucket, _press(sizes[number]), _press(tokens), None, None, None))
-        return _arrow(out, _ANSWER)
+        ids = Encoder(model).ids([w.decode() for w in seen])
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
+        starts = np.cumsum(sizes) - sizes
+        out = [
+            (block, bucket, len(n), _press(sizes[n]), _press(flat[_ranges(starts[n], sizes[n])]), None, None, None)
+            for (block, bucket, _), n in zip(asked, numbers)
+        ]
+        return _arrow(out, _PART)
 
     return run
 
@@ -140,7 +158,10 @@ def _joined(parts_of: pa.Array, tokens: np.ndarray, cuts: np.ndarray) -> pa.Arra
 def _assembled(vocabulary: Broadcast, outputs: tuple[str, ...], schema: pa.Schema) -> Callable:
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        base = next(row for row in rows if row["places"] is not None)
+        bases = [row for row in rows if row["places"] is not None]
+        if len(bases) != 1 or bases[0]["n"] != sum(row["n"] for row in rows if row["places"] is None):
+            raise RuntimeError("the documents came in another order when they were read again")
+        base = bases[0]
         answers = sorted((row for row in rows if row["places"] is None), key=lambda row: row["bucket"])
         none = [np.zeros(0, dtype=np.int32)]
         sizes = np.concatenate([_plain(row["sizes"], np.int32) for row in answers] or none)
@@ -196,11 +217,11 @@ def encode(
         raise ValueError(f"{tokenizer} looks across white space")
     ddl = ", ".join(["id long", *(f"{name} {_KINDS[name]}" for name in outputs)])
     buckets = 1 + text_bytes(docs, text) // BUCKET_BYTES
+    rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    answers = rows.mapInArrow(_asked(buckets), _WORDS).groupBy("bucket").applyInArrow(_encoded(model), _PART)
     return (
-        docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-        .mapInArrow(_split(buckets), _PART)
-        .groupBy("bucket")
-        .applyInArrow(_encoded(model), _ANSWER)
+        rows.mapInArrow(_placed(buckets), _PART)
+        .union(answers)
         .groupBy("block")
         .applyInArrow(_assembled(_pieces(spark, model), outputs, to_arrow_schema(StructType.fromDDL(ddl))), ddl)
         .withColumnRenamed("id", id)
