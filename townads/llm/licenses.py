@@ -161,10 +161,14 @@ def scan(
     longest = max(len(shingled) for _, shingled in known)
     reach = longest + longest // 4 + 1
     found = (
-        with_shingles(docs.select(F.col(id).alias("id"), F.col(text).alias("text")), "text", "run")
-        .select("id", "run", (F.concat(*hits) if len(hits) > 1 else hits[0]).alias("hits"))
+        with_shingles(
+            docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("id"), F.col(text).alias("text")),
+            "text",
+            "run",
+        )
+        .select("row", "id", "run", (F.concat(*hits) if len(hits) > 1 else hits[0]).alias("hits"))
         # An outer explode: a filter on the arrays would move down and make them anew for every element.
-        .select(F.monotonically_increasing_id().alias("row"), "id", "run", F.explode_outer("hits").alias("hit"))
+        .select("row", "id", "run", F.explode_outer("hits").alias("hit"))
         .where("hit IS NOT NULL")
         # Only the surroundings of a hit go on, so a text with many notices is not copied for each.
         .select(
