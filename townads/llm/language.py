@@ -127,30 +127,33 @@ def train(texts: DataFrame, per_language: int = TRAINING_TEXTS) -> Model:
     return Model(families, machines)
 
 
-def _predicted(model) -> Callable:
+def _predicted(model, kept: list[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
             made = [model.value.predict(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-            names = [n for n in batch.schema.names if n != "text"]
-            columns = [batch.column(n) for n in names]
+            columns = [batch.column(n) for n in kept]
             columns += [pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "lang_pred", "score"])
 
     return run
 
 
-def identify(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows without ``text`` and with ``lang_pred`` and ``score``.
+def identify(rows: DataFrame, model: Model, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """The rows, without ``text`` unless it is to be kept, with ``lang_pred`` and ``score``.
 
     The score is the least certainty (a logistic of the margin) among the machines that the language and
     its family had to win, 0 to 1. A null text, or one without any letter, is ``und`` with score 0, and
-    so is every text if nothing was learnt; with a single language known its score is 1.
+    so is every text if nothing was learnt; with a single language known its score is 1. Columns that
+    are called ``lang_pred`` or ``score`` already are replaced.
     """
-    kept = [f for f in rows.schema.fields if f.name != text]
+    kept = [f for f in rows.schema.fields if f.name not in ("lang_pred", "score") and (keep_text or f.name != text)]
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string", "score double"])
     weights = rows.sparkSession.sparkContext.broadcast(model)
-    return rows.select(*(F.col(f"`{f.name}`") for f in kept), F.col(text).alias("text")).mapInArrow(_predicted(weights), ddl)
+    own = rows.select(*(F.col(f"`{f.name}`") for f in kept if f.name != text), F.col(text).alias("text"))
+    names = ["text" if f.name == text else f.name for f in kept]
+    made = own.mapInArrow(_predicted(weights, names), ddl.replace(f"`{text}` ", "`text` "))
+    return made.withColumnRenamed("text", text) if keep_text else made
 
 
 def held_out(id: str) -> Column:

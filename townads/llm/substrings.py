@@ -156,32 +156,37 @@ def _cut(length: int, names: list[str], schema: pa.Schema) -> Callable:
         for batch in (part for batch in batches for part in parts(batch, "text", BATCH_BYTES)):
             texts = batch["text"].combine_chunks()
             words = words_of(texts, UNCHANGED)
-            data, _ = buffers(texts)
+            data, offsets = buffers(texts)
             raw = memoryview(data)
             found = batch["values"]
-            spans, kept, removed = [], [], []
+            spans, kept, left, removed = [], [], [], []
             for row in range(len(texts)):
                 low, high = int(words.first[row]), int(words.first[row + 1])
                 intervals = np.zeros((0, 2), dtype=np.int64)
                 if found[row].is_valid:
                     wanted = np.concatenate([np.frombuffer(x, np.uint64) for x in found[row].as_py()])
                     intervals = _intervals(np.flatnonzero(np.isin(rolling(words.prints[low:high], length), wanted)), length)
-                pieces, at = [], low
+                stretches, at = [], low
                 for a, b in [*(intervals + low).tolist(), (high, high)]:
                     if a > at:
-                        pieces += bytes(raw[words.starts[at] : words.ends[a - 1]]).split()
+                        stretches.append(bytes(raw[words.starts[at] : words.ends[a - 1]]))
                     at = b
                 spans.append(intervals.tolist())
                 removed.append(int((intervals[:, 1] - intervals[:, 0]).sum()))
-                kept.append(b" ".join(pieces))
+                kept.append(b" ".join(word for stretch in stretches for word in stretch.split()))
+                if not texts[row].is_valid:
+                    left.append(None)
+                else:
+                    left.append(b" ".join(stretches) if len(intervals) else bytes(raw[offsets[row] : offsets[row + 1]]))
             made = {
                 "n_words": pa.array(np.diff(words.first), pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()),
                 "removed": pa.array(spans, pa.list_(pa.list_(pa.int64()))),
                 "kept": pa.array(kept, pa.binary()).cast(pa.string()),
+                "left": pa.array(left, pa.binary()).cast(pa.string()),
             }
             made["kept_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())
-            yield from pa.table([made.get(n, batch["own_id"]) for n in names], schema=schema).to_batches()
+            yield from pa.table([made[n] if n in made else batch[n] for n in names], schema=schema).to_batches()
 
     return run
 
@@ -191,24 +196,28 @@ def remove_repeats(
     id: str = "doc_id",
     text: str = "text",
     length: int = WINDOW,
-    outputs: tuple[str, ...] = ("n_words", "n_removed", "removed", "kept"),
+    outputs: tuple[str, ...] = ("n_words", "n_removed", "removed", "left"),
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Each row's id with what is left of its text.
+    """Each row's id, and the columns ``carried``, with what is left of its text.
 
     A word (``[^ \\t-\\r]+``) goes if a window of ``length`` words covers it whose word sequence also
     starts in a row with a smaller id. Windows are judged on the input, not on what is left.
 
     Outputs to choose from: ``n_words``; ``n_removed``; ``removed``, the maximal [from, to) word
-    intervals; ``kept``, the words left joined by one space; ``kept_sha256`` of that in UTF-8.
+    intervals; ``left``, the text without them, its other white space untouched; ``kept``, the words left
+    joined by one space; ``kept_sha256`` of that in UTF-8.
 
     Nulls and edges: a null or empty text has no words; texts shorter than a window keep all; a null
     id comes after all others, and rows with equal ids never remove each other's words; repetition
-    within one document stays. Ids are integers. Other columns are not read and may have any name.
+    within one document stays. Ids are integers. Columns that are not carried are not
+    read, and columns may have any names.
     """
     rows = docs.select(
         F.coalesce(F.col(id).cast("long"), F.lit(_LAST)).alias("id"),
         F.col(id).alias("own_id"),
         F.col(text).alias("text"),
+        *(F.col(f"`{name}`").alias(f"own_{name}") for name in carried),
     )
     buckets = 1 + text_bytes(docs, text) // BUCKET_BYTES
     answers = (
@@ -224,14 +233,16 @@ def remove_repeats(
         .groupBy("id")
         .agg(F.collect_list("values").alias("values"))
     )
-    kinds = {"n_words": "long", "n_removed": "long", "removed": "array<array<bigint>>", "kept": "string", "kept_sha256": "string"}
-    names = ["own_id", *outputs]
-    ddl = ", ".join([f"own_id {rows.schema['own_id'].dataType.simpleString()}", *(f"{n} {kinds[n]}" for n in outputs)])
+    kinds = {"n_words": "long", "n_removed": "long", "removed": "array<array<bigint>>", "left": "string", "kept": "string", "kept_sha256": "string"}
+    own = ["own_id", *(f"own_{name}" for name in carried)]
+    names = [*own, *outputs]
+    fields = [f"`{name}` {rows.schema[name].dataType.simpleString()}" for name in own]
+    ddl = ", ".join([*fields, *(f"{n} {kinds[n]}" for n in outputs)])
     return (
         rows.join(answers, "id", "left")
-        .select("own_id", "text", "values")
+        .select(*(f"`{name}`" for name in own), "text", "values")
         .mapInArrow(_cut(length, names, to_arrow_schema(StructType.fromDDL(ddl))), ddl)
-        .withColumnRenamed("own_id", id)
+        .toDF(id, *carried, *outputs)
     )
 
 
