@@ -2,9 +2,31 @@
 
 from __future__ import annotations
 
-from townads.llm import bpe, decontamination, language, licenses, similar, substrings, token_counts, url_filter
+from townads.llm import (
+    bpe,
+    decontamination,
+    language,
+    licenses,
+    neighbours,
+    similar,
+    substrings,
+    token_counts,
+    tool_calls,
+    url_filter,
+)
 
-_MODULES = (bpe, decontamination, language, licenses, similar, substrings, token_counts, url_filter)
+_MODULES = (
+    bpe,
+    decontamination,
+    language,
+    licenses,
+    neighbours,
+    similar,
+    substrings,
+    token_counts,
+    tool_calls,
+    url_filter,
+)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in getattr(module, "ORACLE", {}).items()}
