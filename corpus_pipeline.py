@@ -24,9 +24,9 @@ def _identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def _drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near copies the document with the least id, once."""
-    named = similar.near_copies(docs).where("doc_id <=> class_id").select("doc_id").distinct()
-    kept = docs.join(named.withColumnRenamed("doc_id", "kept"), F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
-    return kept.withColumn("content", F.md5("text")).dropDuplicates(["doc_id", "content"]).select(*docs.columns)
+    first = similar.near_copies(docs).where("first").select(F.col("key").alias("row_key")).distinct()
+    keyed = docs.withColumn("row_key", similar.row_key("doc_id", "text"))
+    return keyed.join(first, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*docs.columns)
 
 
 def _cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

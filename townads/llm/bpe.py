@@ -240,7 +240,7 @@ def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decod
     MAX_PIECES pieces, joined by one space. Null stays null, an empty array gives the empty text and
     an id that the model lacks fails the job."""
     vocabulary = _pieces(rows.sparkSession, shipped(rows.sparkSession, tokenizer))
-    schema = StructType(rows.schema.fields).add(text, "string")
+    schema = StructType([*rows.schema.fields]).add(text, "string")
     fields = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from townads.llm.frames import components, stored, table
@@ -39,7 +39,7 @@ _BITS = COORDINATES.bit_length() - 1
 # For each coordinate the order in which it looks for a part that is not empty: itself first.
 _ORDER = np.random.default_rng(7).random((COORDINATES, COORDINATES))
 _ORDER[np.diag_indices(COORDINATES)] = -1
-_NODES = "id long, node binary, n long, paths array<bigint>, sketch binary"
+_NODES = "id long, key long, node binary, n long, paths array<bigint>, sketch binary"
 
 
 def _sets(texts: pa.ChunkedArray) -> Iterator[np.ndarray]:
@@ -79,6 +79,7 @@ def _noded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.table(
             {
                 "id": rows["id"],
+                "key": rows["key"],
                 "node": pa.array(nodes, pa.binary()),
                 "n": pa.array(sizes, pa.int64()),
                 "paths": pa.array(paths, pa.list_(pa.int64())),
@@ -215,8 +216,9 @@ def _verified(similarity: float) -> Callable:
 
 def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = 0.8) -> DataFrame:
     """One row per row of ``docs``: id, ``class_id`` (the least id among the documents that links join to
-    it over any number of steps, and its own) and ``n_links`` (the other documents whose similarity to it
-    is ``similarity`` or more, copies included).
+    it over any number of steps, and its own), ``n_links`` (the other documents whose similarity to it
+    is ``similarity`` or more, copies included), ``key`` (a hash of id and text, which tells rows that
+    share an id apart) and ``first``: whether the row has the least id, and then key, of its class.
 
     Words are runs of letters (ASCII ones lower-cased), digits and non-ASCII characters; a shingle is five
     of them; a text of one to four words is one shingle.
@@ -225,7 +227,9 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", similar
     null id are compared like others, but do not name a class that has an id; rows that share an id are
     compared like others. Ids are integers; other columns are not read. An empty table gives no rows.
     """
-    rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    rows = docs.select(
+        F.col(id).cast("long").alias("id"), row_key(id, text).alias("key"), F.col(text).alias("text")
+    )
     every = stored(rows.mapInArrow(_noded, _NODES), "sets")
     nodes = stored(
         every.where("node IS NOT NULL")
@@ -233,6 +237,7 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", similar
         .agg(
             F.count("*").alias("copies"),
             F.min("id").alias("id"),
+            F.min(_place()).alias("place"),
             F.first("n").alias("n"),
             F.first("paths").alias("paths"),
             F.first("sketch").alias("sketch"),
@@ -263,32 +268,44 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", similar
         .union(parted.select("node", F.col("component").alias("class")))
     )
     known = (
-        nodes.select("node", "copies", F.col("id").alias("least"))
+        nodes.select("node", "copies", F.col("id").alias("least"), "place")
         .join(links, "node", "left")
         .join(classes, "node", "left")
         .select(
             "node",
             F.coalesce("class", "node").alias("class"),
             "least",
+            "place",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
-    named = known.groupBy("class").agg(F.min("least").alias("class_id"))
-    judged = known.join(named, "class").select("node", "class_id", "n_links")
+    named = known.groupBy("class").agg(F.min("least").alias("class_id"), F.min("place").alias("leading"))
+    judged = known.join(named, "class").select("node", "class_id", "n_links", "leading")
     return (
-        every.select("id", "node")
+        every.select("id", "key", "node")
         .join(judged, "node", "left")
         .select(
             F.col("id").alias(id),
             F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+            "key",
+            (F.col("node").isNull() | (_place() == F.col("leading"))).alias("first"),
         )
     )
 
 
+def row_key(id: str, text: str) -> Column:
+    return F.xxhash64(F.col(id).cast("long"), F.col(text))
+
+
+def _place() -> Column:
+    """Orders rows by id, those without one last, and then by key."""
+    return F.struct(F.col("id").isNull().alias("late"), F.coalesce("id", F.lit(0)).alias("id"), F.col("key").alias("key"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of near copies among all documents and the number of links of each."""
-    return near_copies(table(spark, sf_dir, "documents"))
+    return near_copies(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
 QUERIES = {"op3_ngram_join": op3_ngram_join}

@@ -217,7 +217,7 @@ def remove_repeats(
         F.coalesce(F.col(id).cast("long"), F.lit(_LAST)).alias("id"),
         F.col(id).alias("own_id"),
         F.col(text).alias("text"),
-        *(F.col(f"`{name}`").alias(f"own_{name}") for name in carried),
+        *(F.col(f"`{name}`").alias(f"carried_{i}") for i, name in enumerate(carried)),
     )
     buckets = 1 + text_bytes(docs, text) // BUCKET_BYTES
     answers = (
@@ -234,7 +234,7 @@ def remove_repeats(
         .agg(F.collect_list("values").alias("values"))
     )
     kinds = {"n_words": "long", "n_removed": "long", "removed": "array<array<bigint>>", "left": "string", "kept": "string", "kept_sha256": "string"}
-    own = ["own_id", *(f"own_{name}" for name in carried)]
+    own = ["own_id", *(f"carried_{i}" for i in range(len(carried)))]
     names = [*own, *outputs]
     fields = [f"`{name}` {rows.schema[name].dataType.simpleString()}" for name in own]
     ddl = ", ".join([*fields, *(f"{n} {kinds[n]}" for n in outputs)])
