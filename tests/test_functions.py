@@ -22,9 +22,18 @@ def values(spark, function, *inputs):
 
 def test_event_time(spark):
     got = values(
-        spark, times.event_time, "2024-02-01 12:30:00", "bad", None, "2024-02-30 00:00:00", "2024-02-01T12:30:00", "2024"
+        spark,
+        times.event_time,
+        "2024-02-01 12:30:00",
+        "bad",
+        None,
+        "2024-02-30 00:00:00",
+        "2024-02-01T12:30:00",
+        "2024",
+        "2024-02-01 12:30:00.25",
     )
-    assert got == [dt.datetime(2024, 2, 1, 12, 30), None, None, None, None, None]
+    noon = dt.datetime(2024, 2, 1, 12, 30)
+    assert got == [noon, None, None, None, noon, None, noon.replace(microsecond=250000)]
 
 
 def test_noon_is_twelve(spark):
@@ -48,7 +57,7 @@ def test_epoch_round_trip(spark):
 
 def test_posted_year(spark):
     assert values(spark, times.posted_year, "2022-05-25", "202", None) == ["2022", "202", None]
-    assert values(spark, times.is_year, "2022", "202", None, "20x2", "20221") == [True, False, False, False, False]
+    assert values(spark, times.has_year, "2022", "202", None, "20x2", "20221") == [True, False, False, True, False]
 
 
 @pytest.mark.parametrize(
@@ -57,7 +66,9 @@ def test_posted_year(spark):
         (">x: 25/05/2022", "2022-05-25"),
         ("25-05-2022", "2022-05-25"),
         ("on  5/05/2022", "2022-05-05"),
-        ("5/5/2022", None),
+        ("5/5/2022", "2022-05-05"),
+        ("25/5/2022", "2022-05-25"),
+        ("25/13/2022", None),
         ("31/02/2022", None),
         ("25/05/2022 ", None),
         ("junk", None),
@@ -125,6 +136,15 @@ def test_request_key(spark):
     got = values(spark, urls.request_key, "http://h/p?b=2&a=1#f", "http://h/p?a=1&b=2", "http://h/p", "http://h/p#f")
     assert got[0] == got[1] == "http://h/p?a=1&b=2"
     assert got[2] == got[3] == "http://h/p"
+    same = ["http://h.org/a/../b", "HTTP://H.org:80/b", "http://h.org/./b#x", "http://h.org/../b"]
+    assert values(spark, urls.request_key, *same) == ["http://h.org/b"] * 4
+    plain = values(spark, urls.request_key, "http://h.org", "https://h.org:443/a/..", "mailto:A@b", "http://h.org/A/.?q=/../")
+    assert plain == ["http://h.org/", "https://h.org/", "mailto:A@b", "http://h.org/A/?q=/../"]
+
+
+def test_is_page(spark):
+    got = values(spark, urls.is_page, "http://h.org/x.PDF?q", "http://h.org/x.html", "http://h.zip", "http://h.org/x?f=a.pdf")
+    assert got == [False, True, True, True]
 
 
 def test_class_token(spark):
@@ -178,6 +198,24 @@ def test_wire_times(spark):
     assert values(spark, t(True), "2024-02-01 10:00:00") == ["2024-02-01 10:00:00Z"]
 
 
+def test_wire_times_in_another_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Jerusalem")
+    try:
+        plain = spark.sql("SELECT timestamp_ntz '2024-03-29 02:30:00.5' AS t, timestamp '2024-02-01 08:00:00Z' AS z")
+        sent = plain.select(wire.wire_time(F.col("t")), wire.wire_time(F.col("t"), True), wire.wire_time(F.col("z"), True))
+        assert tuple(sent.first()) == ("2024-03-29 02:30:00.5", "2024-03-29 02:30:00.5Z", "2024-02-01 08:00:00Z")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_attributes_inside_others(spark):
+    city = lambda c: html.first_attribute(html.visible(c), "a", "ps-2", "href")
+    page = "<a title='go href=wrong x' class='ps-2' href='/city/right'>"
+    other = "<a title='a class=ps-2 b' href='/city/wrong'><a href=\"/city/next\" class=ps-2>"
+    assert values(spark, city, page, other) == ["/city/right", "/city/next"]
+
+
 def test_lines_keep_nulls(spark):
     line = lambda a, b: wire.to_line(a.alias("a"), b.alias("b"))
     assert values(spark, line, ("x", None), ('q"', "שלום")) == ['{"a":"x","b":null}', '{"a":"q\\"","b":"שלום"}']

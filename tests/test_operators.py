@@ -9,10 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from townads.operators import changes, counts, crawl, ordered, rows, series, windows
-from townads.plans import jobs
+from townads.__main__ import parser
+from townads.plans import files, jobs
 from townads.schema import AD_MESSAGE
 from townads.sources import decode, jsonl, tables, topics
 from townads.sources.topics import read_options, write_options
+from townads.streaming import apps
 
 
 def ads(spark, *records):
@@ -373,3 +375,31 @@ def test_frontier(spark):
     )
     links = crawl.in_domains(crawl.extract_links(pages), ["h.org"])
     assert plain(crawl.frontier(links, pages)) == [("http://h.org/c?a=2&b=1",)]
+
+
+def test_base_of_links(spark):
+    pages = spark.createDataFrame(
+        [(1, "http://h.org/a", '<base href="/z/"><a href="q">1</a><a href="x.pdf">2</a>')], "page_id long, url string, html string"
+    )
+    links = crawl.extract_links(pages)
+    assert plain(links, "url") == [("http://h.org/z/q",), ("http://h.org/z/x.pdf",)]
+    assert plain(crawl.in_domains(links, ["h.org"]), "url") == [("http://h.org/z/q",)]
+
+
+def test_file_job_sets_unusable_ads_apart(spark, tmp_path):
+    times = ("2024-02-01 10:00:00", "2024-02-01T10:00:00.5", "junk")
+    df = ads(spark, *((str(i), "A", t) for i, t in enumerate(times)))
+    jsonl.write_ads(df, f"{tmp_path}/in")
+    with pytest.raises(Exception, match="no time in ad 2"):
+        files.run(spark, "count-by-city-sliding", f"{tmp_path}/in", f"{tmp_path}/out")
+    files.run(spark, "count-by-city-sliding", f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/bad")
+    assert [r.ad_id for r in jsonl.read_ads(spark, f"{tmp_path}/bad").collect()] == ["2"]
+    lines = [r.value for r in spark.read.text(f"{tmp_path}/out").collect()]
+    assert lines and all('"num_ads":2' in line or '"num_ads":1' in line for line in lines)
+
+
+def test_live_options():
+    read = apps.live_options("b:1", "ads", "sliding-result", 500)
+    assert read["maxOffsetsPerTrigger"] == "500" and read["kafka.group.id"] == "sliding-result"
+    args = parser().parse_args(["tumbling", "--servers", "b:1", "--checkpoint", "c", "--max-records", "7", "--every", "1 minute"])
+    assert (args.max_records, args.every) == (7, "1 minute")

@@ -13,7 +13,7 @@ from townads.plans import jobs
 from townads.sources import decode, tables, topics
 from townads.schema import TUMBLING_TOPIC
 
-QUERIES = driver.queries()
+QUERIES = driver.QUERIES
 BATCH = [n for n in QUERIES if not n.startswith("stream_") and n not in ("source_stream_replay", "fanout_two_sinks")]
 
 

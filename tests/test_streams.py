@@ -76,6 +76,26 @@ def test_distinct_of_the_script(spark, inbox, tmp_path):
     assert len(got) == 9 and got.count(("A", "1")) == 1
 
 
+def test_distinct_remembers_only_what_it_returns(spark, inbox, tmp_path):
+    query = runs.to_table(jobs.distinct_ads(script_ads(spark, inbox)), f"{tmp_path}/out", f"{tmp_path}/cp")
+    finish(query)
+    kept = query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+    assert kept == spark.read.parquet(f"{tmp_path}/out").count() == 8
+
+
+def test_a_failing_query_ends_the_job(spark, inbox, tmp_path):
+    def fail(batch, batch_id):
+        raise ValueError("side query")
+
+    lines = topics.read_lines(spark, inbox)
+    ends = runs.to_batches(lines, fail, f"{tmp_path}/a", every="1 second")
+    lasts = runs.to_batches(lines, runs.write_parquet(f"{tmp_path}/out"), f"{tmp_path}/b", every="1 hour")
+    with pytest.raises(Exception, match="side query"):
+        apps.await_all(spark, [lasts, ends])
+    assert not lasts.isActive
+    spark.streams.resetTerminated()
+
+
 def test_distinct_with_bounded_state(spark, inbox, tmp_path):
     timed = rows.with_event_time(script_ads(spark, inbox), zoned=True)
     finish(runs.to_table(jobs.distinct_ads(timed, "5 seconds"), f"{tmp_path}/out", f"{tmp_path}/cp"))

@@ -20,6 +20,7 @@ def parser() -> argparse.ArgumentParser:
         file_job = job.add_parser(name, help="JSONL file of ads to change lines")
         file_job.add_argument("--input", required=True)
         file_job.add_argument("--output", required=True)
+        file_job.add_argument("--quarantine", help="folder for ads that cannot be used; without it they fail the job")
     extract = job.add_parser("extract", help="stored pages to a JSONL file of ads")
     extract.add_argument("--input", required=True)
     extract.add_argument("--output", required=True)
@@ -31,6 +32,8 @@ def parser() -> argparse.ArgumentParser:
         live.add_argument("--target", default=apps.LIVE[name][0])
         live.add_argument("--quarantine", help="folder for messages that cannot be used")
         live.add_argument("--strict", action="store_true", help="fail on such messages instead")
+        live.add_argument("--max-records", type=int, default=apps.MAX_RECORDS, help="records in a micro-batch")
+        live.add_argument("--every", default=apps.EVERY, help="time between micro-batches")
     return top
 
 
@@ -38,7 +41,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"townads {args.job}")
     if args.job in files.FILE_JOBS:
-        files.run(spark, args.job, args.input, args.output)
+        files.run(spark, args.job, args.input, args.output, args.quarantine)
     elif args.job == "extract":
         found = crawl.extract_ads(pages.read_pages(spark, args.input), F.current_timestamp())
         jsonl.write_ads(found, args.output)
@@ -52,9 +55,10 @@ def main(argv: list[str] | None = None) -> None:
             target=args.target,
             quarantine=args.quarantine,
             strict=args.strict,
+            max_records=args.max_records,
+            every=args.every,
         )
-        for query in queries:
-            query.awaitTermination()
+        apps.await_all(spark, queries)
 
 
 if __name__ == "__main__":

@@ -6,13 +6,12 @@ and styles are skipped. Text is what stands between a start tag and the next tag
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 # Possessive throughout: a tag that never closes must not backtrack over the rest of the page.
+_ATTRIBUTE = r"""[^\s"'<>/=]++\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s"'>]++)"""
 _INSIDE_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 
 
@@ -25,11 +24,18 @@ def start_tags(html: Column, names: str) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?i)<(?:{names})\s{_INSIDE_TAG}>"), 0)
 
 
+def _values(tag: Column, name: str) -> Column:
+    """Values of one attribute of a tag, in quotes if they were written so. The attributes are taken one
+    after the other, so what looks like one inside another's value is none."""
+    every = F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), 0)
+    own = F.filter(every, lambda a: a.rlike(rf"(?i)^{name}\s*="))
+    return F.transform(own, lambda a: F.regexp_replace(a, r"^[^=]*=\s*", ""))
+
+
 def attributes(tags: Column, name: str) -> Column:
     """Values of one attribute on those of ``tags`` that carry it."""
-    pattern = rf"""(?i)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    quoted = F.filter(F.transform(tags, lambda t: F.regexp_extract(t, pattern, 1)), lambda v: v != "")
-    return F.transform(quoted, _unquoted)
+    first = F.transform(tags, lambda t: F.get(_values(t, name), F.lit(0)))
+    return F.transform(F.filter(first, lambda v: v.isNotNull()), _unquoted)
 
 
 def _unquoted(value: Column) -> Column:
@@ -38,9 +44,7 @@ def _unquoted(value: Column) -> Column:
 
 
 def has_class(tag: Column, token: str) -> Column:
-    word = re.escape(token)
-    quoted = "|".join(rf"{q}(?:[^{q}]*\s)?{word}(?:\s[^{q}]*)?{q}" for q in "\"'")
-    return tag.rlike(rf"(?i:\sclass)\s*=\s*(?:{quoted}|{word}(?=[\s>]))")
+    return F.exists(_values(tag, "class"), lambda v: F.array_contains(F.split(_unquoted(v), r"\s+"), token))
 
 
 def first_attribute(html: Column, tag: str, token: str, name: str) -> Column:
@@ -57,6 +61,11 @@ def first_text(html: Column, tag: str, token: str) -> Column:
     return F.regexp_replace(F.get(matching, F.lit(0)), start, "")
 
 
+def base(html: Column) -> Column:
+    """The address that a page wants its relative links to start from, as written; NULL without one."""
+    return F.get(attributes(start_tags(html, "base"), "href"), F.lit(0))
+
+
 def links(html: Column) -> Column:
     """Distinct link targets of a page as written, surrounding blanks removed."""
     targets = attributes(start_tags(html, "a|area"), "href")

@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _AD_MARK = "/ad/"
+# Endings of files that are no pages.
+_NO_PAGES = (
+    "7z", "avi", "bmp", "css", "doc", "docx", "exe", "gif", "gz", "ico", "iso", "jpeg", "jpg", "js", "m4a", "mov", "mp3",
+    "mp4", "ogg", "pdf", "png", "ppt", "pptx", "rar", "svg", "tar", "tif", "tiff", "wav", "webm", "webp", "xls", "xlsx", "zip",
+)
 _ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
@@ -55,10 +60,32 @@ def is_fetchable(url: Column) -> Column:
     return url.rlike(r"^(?i)https?://")
 
 
+def is_page(url: Column) -> Column:
+    """FALSE for files that hold no markup, by the ending of the path."""
+    path = F.regexp_extract(url, r"^[^?#]*", 0)
+    return ~path.rlike(rf"(?i)://[^/]+/.*[.](?:{'|'.join(_NO_PAGES)})$")
+
+
+def _without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments resolved; at least ``/``."""
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))
+        return F.when(part == ".", done).when(part == "..", up).otherwise(F.concat(done, F.array(part)))
+
+    parts = F.split(F.regexp_replace(path, r"/[.]{1,2}$", "$0/"), "/")
+    joined = F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/")
+    return F.when(joined == "", F.lit("/")).otherwise(joined)
+
+
 def request_key(url: Column) -> Column:
-    """What two URLs share when they ask for the same page: no fragment, query arguments sorted."""
+    """One spelling of all URLs that ask for the same page: scheme and host in lower case, no default port
+    and no fragment, dot segments resolved, query arguments sorted."""
     bare = F.regexp_replace(url, r"#.*$", "")
     query = F.regexp_extract(bare, r"\?(.*)$", 1)
     ordered = F.array_join(F.array_sort(F.split(query, "&")), "&")
-    path = F.regexp_replace(bare, r"\?.*$", "")
-    return F.when(query == "", path).otherwise(F.concat(path, F.lit("?"), ordered))
+    origin = F.lower(F.regexp_extract(bare, _ORIGIN, 1))
+    origin = F.regexp_replace(origin, r"^(http://.*):80$|^(https://.*):443$", "$1$2")
+    path = _without_dots(F.regexp_extract(bare, r"^[^:]*://[^/?]*([^?]*)", 1))
+    page = F.when(origin == "", F.regexp_replace(bare, r"\?.*$", "")).otherwise(F.concat(origin, path))
+    return F.when(query == "", page).otherwise(F.concat(page, F.lit("?"), ordered))

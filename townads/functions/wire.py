@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from townads.functions import times
+
 
 def wire_time(ts: Column, zoned: bool = False) -> Column:
-    """Result time as ``yyyy-MM-dd HH:mm:ss`` plus the milliseconds if any; ``Z`` marks UTC."""
-    text = F.date_trunc("MILLISECOND", ts).cast("string")
+    """Result time as ``yyyy-MM-dd HH:mm:ss`` plus the milliseconds if any; ``Z`` marks UTC.
+
+    With ``zoned`` a zoned time is turned to UTC, whatever the zone of the session, and a zone-less one
+    is taken as UTC. Otherwise a zone-less time stays as it is and a zoned one is given in the session's zone.
+    """
+    plain = ts.cast("timestamp_ntz")
+    if zoned:
+        utc = F.timestamp_add("MICROSECOND", F.unix_micros(ts.cast("timestamp")), times.epoch())
+        plain = F.when(F.typeof(ts) == "timestamp", utc).otherwise(plain)
+    # Milliseconds, without zeros at their end. Truncating functions would give the time a zone.
+    text = F.regexp_replace(F.regexp_replace(plain.cast("string"), r"([.]\d{3})\d+$", "$1"), r"([.]\d*?)0+$", "$1")
+    text = F.regexp_replace(text, r"[.]$", "")
     return F.concat(text, F.lit("Z")) if zoned else text
 
 

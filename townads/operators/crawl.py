@@ -38,29 +38,30 @@ def extract_ads(
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
-    """Distinct link targets per page, as written (``link``) and absolute (``url``)."""
-    links = pages.select(
-        "page_id",
-        F.col("url").alias("page_url"),
-        F.explode(html.links(html.visible(F.col("html")))).alias("link"),
+    """Distinct link targets per page, as written (``link``) and absolute (``url``); a page's ``base``
+    takes the place of its own URL."""
+    bodies = pages.select("page_id", "url", html.visible(F.col("html")).alias("body"))
+    base = urls.absolute(html.base(F.col("body")), F.col("url"))
+    links = bodies.select(
+        "page_id", F.coalesce(base, F.col("url")).alias("page_url"), F.explode(html.links(F.col("body"))).alias("link")
     )
     return links.select("page_id", "link", urls.absolute(F.col("link"), F.col("page_url")).alias("url"))
 
 
 def in_domains(links: DataFrame, domains: list[str]) -> DataFrame:
-    """Links that may be followed: web links into the domains or their sub-domains."""
+    """Links that may be followed: web links to pages in the domains or their sub-domains."""
     allowed = F.lit(False)
     for domain in domains:
         allowed = allowed | urls.in_domain(F.col("url"), domain)
-    return links.filter(urls.is_fetchable(F.col("url")) & allowed)
+    return links.filter(urls.is_fetchable(F.col("url")) & urls.is_page(F.col("url")) & allowed)
 
 
 def frontier(links: DataFrame, seen: DataFrame) -> DataFrame:
-    """URLs to fetch next: linked, not seen yet, each once. A repeated request counts as seen.
+    """URLs to fetch next: linked, not seen yet, each once and in one spelling.
 
     Links are reduced to distinct ones before the anti join, so a link on every page is one row
     per task by the time it is shuffled.
     """
-    wanted = links.groupBy(urls.request_key(F.col("url")).alias("key")).agg(F.min("url").alias("url"))
-    known = seen.select(urls.request_key(F.col("url")).alias("key")).distinct()
-    return wanted.join(known, "key", "left_anti").select("url")
+    wanted = links.select(urls.request_key(F.col("url")).alias("url")).distinct()
+    known = seen.select(urls.request_key(F.col("url")).alias("url")).distinct()
+    return wanted.join(known, "url", "left_anti")

@@ -33,9 +33,10 @@ def with_posted_year(ads: DataFrame) -> DataFrame:
 
 
 def with_valid_year(ads: DataFrame, strict: bool = False) -> DataFrame:
-    """Adds ``posted_year``; ads without one are left out, or fail the job when ``strict``."""
+    """Adds ``posted_year``, the first four characters of the posting date whatever they are; ads with
+    fewer are left out, or fail the job when ``strict``."""
     dated = with_posted_year(ads)
-    valid = times.is_year(F.col("posted_year"))
+    valid = times.has_year(F.col("posted_year"))
     if strict:
         failure = F.raise_error(F.concat(F.lit("no posting year in ad "), F.coalesce("ad_id", F.lit("?"))))
         return dated.filter(F.when(valid, F.lit(True)).otherwise(failure.cast("boolean")))

@@ -428,11 +428,9 @@ def filter_domain(spark, sf_dir):
 
 @query
 def link_frontier(spark, sf_dir):
-    """Links to pages not stored yet. Addresses of stored pages are added to the links as seen."""
+    """Links to pages not stored yet."""
     pages = tables.ad_pages(spark, sf_dir)
-    links = crawl.in_domains(crawl.extract_links(pages), [DOMAIN])
-    own = pages.select("page_id", F.col("url").alias("link"), "url")
-    return crawl.frontier(links.unionByName(crawl.in_domains(own, [DOMAIN])), pages)
+    return crawl.frontier(crawl.in_domains(crawl.extract_links(pages), [DOMAIN]), pages)
 
 
 # --- streams -----------------------------------------------------------------------------------
@@ -544,6 +542,28 @@ def stream_changelog(spark, sf_dir):
     )
 
 
+@query
+def stream_posted_date(spark, sf_dir):
+    """Counts by posting day, in no order and however old, kept up to date; the latest of each counts."""
+
+    def start(lines, folder):
+        counted = jobs.ads_by_posting_day(runs.ads_from_lines(lines))
+        return runs.to_batches(counted, runs.write_parquet(f"{folder}/out"), f"{folder}/cp", "update")
+
+    folder = replay.replay(spark, replay.in_order(tables.ads(spark, sf_dir)), start)
+    keys = ["city", "posted_year", "w_start", "w_end"]
+    latest = spark.read.parquet(f"{folder}/out").groupBy(*keys).agg(F.max_by("num_ads", "batch").alias("num_ads"))
+    return _zoneless(latest.select("city", "num_ads", "posted_year", "w_start", "w_end"))
+
+
+@query
+def batch_quarantine_counts(spark, sf_dir):
+    """Every message is either used or set apart with a reason."""
+    told = runs.decoded(tables.messages(spark, sf_dir))
+    side = F.when(F.col("reason").isNull(), "good").otherwise("bad").alias("side")
+    return told.groupBy(side).agg(F.count("*").alias("num_messages"))
+
+
 @query
 def stream_quarantine(spark, sf_dir):
     """Bad messages of a stream with their reason, set apart while the good ads are counted on."""

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from townads.functions import times
 from townads.operators import changes, rows
 from townads.plans import jobs
 from townads.sources import jsonl
@@ -33,7 +35,8 @@ def count_by_city(ads: DataFrame) -> DataFrame:
 
 
 def count_by_city_sliding(ads: DataFrame) -> DataFrame:
-    return changes.as_inserts(jobs.windowed_text(jobs.ads_by_city_uneven(ads)))
+    """Fails on an ad without a readable time, which would be in no window."""
+    return changes.as_inserts(jobs.windowed_text(jobs.ads_by_city_uneven(ads, strict=True)))
 
 
 FILE_JOBS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -45,6 +48,18 @@ FILE_JOBS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def run(spark: SparkSession, name: str, source: str, target: str) -> None:
-    """Runs one of the jobs; a line that is no JSON fails it."""
-    FILE_JOBS[name](jsonl.read_ads(spark, source, mode="FAILFAST")).write.mode("overwrite").text(target)
+# Jobs that need the time of every ad.
+TIMED = ("count-by-city-sliding",)
+
+
+def run(spark: SparkSession, name: str, source: str, target: str, quarantine: str | None = None) -> None:
+    """Runs one of the jobs; a line that is no JSON fails it.
+
+    So does an ad that the job cannot use, unless there is a ``quarantine`` folder: such ads then go there.
+    """
+    ads = jsonl.read_ads(spark, source, mode="FAILFAST")
+    if quarantine:
+        usable = times.event_time(F.col("scraped_time")).isNotNull() if name in TIMED else F.lit(True)
+        jsonl.write_ads(ads.filter(~usable), quarantine)
+        ads = ads.filter(usable)
+    FILE_JOBS[name](ads).write.mode("overwrite").text(target)

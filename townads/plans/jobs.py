@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townads.functions import wire
+from townads.functions import times, wire
 from townads.functions.times import seconds
 from townads.operators import counts, rows, windows
 from townads.schema import SLIDING_TOPIC, TUMBLING_TOPIC
@@ -55,8 +55,13 @@ def recent_ads_by_city(ads: DataFrame, now: Column, span: str = "30 minutes") ->
 
     Ads too old to be in such a window are dropped before they are counted.
     """
-    reach = f"{seconds(span) + seconds(SLIDING_SIZE)} seconds"
-    counted = rows.recent(rows.with_event_time(ads), now, reach)
+    reach = seconds(span) + seconds(SLIDING_SIZE)
+    # Text of one form sorts as time does, and a bound on it reaches the scan; the exact filter follows.
+    # A day of slack covers the form with a T, which sorts after the other one of the same day.
+    oldest, newest = now - F.make_dt_interval(secs=F.lit(reach)), now + F.make_dt_interval(days=F.lit(1))
+    text = F.col("scraped_time")
+    near = ads.filter((text >= times.stamp(oldest)) & (text < times.stamp(newest)))
+    counted = rows.recent(rows.with_event_time(near), now, f"{reach} seconds")
     return rows.recent(ads_by_city(counted.drop("ts")), now, span, "window_end")
 
 
@@ -76,17 +81,23 @@ def ads_by_city_sql(ads: DataFrame, lateness: str = LATENESS) -> DataFrame:
     )
 
 
-def ads_by_city_uneven(ads: DataFrame) -> DataFrame:
+def ads_by_city_uneven(ads: DataFrame, strict: bool = False) -> DataFrame:
     """Windows of five seconds every two, so that neighbours overlap by parts of a step."""
-    known = rows.known_cities(timed(ads, UNEVEN_LATENESS))
+    known = rows.known_cities(timed(ads, UNEVEN_LATENESS, strict))
     return windows.sliding_counts(known, ["city"], UNEVEN_SIZE, UNEVEN_STEP)
 
 
-def ads_by_posting_day(ads: DataFrame, size: str = "1 day", lateness: str = "365 days") -> DataFrame:
-    """The tumbling job on the day an ad was posted instead of the time it was scraped."""
+def ads_by_posting_day(ads: DataFrame, size: str = "1 day", lateness: str | None = None) -> DataFrame:
+    """The tumbling job on the day an ad was posted instead of the time it was scraped.
+
+    Posting days come in no order, so a stream counts every ad however old: write it in update mode; its
+    state has one row per city, year and day. A ``lateness`` bounds that state and allows append mode,
+    but then ads posted earlier than that before the newest one are not counted.
+    """
     posted = rows.with_posting_time(rows.with_valid_year(ads))
     if ads.isStreaming:
-        posted = posted.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
+        posted = posted.withColumn("ts", F.col("ts").cast("timestamp"))
+        posted = posted.withWatermark("ts", lateness) if lateness else posted
     found = windows.tumbling_counts(posted, ["city", "posted_year"], size)
     return rows.named_cities(found).select("city", "num_ads", "posted_year", "w_start", "w_end")
 
@@ -110,7 +121,8 @@ def running_counts(ads: DataFrame) -> DataFrame:
 
 
 def distinct_ads(ads: DataFrame, within: str | None = None) -> DataFrame:
-    return rows.known_cities(counts.distinct(ads, ["city", "ad_id"], within))
+    # The filter comes first: a stream would remember for ever what it then drops.
+    return counts.distinct(rows.known_cities(ads), ["city", "ad_id"], within)
 
 
 def tumbling_messages(result: DataFrame) -> DataFrame:
@@ -130,13 +142,13 @@ def windowed_text(result: DataFrame) -> DataFrame:
 
 
 def _tumbling_fields() -> list:
-    times = [wire.wire_time(F.col(c)).alias(c) for c in ("w_start", "w_end")]
-    return [F.col("city"), F.col("num_ads"), F.col("posted_year"), *times]
+    bounds = [wire.wire_time(F.col(c)).alias(c) for c in ("w_start", "w_end")]
+    return [F.col("city"), F.col("num_ads"), F.col("posted_year"), *bounds]
 
 
 def _sliding_fields() -> list:
-    times = [wire.wire_time(F.col(c), zoned=True).alias(c) for c in _SLIDING_BOUNDS]
-    return [F.col("city"), F.col("num_ads"), *times]
+    bounds = [wire.wire_time(F.col(c), zoned=True).alias(c) for c in _SLIDING_BOUNDS]
+    return [F.col("city"), F.col("num_ads"), *bounds]
 
 
 def result_topics(ads: DataFrame) -> DataFrame:

@@ -119,7 +119,9 @@ ad_pages AS (
                              || '" class="btn ps-2">x</a>' END
                 || CASE WHEN page_id % 6 = 0 THEN ''
                         WHEN page_id % 11 = 0 THEN '<div class="px-3">soon</div>'
-                        ELSE '<div class="px-3">Posted: 25/05/202' || (page_id % 5) || '</div>' END AS html
+                        ELSE '<div class="px-3">Posted: 25/05/202' || (page_id % 5) || '</div>' END
+                || CASE WHEN page_id % 3 = 0 THEN '<a href="https://BOARD.example.com/x/../ad/' || (page_id + 1) || '">x</a>'
+                        ELSE '' END AS html
     FROM pages
 ),
 bodies AS (
@@ -163,6 +165,10 @@ sums AS (SELECT {by}, w_start, CAST(sum(num_ads) AS BIGINT) AS num_ads FROM tumb
 SELECT *, CAST(sum(num_ads) OVER (PARTITION BY {by} ORDER BY w_start) AS BIGINT) AS total FROM sums"""
 
 
+_POSTED_DAYS = f"""WITH {_ADS}
+SELECT city, count(ad_id) AS num_ads, posted_year, CAST(CAST(posted_date AS DATE) AS TIMESTAMP) AS w_start,
+       CAST(posted_date AS DATE) + INTERVAL 1 DAY AS w_end
+FROM timed WHERE city <> '' AND posted_date IS NOT NULL GROUP BY city, posted_year, posted_date"""
 _ALL_SLIDING = f"WITH {_ADS}, {_sliding(60, 10)}"
 _SLIDING_RESULT = _ALL_SLIDING + """
 SELECT city, num_ads, w_start AS window_start, w_end AS window_end FROM sliding"""
@@ -219,6 +225,9 @@ SELECT {_BAD_LINE} AS value,
        CASE WHEN kind = 'oops' THEN 'bad json' WHEN kind = 'extra' THEN 'unknown field'
             WHEN kind = 'bad time' THEN 'bad scraped_time' ELSE 'bad posted_date' END AS reason
 FROM kinds WHERE kind IN ('oops', 'extra', 'bad time') OR posted_date IS NULL""",
+    "batch_quarantine_counts": f"""WITH {_MESSAGES}
+SELECT CASE WHEN kind IN ('oops', 'bad time') THEN 'bad' ELSE 'good' END AS side, count(*) AS num_messages
+FROM kinds GROUP BY 1""",
     "read_result_topics": f"""WITH {_ADS}, {_TUMBLING}, {_sliding(60, 10)}
 SELECT 'ads-by-city-and-year-tmbl-win' AS topic, 0 AS partition, CAST(NULL AS VARCHAR) AS message_key,
        city, CAST(num_ads AS VARCHAR) AS num_ads, posted_year, w_end AS ts FROM tumbling
@@ -283,10 +292,7 @@ SELECT ad_id, city, ts, make_timestamp(st * 1000000) AS window_start,
 FROM (SELECT *, unnest(generate_series(s // 10 * 10, s - 59, -10)) AS st FROM timed)""",
     "session_city_count": f"WITH {_ADS}, {_SESSIONS} {_SESSION_ROWS}",
     "topk_cities": f"WITH {_ADS}, {_hourly()} {_TOPK}",
-    "tumbling_posted_date": f"""WITH {_ADS}
-SELECT city, count(ad_id) AS num_ads, posted_year, CAST(CAST(posted_date AS DATE) AS TIMESTAMP) AS w_start,
-       CAST(posted_date AS DATE) + INTERVAL 1 DAY AS w_end
-FROM timed WHERE city <> '' AND posted_date IS NOT NULL GROUP BY city, posted_year, posted_date""",
+    "tumbling_posted_date": _POSTED_DAYS,
     "count_changelog": f"WITH {_CHANGES} SELECT * FROM changes",
     # roll-ups over time
     "sum_over_time_city": _step_sum("city", 1800),
@@ -334,11 +340,13 @@ FROM parsed
 WHERE city <> '' AND (t IS NULL OR try_strptime(right(t, 10), '%d/%m/%Y') IS NOT NULL)""",
     "extract_links": f"WITH {_LINKS} SELECT page_id, link, url FROM links",
     "filter_domain": f"WITH {_LINKS} SELECT page_id, link, url FROM links WHERE {_IN_DOMAIN}",
-    "link_frontier": f"""WITH {_LINKS}
-SELECT DISTINCT url FROM links
+    "link_frontier": f"""WITH {_LINKS},
+spelt AS (SELECT replace(replace(url, '//BOARD.', '//board.'), '/x/../', '/') AS url FROM links)
+SELECT DISTINCT url FROM spelt
 WHERE {_IN_DOMAIN} AND url NOT IN (SELECT regexp_replace(url, '#.*$', '') FROM ad_pages)""",
     # streams
     "stream_tumbling": _TUMBLING_RESULT,
+    "stream_posted_date": _POSTED_DAYS,
     "stream_monotonic": _TUMBLING_RESULT,
     "stream_sliding": _SLIDING_RESULT,
     "stream_sliding_uneven": _UNEVEN_RESULT,

@@ -43,7 +43,9 @@ def _once(parsed: Column, name: str) -> Column:
 
 
 def _present(members: Column, name: str) -> Column:
-    return F.when(F.map_contains_key(members, name), F.try_element_at(members, F.lit(name))).when(
+    # Of a name that occurs twice the last value counts, as in the declared reader.
+    named = F.filter(F.map_entries(members), lambda e: e.key == name)
+    return F.when(F.size(named) > 0, F.try_element_at(named, F.lit(-1))["value"]).when(
         members.isNotNull(), F.lit("")
     )
 
@@ -80,7 +82,7 @@ def check_times(decoded: DataFrame, posting_date: bool = True) -> DataFrame:
         times.event_time(F.col("scraped_time")).isNull(), F.lit(BAD_TIME)
     )
     if posting_date:
-        reason = reason.when(~times.is_year(times.posted_year(F.col("posted_date"))), F.lit(BAD_DATE))
+        reason = reason.when(~times.has_year(times.posted_year(F.col("posted_date"))), F.lit(BAD_DATE))
     return decoded.withColumn("reason", reason)
 
 

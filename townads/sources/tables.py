@@ -76,6 +76,11 @@ def ad_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit('<div class="px-3">Posted: 25/05/202'), (n % 5).cast("string"), F.lit("</div>"))
         )
     )
+    # A third of the pages link to a stored page, or to one not stored, in an unusual spelling.
+    other = F.when(
+        n % 3 == 0,
+        F.concat(F.lit('<a href="https://BOARD.example.com/x/../ad/'), (n + 1).cast("string"), F.lit('">x</a>')),
+    ).otherwise("")
     return read_pages(spark, f"{sf_dir}/pages.parquet").select(
-        "page_id", url.alias("url"), F.concat("html", link, date).alias("html")
+        "page_id", url.alias("url"), F.concat("html", link, date, other).alias("html")
     )

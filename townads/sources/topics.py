@@ -46,9 +46,12 @@ def read_lines(spark: SparkSession, path: str, streaming: bool = True, **options
     return reader.schema(T.StructType([T.StructField("value", T.StringType())])).text(path)
 
 
-def write_topic(rows: DataFrame, options: dict, checkpoint: str, mode: str = "append"):
-    """Starts a stream that sends the ``value`` column of ``rows`` to a topic."""
+def write_topic(rows: DataFrame, options: dict, checkpoint: str, mode: str = "append", every: str | None = None):
+    """Starts a stream that sends the ``value`` column of ``rows`` to a topic, each time ``every`` has
+    passed, or as soon as it can."""
     writer = rows.select("value").writeStream.format("kafka").options(**options)
+    if every:
+        writer = writer.trigger(processingTime=every)
     return writer.option("checkpointLocation", checkpoint).outputMode(mode).start()
 
 

@@ -12,6 +12,10 @@ from townads.schema import ADS_TOPIC, SLIDING_TOPIC, TUMBLING_TOPIC
 from townads.sources import decode, topics
 from townads.streaming import runs
 
+# A first micro-batch from the earliest offset is no larger than any other.
+MAX_RECORDS = 1_000_000
+EVERY = "10 seconds"
+
 # Name of a live job: its result topic, how it reads messages, what it computes and sends.
 LIVE = {
     "tumbling": (TUMBLING_TOPIC, True, jobs.ads_by_city_and_year, jobs.tumbling_messages),
@@ -41,20 +45,48 @@ def start_live(
     target: str | None = None,
     quarantine: str | None = None,
     strict: bool = False,
-    read: Callable[[], DataFrame] | None = None,
+    max_records: int = MAX_RECORDS,
+    every: str = EVERY,
+    read: Callable[[str], DataFrame] | None = None,
 ) -> list[StreamingQuery]:
-    """Starts a live job and, given a ``quarantine`` folder, the query that fills it."""
+    """Starts a live job and, given a ``quarantine`` folder, the query that fills it.
+
+    Windows close in append mode, so both cannot share one sink; each query reads the topic with a
+    consumer group of its own, at most ``max_records`` records in a micro-batch.
+    """
     topic = target or LIVE[name][0]
     if read is None:
-        def read():
-            return topics.read_topics(spark, topics.read_options(servers, [source], f"{topic}-spark"))
+        def read(purpose: str) -> DataFrame:
+            return topics.read_topics(spark, live_options(servers, source, f"{topic}-{purpose}", max_records))
 
     started = [
         topics.write_topic(
-            result_messages(name, read(), strict), topics.write_options(servers, topic), f"{checkpoint}/result"
+            result_messages(name, read("result"), strict),
+            topics.write_options(servers, topic),
+            f"{checkpoint}/result",
+            every=every,
         )
     ]
     if quarantine and not strict:
-        bad = rejected(name, read()).writeStream.option("checkpointLocation", f"{checkpoint}/quarantine")
-        started.append(bad.format("parquet").start(quarantine))
+        bad = rejected(name, read("quarantine")).writeStream.option("checkpointLocation", f"{checkpoint}/quarantine")
+        started.append(bad.trigger(processingTime=every).format("parquet").start(quarantine))
     return started
+
+
+def live_options(servers: str, source: str, group: str, max_records: int) -> dict:
+    return topics.read_options(servers, [source], group, maxOffsetsPerTrigger=str(max_records))
+
+
+def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+    """Waits until one of the queries ends; the others are stopped then, and its failure is raised."""
+    spark.streams.resetTerminated()  # of queries that ended before
+    try:
+        while all(query.isActive for query in queries):
+            spark.streams.awaitAnyTermination(5)
+    finally:
+        ended = [query for query in queries if not query.isActive]
+        for query in queries:
+            if query.isActive:
+                query.stop()
+    for query in ended:
+        query.awaitTermination()  # raises what it failed with
