@@ -77,6 +77,17 @@ def test_messages_are_parsed_once(spark, small):
     assert plan(topics.samples(records, TUMBLING_TOPIC)).count("from_json") == 1
 
 
+def test_recent_range_reaches_the_scan(spark, stored):
+    now = F.lit("2024-01-20 12:00:00").cast("timestamp_ntz")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        pushed, _ = scan(plan(jobs.recent_ads_by_city(stored, now)))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(scraped_time,2024-01-20 11:29:00)" in pushed
+    assert "LessThan(scraped_time,2024-01-21 12:00:00)" in pushed
+
+
 def test_one_topic_of_two_computes_one_job(spark, small):
     text = plan(topics.samples(jobs.result_topics(tables.ads(spark, small)), TUMBLING_TOPIC))
     assert text.count("FileScan") == 1 and "Union" not in text
