@@ -11,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from townads.llm.frames import table
+from townads.llm.frames import stored, table
 from townads.llm.vocabulary import Encoder, shipped, splits_at_spaces
 from townads.session import scratch_folder
 
@@ -81,6 +81,8 @@ def count_tokens(
         .groupBy("content")
         .agg(F.max("n_tokens").alias("n_tokens"))
     )
+    # A table of its own: a join with an aggregate cannot split the rows of a content with many copies.
+    counts = stored(counts, "counts")
     return rows.select("id", "n_bytes", "content").join(counts, "content").select(
         F.col("id").alias(id), "n_bytes", "n_tokens"
     )
