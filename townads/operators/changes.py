@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from townads.functions import wire
-from townads.operators.ordered import numbered
+from townads.operators.ordered import running
 
 INSERT, DELETE = "INSERT", "DELETE"
+# Changes of one moment are written out in blocks of so many, so that no array holds a hot moment.
+BLOCK = 4096
 
 
 def count_changes(rows: DataFrame, key: str = "city", value: str = "ad_id", slices: int | None = None) -> DataFrame:
@@ -17,15 +19,24 @@ def count_changes(rows: DataFrame, key: str = "city", value: str = "ad_id", slic
     Columns: key, ts, seq, op, num_ads. ``seq`` orders the changes of one key. A row without a
     value changes nothing, except that the first row of a key always makes the key appear.
     """
-    counted = numbered(rows.select(key, "ts", value), [key], ["ts", value], value, slices)
-    new, first = F.col("value_no"), F.col("row_no") == 1
-    counts = F.col(value).isNotNull()
+    # Only the counts of a moment matter, not the single rows, so these are counted before the shuffle.
+    moments = rows.groupBy(key, "ts").agg(F.count("*").alias("_rows"), F.count(value).alias("_values"))
+    counted = running(moments, [key], ["ts"], "_values", slices)
+    # Rows without a value come first within a moment; as the first of all they show the key with 0.
+    first, blank = F.col("row_no") == 1, F.col("_rows") > F.col("_values")
+    low = F.when(first & blank, 0).otherwise(F.col("total") - F.col("_values") + 1)
+    blocks = F.when(F.col("low") <= F.col("total"), F.sequence("low", "total", F.lit(BLOCK).cast("long")))
+    numbers = F.sequence("_block", F.least(F.col("_block") + (BLOCK - 1), F.col("total")))
+    new = F.col("_new")
     changes = F.array(
-        F.struct(F.when(counts & ~first, new - 1).alias("num_ads"), F.lit(DELETE).alias("op")),
-        F.struct(F.when(counts | first, new).alias("num_ads"), F.lit(INSERT).alias("op")),
+        F.struct(F.when(~F.col("first") | (new > F.col("low")), new - 1).alias("num_ads"), F.lit(DELETE).alias("op")),
+        F.struct(new.alias("num_ads"), F.lit(INSERT).alias("op")),
     )
     return (
-        counted.select(key, "ts", F.inline(F.filter(changes, lambda c: c.num_ads.isNotNull())))
+        counted.select(key, "ts", "total", first.alias("first"), low.cast("long").alias("low"))
+        .select("*", F.explode(blocks).alias("_block"))
+        .select(key, "ts", "first", "low", F.explode(numbers).alias("_new"))
+        .select(key, "ts", F.inline(F.filter(changes, lambda c: c.num_ads.isNotNull())))
         .withColumn("seq", F.col("num_ads") * 2 + F.when(F.col("op") == DELETE, 1).otherwise(0))
         .select(key, "ts", "seq", "op", "num_ads")
     )

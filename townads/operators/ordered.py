@@ -28,7 +28,15 @@ def sliced(rows: DataFrame, keys: list[str], order: list[str], slices: int | Non
 def numbered(
     rows: DataFrame, keys: list[str], order: list[str], value: str, slices: int | None = None
 ) -> DataFrame:
-    """Adds ``row_no`` and ``value_no``: rows and non-null values of the key up to and with this row.
+    """Adds ``row_no`` and ``value_no``: rows and non-null values of the key up to and with this row."""
+    counted = rows.withColumn("_one", F.col(value).isNotNull().cast("long"))
+    return running(counted, keys, order, "_one", slices).withColumnRenamed("total", "value_no").drop("_one")
+
+
+def running(
+    rows: DataFrame, keys: list[str], order: list[str], amount: str, slices: int | None = None
+) -> DataFrame:
+    """Adds ``row_no`` and ``total``: rows and sum of ``amount`` of the key up to and with this row.
 
     Each slice counts on its own and starts from the totals of the earlier slices of its key.
     Totals are one row per key and slice.
@@ -40,9 +48,9 @@ def numbered(
     here = W.partitionBy(*run).orderBy(*order, "_tie").rowsBetween(W.unboundedPreceding, 0)
     earlier = W.partitionBy("_key").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     counted = table.select(
-        *run, *rows.columns, F.count("*").over(here).alias("_r"), F.count(value).over(here).alias("_v")
+        *run, *rows.columns, F.count("*").over(here).alias("_r"), F.sum(amount).over(here).alias("_v")
     )
-    totals = table.groupBy(*run).agg(F.count("*").alias("_rows"), F.count(value).alias("_values"))
+    totals = table.groupBy(*run).agg(F.count("*").alias("_rows"), F.sum(amount).alias("_values"))
     offsets = totals.select(
         *run,
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
@@ -51,5 +59,5 @@ def numbered(
     return counted.join(offsets, run).select(
         *rows.columns,
         (F.col("_rows_before") + F.col("_r")).alias("row_no"),
-        (F.col("_values_before") + F.col("_v")).alias("value_no"),
+        (F.col("_values_before") + F.col("_v")).alias("total"),
     )
