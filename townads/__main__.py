@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from townads.operators import crawl
 from townads.plans import files
 from townads.session import build_session
-from townads.sources import jsonl, pages
-from townads.streaming import apps
+from townads.sources import jsonl, pages, topics
+from townads.streaming import apps, runs
 
 
 def parser() -> argparse.ArgumentParser:
@@ -24,6 +24,15 @@ def parser() -> argparse.ArgumentParser:
     extract = job.add_parser("extract", help="stored pages to a JSONL file of ads")
     extract.add_argument("--input", required=True)
     extract.add_argument("--output", required=True)
+    ingest = job.add_parser("ingest", help="stored pages, as they arrive, to a JSONL folder and a topic of ads")
+    ingest.add_argument("--pages", required=True)
+    ingest.add_argument("--output", required=True)
+    ingest.add_argument("--servers", required=True)
+    ingest.add_argument("--checkpoint", required=True)
+    ingest.add_argument("--target", default=apps.ADS_TOPIC)
+    ingest.add_argument("--spider", default=apps.SPIDER)
+    ingest.add_argument("--files", type=int, default=apps.FILES, help="files of pages in a micro-batch")
+    ingest.add_argument("--every", default=apps.EVERY, help="time between micro-batches")
     for name in apps.LIVE:
         live = job.add_parser(name, help="topic of ads to topic of counts")
         live.add_argument("--servers", required=True)
@@ -45,6 +54,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "extract":
         found = crawl.extract_ads(pages.read_pages(spark, args.input), F.current_timestamp())
         jsonl.write_ads(found, args.output)
+    elif args.job == "ingest":
+        send = runs.send_to_topic(topics.write_options(args.servers, args.target))
+        stored = pages.stream_pages(spark, args.pages, args.files)
+        query = apps.start_ingest(stored, args.output, args.checkpoint, send, args.spider, every=args.every)
+        apps.await_all(spark, [query])
     else:
         queries = apps.start_live(
             spark,

@@ -17,8 +17,8 @@ from townads.schema import (
     TUMBLING_TOPIC,
 )
 from townads.session import scratch_folder
-from townads.sources import decode, jsonl, tables, topics
-from townads.streaming import replay, runs
+from townads.sources import decode, jsonl, pages, tables, topics
+from townads.streaming import apps, replay, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -155,6 +155,22 @@ def fanout_two_sinks(spark, sf_dir):
     )
 
 
+@query
+def stream_ingest(spark, sf_dir):
+    """Ads of pages that arrive as three files, as both sinks got them."""
+    folder = scratch_folder(spark, "ingest")
+    tables.ad_pages(spark, sf_dir).repartition(3, "page_id").write.parquet(f"{folder}/pages")
+    arriving = pages.stream_pages(spark, f"{folder}/pages", 1)
+    send = runs.send_to_files(f"{folder}/topic")
+    apps.start_ingest(arriving, f"{folder}/items", f"{folder}/cp", send, scraped=_scraped()).awaitTermination()
+    items = jsonl.read_ads(spark, f"{folder}/items").withColumn("spider", F.lit(None).cast("string"))
+    sent = decode.good(decode.decode_rows(topics.read_lines(spark, f"{folder}/topic", streaming=False)))
+    names = AD_MESSAGE.fieldNames()
+    return items.select(F.lit("file").alias("sink"), *names).unionByName(
+        sent.select(F.lit("topic").alias("sink"), *names)
+    )
+
+
 @query
 def add_spider(spark, sf_dir):
     return rows.with_spider(tables.ads(spark, sf_dir).drop("spider"), "replayed")

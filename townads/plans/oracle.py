@@ -165,6 +165,21 @@ sums AS (SELECT {by}, w_start, CAST(sum(num_ads) AS BIGINT) AS num_ads FROM tumb
 SELECT *, CAST(sum(num_ads) OVER (PARTITION BY {by} ORDER BY w_start) AS BIGINT) AS total FROM sums"""
 
 
+_EXTRACTED = rf"""WITH {_PAGES},
+parsed AS (
+    SELECT string_split(url, '/ad/')[-1] AS ad_id,
+           string_split(regexp_extract(regexp_extract(body,
+               '<a\s[^>]*class="(?:[^"]*\s)?ps-2(?:\s[^"]*)?"[^>]*>'), 'href="([^"]*)"', 1), '/')[-1] AS city,
+           nullif(regexp_extract(body, '<div\s[^>]*class="(?:[^"]*\s)?px-3(?:\s[^"]*)?"[^>]*>([^<]+)', 1), '') AS t
+    FROM bodies WHERE contains(url, '/ad/')
+),
+extracted AS (
+SELECT ad_id, city, strftime(try_strptime(right(t, 10), '%d/%m/%Y'), '%Y-%m-%d') AS posted_date,
+       '2024-02-01 12:30:00' AS scraped_time
+FROM parsed
+WHERE city <> '' AND (t IS NULL OR try_strptime(right(t, 10), '%d/%m/%Y') IS NOT NULL)
+)
+"""
 _POSTED_DAYS = f"""WITH {_ADS}
 SELECT city, count(ad_id) AS num_ads, posted_year, CAST(CAST(posted_date AS DATE) AS TIMESTAMP) AS w_start,
        CAST(posted_date AS DATE) + INTERVAL 1 DAY AS w_end
@@ -326,18 +341,10 @@ SELECT ad_id,
        CASE WHEN posted_date NOT LIKE '%7' THEN posted_date END AS posted_date
 FROM ads""",
     # pages
-    "extract_ads": rf"""WITH {_PAGES},
-parsed AS (
-    SELECT string_split(url, '/ad/')[-1] AS ad_id,
-           string_split(regexp_extract(regexp_extract(body,
-               '<a\s[^>]*class="(?:[^"]*\s)?ps-2(?:\s[^"]*)?"[^>]*>'), 'href="([^"]*)"', 1), '/')[-1] AS city,
-           nullif(regexp_extract(body, '<div\s[^>]*class="(?:[^"]*\s)?px-3(?:\s[^"]*)?"[^>]*>([^<]+)', 1), '') AS t
-    FROM bodies WHERE contains(url, '/ad/')
-)
-SELECT ad_id, city, strftime(try_strptime(right(t, 10), '%d/%m/%Y'), '%Y-%m-%d') AS posted_date,
-       '2024-02-01 12:30:00' AS scraped_time
-FROM parsed
-WHERE city <> '' AND (t IS NULL OR try_strptime(right(t, 10), '%d/%m/%Y') IS NOT NULL)""",
+    "extract_ads": _EXTRACTED + "SELECT * FROM extracted",
+    "stream_ingest": _EXTRACTED
+    + "SELECT 'file' AS sink, *, CAST(NULL AS VARCHAR) AS spider FROM extracted"
+    + " UNION ALL SELECT 'topic', *, 'stored-pages' FROM extracted",
     "extract_links": f"WITH {_LINKS} SELECT page_id, link, url FROM links",
     "filter_domain": f"WITH {_LINKS} SELECT page_id, link, url FROM links WHERE {_IN_DOMAIN}",
     "link_frontier": f"""WITH {_LINKS},

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from townads.operators import crawl
 from townads.plans import jobs
 from townads.schema import ADS_TOPIC, SLIDING_TOPIC, TUMBLING_TOPIC
 from townads.sources import decode, topics
@@ -15,6 +17,8 @@ from townads.streaming import runs
 # A first micro-batch from the earliest offset is no larger than any other.
 MAX_RECORDS = 1_000_000
 EVERY = "10 seconds"
+FILES = 100  # of pages in a micro-batch
+SPIDER = "stored-pages"
 
 # Name of a live job: its result topic, how it reads messages, what it computes and sends.
 LIVE = {
@@ -73,6 +77,24 @@ def start_live(
     return started
 
 
+def start_ingest(
+    pages: DataFrame,
+    items: str,
+    checkpoint: str,
+    send: runs.BatchWriter,
+    spider: str = SPIDER,
+    scraped: Column | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Turns stored pages, as they arrive, into ads: to a JSONL folder and, with the spider's name, to a topic.
+
+    ``scraped`` is the time given to the ads, by default that of the micro-batch. Without ``every`` the
+    query handles the pages that are there and ends.
+    """
+    ads = crawl.extract_ads(pages, F.current_timestamp() if scraped is None else scraped)
+    return runs.to_batches(ads, runs.fan_out(items, send, spider), checkpoint, every=every)
+
+
 def live_options(servers: str, source: str, group: str, max_records: int) -> dict:
     return topics.read_options(servers, [source], group, maxOffsetsPerTrigger=str(max_records))
 
