@@ -32,10 +32,11 @@ def components(edges: DataFrame) -> DataFrame:
     chains, too. Minima combine before the shuffle; only a sum of changes reaches the driver. Each
     round is stored in the shared folder. No edges give no rows.
     """
-    both = stored(
-        edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges"
-    )
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "labels")
+    # Both directions from one reading, so that what makes the edges runs once.
+    turned = F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = stored(edges.select(F.inline(F.array(F.struct("a", "b"), turned))).where("a <> b").distinct(), "edges")
+    first = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label"))
+    labels = stored(first, "labels")
     while True:
         reached = (
             both.join(labels, both.b == labels.node)
