@@ -33,7 +33,7 @@ from townads.llm.frames import table, text_bytes
 from townads.llm.vocabulary import Encoder, pieces, shipped, splits_at_spaces
 from townads.llm.words import buffers, parts
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 MAX_PIECES = 1 << 20
 _WORDS = "bucket long, block string, words binary"
@@ -120,11 +120,15 @@ def _placed(buckets: int) -> Callable:
 
 
 def _encoded(model: Broadcast) -> Callable:
+    held: list[Encoder] = []  # one for all groups of a task
+
     def run(group: pa.Table) -> pa.Table:
         asked = [(r["block"], r["bucket"], zstandard.decompress(r["words"]).split(b"\n")) for r in group.to_pylist()]
         seen = _Numbers()
         numbers = [np.fromiter(map(seen.__getitem__, words), np.int32, len(words)) for *_, words in asked]
-        ids = Encoder(model).ids([w.decode() for w in seen])
+        if not held:
+            held.append(Encoder(model))
+        ids = held[0].ids([w.decode() for w in seen])
         sizes = np.fromiter(map(len, ids), np.int32, len(ids))
         flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
         starts = np.cumsum(sizes) - sizes

@@ -28,7 +28,7 @@ from townads.session import scratch_folder
 
 WINDOW = 13
 TOKEN_BUCKETS = 16
-SHARD_BYTES = 8 << 20  # texts of a shard; a longer text has one of its own
+SHARD_BYTES = 5 << 20  # texts of a shard; a longer text has one of its own
 # Words of query phrases in one broadcast block: 8 bytes each, so at most 32 MB.
 BLOCK_WORDS = 1 << 22
 _INDEX = "shard string, bucket int, tokens binary, sizes binary, positions binary, ids binary, starts binary"

@@ -24,7 +24,7 @@ FEATURES = 2048
 UNKNOWN = "und"
 # About so many texts of each language are learnt from, chosen by a hash of the id.
 TRAINING_TEXTS = 1500
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 3 << 20
 
 # Families of languages (fixed values); a language not listed is a family of its own.
 FAMILIES = {

@@ -34,7 +34,7 @@ LEVELS = 3
 #: than 34 are five standard deviations away.
 AGREEING = 34
 BLOCK_NODES, BLOCK_SHINGLES = 1000, 1 << 20
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 3 << 20
 _BITS = COORDINATES.bit_length() - 1
 # For each coordinate the order in which it looks for a part that is not empty: itself first.
 _ORDER = np.random.default_rng(7).random((COORDINATES, COORDINATES))

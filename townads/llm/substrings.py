@@ -31,7 +31,7 @@ from townads.llm.words import UNCHANGED, Words, buffers, parts, rolling, words_o
 
 WINDOW = 13
 BUCKET_BYTES = 8 << 20
-BATCH_BYTES = 6 << 20  # texts that a task looks at together; a longer text alone
+BATCH_BYTES = 3 << 20  # texts that a task looks at together; a longer text alone
 _SECOND_BASE = 0xA0761D6478BD642F
 _LAST = (1 << 63) - 1  # stands for a missing id: such a row comes after all others
 
@@ -66,9 +66,9 @@ def _first_seen(length: int, buckets: int) -> Callable:
     schema = pa.schema(list(kinds.items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = (pa.Table.from_batches([batch]).sort_by("id") for batch in batches)
         own = TaskContext.get().partitionId()
-        for n, rows in enumerate(part for batch in whole for part in parts(batch, "text", BATCH_BYTES)):
+        for n, rows in enumerate(part for batch in batches for part in parts(batch, "text", BATCH_BYTES)):
+            rows = rows.sort_by("id")
             ids = rows["id"].to_numpy()
             words = words_of(rows["text"], UNCHANGED)
             values, at = _windows(words, length)

@@ -88,6 +88,7 @@ def parts(batch: pa.RecordBatch | pa.Table, column: str, limit: int) -> Iterator
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
         yield rows.slice(at, to - at)
         at = to
+        pa.default_memory_pool().release_unused()
 
 
 def words_of(texts: pa.Array | pa.ChunkedArray, table: np.ndarray) -> Words:
