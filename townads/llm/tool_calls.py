@@ -95,34 +95,62 @@ def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Topological levels: rows (node, level) with 1 for nodes that wait for none and, for others, one more
     than the largest level that they wait for; nodes on or behind a cycle have none.
 
-    ``edges`` (node, after) among the nodes, without repetitions. Each round settles one level by a join on
-    all edges left, whatever their number for one node; rounds grow with the depth only.
+    ``edges`` (node, after) among the nodes, without repetitions. Nodes that wait for one other only are
+    first led back to the nearest node that does not, by doubling steps, so a conversation of any length
+    takes a logarithm of rounds. What is left, nodes that wait for several, is settled level by level.
+    Every round is a stored table, so plans stay small.
     """
-    waiting = edges.groupBy("node").agg(F.count("*").alias("waits"))
-    done = stored(
+    waiting = stored(edges.groupBy("node").agg(F.count("*").alias("waits"), F.min("after").alias("to")), "waits")
+    single = waiting.where("waits = 1").select("node", "to", F.lit(1).cast("long").alias("steps"))
+    goes_on = single.select(F.col("node").alias("to"), F.lit(True).alias("open"))
+    back = stored(
+        single.join(goes_on, "to", "left").select("node", "to", "steps", F.coalesce("open", F.lit(False)).alias("open")),
+        "back",
+    )
+    left, before = back.where("open").count(), None
+    while left and left != before:  # no fewer than before: only cycles and what waits for them
+        on = back.select(*(F.col(c).alias(f"next_{c}") for c in back.columns)).withColumnRenamed("next_node", "to")
+        taken = F.col("open") & F.col("next_to").isNotNull()
+        back = stored(
+            back.join(on, "to", "left").select(
+                "node",
+                F.when(taken, F.col("next_to")).otherwise(F.col("to")).alias("to"),
+                (F.col("steps") + F.when(taken, F.col("next_steps")).otherwise(0)).alias("steps"),
+                F.when(taken, F.col("next_open")).otherwise(F.col("open")).alias("open"),
+            ),
+            "back",
+        )
+        left, before = back.where("open").count(), left
+    led = back.where("NOT open").select("node", "to", "steps")
+    known = stored(
         nodes.join(waiting, "node", "left_anti").select("node", F.lit(1).cast("long").alias("level")), "levels"
     )
-    newest, settled = done, []
-    while newest.limit(1).count():
-        settled.append(newest)
-        # Those whose every predecessor is settled and whose last one was settled just now.
-        reached = edges.join(newest, F.col("after") == newest.node).select(edges.node).distinct()
-        every = settled[0]
-        for part in settled[1:]:
-            every = every.union(part)
-        ready = (
-            edges.join(reached, "node")
-            .join(every.withColumnRenamed("node", "after"), "after")
-            .groupBy("node")
-            .agg(F.count("*").alias("known"), F.max("level").alias("last"))
-            .join(waiting, "node")
-            .where("known = waits")
+    several = waiting.where("waits > 1").select("node", "waits")
+    through = led.select(F.col("node").alias("after"), "to", "steps")
+    needs = stored(
+        edges.join(several, "node")
+        .join(through, "after", "left")
+        .select(
+            "node", "waits", F.coalesce("to", "after").alias("to"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps")
+        ),
+        "needs",
+    )
+    while needs.limit(1).count():
+        at = known.select(F.col("node").alias("to"), "level")
+        ready = stored(
+            needs.join(at, "to")
+            .groupBy("node", "waits")
+            .agg(F.count("*").alias("met"), F.max(F.col("level") + F.col("steps")).alias("level"))
+            .where("met = waits")
+            .select("node", "level"),
+            "ready",
         )
-        newest = stored(ready.select("node", (F.col("last") + 1).alias("level")), "levels")
-    every = settled[0] if settled else done
-    for part in settled[1:]:
-        every = every.union(part)
-    return every
+        if not ready.limit(1).count():
+            break
+        known = stored(known.union(ready), "levels")
+        needs = stored(needs.join(ready, "node", "left_anti"), "needs")
+    at = known.select(F.col("node").alias("to"), "level")
+    return known.union(led.join(at, "to").select("node", (F.col("level") + F.col("steps")).alias("level")))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
