@@ -331,6 +331,24 @@ def test_tool_calls(spark):
     assert rows(tool_calls.link(calls.limit(0), results.limit(0), {})) == []
 
 
+def test_levels(spark):
+    draw = random.Random(4)
+    edges = {(f"c{i}", f"c{i - 1}") for i in range(1, 70)}  # one long chain
+    edges |= {(f"d{i}", f"d{j}") for i in range(1, 14) for j in draw.sample(range(i), min(i, 1 + i % 3))}
+    edges |= {("d3", "c69"), ("e1", "d13"), ("e2", "e1"), ("x", "y"), ("y", "z"), ("z", "x"), ("w", "x"), ("v", "w"), ("v", "c1")}
+    nodes = sorted({n for e in edges for n in e} | {"lone"})
+    expected: dict[str, int] = {}
+    for _ in nodes:
+        for n in nodes:
+            after = [b for a, b in edges if a == n]
+            if all(b in expected for b in after):
+                expected[n] = 1 + max((expected[b] for b in after), default=0)
+    found = tool_calls.levels(
+        spark.createDataFrame([(n,) for n in nodes], "node string"), spark.createDataFrame(sorted(edges), "node string, after string")
+    )
+    assert rows(found) == sorted(expected.items(), key=repr)
+
+
 def test_pipeline_edges(spark, docs, none, small):
     # Stages take documents that hold nulls, repeats and other columns.
     for _, stage in corpus_pipeline.STAGES:
