@@ -8,7 +8,7 @@ the search. A search keeps the BEAM nearest points seen and follows the neighbou
 not followed yet, a join for each step, until the nearest are all followed.
 
 Groups are bounded: codes with many points are split by hash, a point has DEGREE neighbours, and of the
-points that have it as one, at most as many take part in a round (first by slices of a hash, so a point
+points that have it as one, at most SAMPLED take part in a round (drawn first by slices of a hash, so a point
 near a third of all others is no burden); these always meet it in their own group as well.
 """
 
@@ -27,6 +27,7 @@ NEIGHBOURS = 5
 DEGREE = 32
 CODES, CODE_POINTS = 4, 64
 ROUNDS = 5
+SAMPLED = 16
 BEAM, FOLLOWED, STEPS = 96, 24, 8
 _LISTS = "id long, near binary, far binary"  # neighbours, nearest first, and their similarities
 _HELD = 1 << 21
@@ -38,19 +39,19 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Points whose vector can be compared: the vector's doubles and, scaled to bytes, its direction."""
+    """Points whose vector can be compared: the vector as it is given and, scaled to bytes, its direction."""
     for batch in batches:
         ids, exact, coarse = [], [], []
         for i, x in zip(batch.column(0).to_pylist(), batch.column(1)):
             if i is None or not x.is_valid:
                 continue
-            v = x.values.cast(pa.float64())
-            if v.null_count or not len(v):
+            if x.values.null_count or not len(x.values):
                 continue
-            v = v.to_numpy()
+            given = x.values.to_numpy()
+            v = given.astype(np.float64)
             if np.isfinite(v).all() and (norm := np.linalg.norm(v)) > 0 and np.isfinite(norm):
                 ids.append(i)
-                exact.append(v.tobytes())
+                exact.append(given.tobytes())
                 coarse.append(np.rint(v / np.abs(v).max() * 127).astype(np.int8).tobytes())
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(exact, pa.binary()), pa.array(coarse, pa.binary())],
@@ -194,12 +195,12 @@ def _least(lists: DataFrame) -> DataFrame:
 
 
 def _sampled(edges: DataFrame, round_: int) -> DataFrame:
-    """At most DEGREE of the rows (id, other) of each id, chosen by hash, first within slices."""
+    """At most SAMPLED of the rows (id, other) of each id, chosen by hash, first within slices."""
     drawn = edges.withColumn("draw", F.xxhash64("other", F.lit(round_)))
     slices = Window.partitionBy("id", F.pmod("draw", F.lit(64))).orderBy("draw", "other")
-    first = drawn.withColumn("n", F.row_number().over(slices)).where(F.col("n") <= DEGREE)
+    first = drawn.withColumn("n", F.row_number().over(slices)).where(F.col("n") <= SAMPLED)
     whole = Window.partitionBy("id").orderBy("draw", "other")
-    return first.withColumn("n", F.row_number().over(whole)).where(F.col("n") <= DEGREE).select("id", "other")
+    return first.withColumn("n", F.row_number().over(whole)).where(F.col("n") <= SAMPLED).select("id", "other")
 
 
 def build_graph(points: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -245,11 +246,29 @@ def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(node, pa.int64())], names=["query", "id"])
 
 
-def _stepped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _unseen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the points that each query has found those that it has not compared with yet."""
+    query, node = [], []
+    for group in _runs(batches, "query"):
+        seen = np.frombuffer(next(x for x in group["seen"] if x is not None), np.int64)
+        found = np.array([i for i, x in zip(group["id"], group["seen"]) if x is None], dtype=np.int64)
+        found = found[~np.isin(found, seen)]
+        query.append(np.full(len(found), group["query"][0]))
+        node.append(found)
+    if query:
+        columns = [pa.array(np.concatenate(x), pa.int64()) for x in (query, node)]
+        yield from pa.table(columns, names=["query", "id"]).to_batches(max_chunksize=65536)
+
+
+def _stepped(kind: type) -> Callable:
+    return lambda batches: _steps(batches, kind)
+
+
+def _steps(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[pa.RecordBatch]:
     """The beams with what the points found add to them; a query's beam and its finds come together."""
     out = []
-    names = ["query", "exact", "beam", "scores", "done", "open"]
-    kinds = [pa.int64(), *[pa.binary()] * 4, pa.int64()]
+    names = ["query", "exact", "beam", "scores", "done", "seen", "open"]
+    kinds = [pa.int64(), *[pa.binary()] * 5, pa.int64()]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
@@ -257,22 +276,22 @@ def _stepped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in _runs(batches, "query"):
         at = next(i for i, x in enumerate(group["beam"]) if x is not None)
         query = group["query"][0]
-        v = np.frombuffer(group["exact"][at], np.float64)
+        v = np.frombuffer(group["exact"][at], kind).astype(np.float64)
+        seen = np.frombuffer(group["seen"][at], np.int64)
         beam, scores = np.frombuffer(group["beam"][at], np.int64), np.frombuffer(group["scores"][at], np.float64)
         done = np.frombuffer(group["done"][at], np.bool_).copy()
         done[np.flatnonzero(~done)[:FOLLOWED]] = True
         found = [i for i, x in enumerate(group["beam"]) if x is None and group["id"][i] != query]
         if found:
             ids = np.array([group["id"][i] for i in found], dtype=np.int64)
-            x = np.frombuffer(b"".join(group["exact"][i] for i in found), np.float64).reshape(len(ids), -1)
+            x = np.frombuffer(b"".join(group["exact"][i] for i in found), kind).reshape(len(ids), -1).astype(np.float64)
             score = x @ v / (np.linalg.norm(x, axis=1) * np.linalg.norm(v))
-            new = ~np.isin(ids, beam)
-            beam, scores = np.append(beam, ids[new]), np.append(scores, score[new])
-            done = np.append(done, np.zeros(int(new.sum()), dtype=bool))
+            beam, scores, seen = np.append(beam, ids), np.append(scores, score), np.append(seen, ids)
+            done = np.append(done, np.zeros(len(ids), dtype=bool))
             order = np.lexsort((beam, -scores))[:BEAM]
             beam, scores, done = beam[order], scores[order], done[order]
         left = int((~done[: BEAM // 2]).sum())
-        out.append((query, group["exact"][at], beam.tobytes(), scores.tobytes(), done.tobytes(), left))
+        out.append((query, group["exact"][at], beam.tobytes(), scores.tobytes(), done.tobytes(), seen.tobytes(), left))
         if len(out) == 256:
             yield batch_of(out)
             out = []
@@ -280,29 +299,34 @@ def _stepped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(out)
 
 
-_STATE = "query long, exact binary, beam binary, scores binary, done binary, open long"
+_STATE = "query long, exact binary, beam binary, scores binary, done binary, seen binary, open long"
 
 
-def search(points: DataFrame, graph: DataFrame, queries: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
+def search(points: DataFrame, graph: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, kind: type = np.float64) -> DataFrame:
     """Greedy search: for each of ``queries`` (ids of points) the ``k`` nearest other points found, as rows
-    (query_id, rank from 1, id, score); score is the cosine in double precision, ties go to the smaller id."""
+    (query_id, rank from 1, id, score); score is the cosine in double precision, ties go to the smaller id.
+    ``kind`` is the type of the components in ``exact``."""
     start = points.join(queries.select("id").distinct(), "id")
     nothing = F.lit(b"")
     # A query is a point of the graph: its search starts there.
     state = start.select(
-        F.col("id").alias("query"), "exact", nothing.alias("beam"), nothing.alias("scores"), nothing.alias("done"), F.lit(1).cast("long").alias("open")
+        F.col("id").alias("query"), "exact", nothing.alias("beam"), nothing.alias("scores"), nothing.alias("done"), nothing.alias("seen"), F.lit(1).cast("long").alias("open")
     )
     steps = start.select(F.col("id").alias("query"), "id")
     for _ in range(STEPS):
+        met = _unpacked_for(steps, graph).distinct().select("query", "id", F.lit(None).cast("binary").alias("seen"))
+        old = state.select("query", F.lit(None).cast("long").alias("id"), "seen")
         found = (
-            _unpacked_for(steps, graph)
-            .distinct()
+            met.union(old)
+            .repartition("query")
+            .sortWithinPartitions("query")
+            .mapInArrow(_unseen, "query long, id long")
             .join(points.select("id", "exact"), "id")
-            .select("query", "id", "exact", F.lit(None).cast("binary").alias("beam"), F.lit(None).cast("binary").alias("scores"), F.lit(None).cast("binary").alias("done"))
+            .select("query", "id", "exact", F.lit(None).cast("binary").alias("beam"), F.lit(None).cast("binary").alias("scores"), F.lit(None).cast("binary").alias("done"), F.lit(None).cast("binary").alias("seen"))
         )
-        own = state.select("query", F.lit(None).cast("long").alias("id"), "exact", "beam", "scores", "done")
+        own = state.select("query", F.lit(None).cast("long").alias("id"), "exact", "beam", "scores", "done", "seen")
         state = stored(
-            own.union(found).repartition("query").sortWithinPartitions("query").mapInArrow(_stepped, _STATE), "beams"
+            own.union(found).repartition("query").sortWithinPartitions("query").mapInArrow(_stepped(kind), _STATE), "beams"
         )
         if not state.where("open > 0").limit(1).count():
             break
@@ -342,13 +366,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, id: str = "vec_id", vector:
     With fewer than ``k`` candidates all are returned; a single point has no neighbours and no row.
     Other columns are not read.
     """
+    single = vectors.schema[vector].dataType.simpleString() == "array<float>"
+    given = F.col(vector) if single else F.col(vector).cast("array<double>")
     points = stored(
-        vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).alias("v")).mapInArrow(
+        vectors.select(F.col(id).cast("long").alias("id"), given.alias("v")).mapInArrow(
             _pointed, "id long, exact binary, coarse binary"
         ),
         "points",
     )
-    return search(points, build_graph(points), queries, k)
+    return search(points, build_graph(points), queries, k, np.float32 if single else np.float64)
 
 
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
