@@ -110,6 +110,17 @@ def test_contamination_in_blocks(docs, items, monkeypatch):
     same(decontamination.verdicts(docs, items), brute.contamination(_texts(), ITEMS))
 
 
+def test_contamination_in_shards_of_equal_words(spark, monkeypatch):
+    # Partitions of several shards each that hold the same words: names of shards must not meet.
+    texts = [(i, f"{PASSAGE} {PASSAGE}" if i % 3 else " ".join(reversed(PASSAGE.split()))) for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    monkeypatch.setattr(decontamination, "SHARD_BYTES", 1)
+    index = decontamination.build_index(docs, scratch_folder(spark, "shards"))
+    assert index.where("bucket = -1").count() == index.select("shard").distinct().count() == 60
+    same(decontamination.verdicts(docs, items), brute.contamination(texts, [(1, PASSAGE)]))
+
+
 def test_proximity(spark, items):
     docs = spark.createDataFrame([(1, "b x a y c"), (2, "a b"), (3, "c b a"), (4, "a x x x x b c")], "doc_id long, text string")
     wanted = spark.createDataFrame([(7, "a b c")], "item_id long, text string")

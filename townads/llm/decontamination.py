@@ -13,7 +13,7 @@ consecutive, so no phrase crosses documents.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +49,10 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     kinds = [pa.string(), pa.int32(), *[pa.binary()] * 5]
     own = TaskContext.get().partitionId()
-    for n, batch in enumerate(part for batch in batches for part in parts(batch, "text", SHARD_BYTES)):
+    for n, batch in enumerate(part for batch in batches for part in parts(batch, "text", size)):
         words = words_of(batch["text"], FOLDED)
         position = np.arange(len(words.prints)) + words.rows
         bucket = (words.prints & np.uint64(TOKEN_BUCKETS - 1)).astype(np.int8)
@@ -66,12 +66,12 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.searchsorted(bucket, np.arange(TOKEN_BUCKETS + 1))
         for k, (low, high) in enumerate(zip(cuts, cuts[1:])):
             if high > low:
-                own, at = prints[low:high], position[low:high]
-                new = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+                tokens, at = prints[low:high], position[low:high]
+                new = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
                 steps = np.diff(at, prepend=0)
                 steps[new] = at[new]
-                sizes = np.diff(np.append(new, len(own)))
-                out.append((name, k, _pack(own[new]), _pack(sizes.astype(np.int32)), _pack(steps.astype(np.int32)), None, None))
+                sizes = np.diff(np.append(new, len(tokens)))
+                out.append((name, k, _pack(tokens[new]), _pack(sizes.astype(np.int32)), _pack(steps.astype(np.int32)), None, None))
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*out), kinds)],
             names=["shard", "bucket", "tokens", "sizes", "positions", "ids", "starts"],
@@ -90,7 +90,7 @@ def build_index(docs: DataFrame, path: str, id: str = "doc_id", text: str = "tex
     no words; ids are integers and may be null or repeated, every row counts for itself.
     """
     docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
-        _shards, _INDEX
+        partial(_shards, size=SHARD_BYTES), _INDEX
     ).write.mode("overwrite").parquet(path)
     return docs.sparkSession.read.schema(_INDEX).parquet(path)
 
@@ -101,6 +101,8 @@ class _Shard:
     def __init__(self, group: pa.Table, wanted: np.ndarray):
         self.token = np.zeros(len(wanted), dtype=np.int64)  # size of the list of each wanted token
         self.lists: dict[int, np.ndarray] = {}
+        if group["bucket"].to_pylist().count(_DOCS) != 1:
+            raise ValueError(f"shard {group['shard'][0]} does not have one list of documents")
         for row in group.to_pylist():
             if row["bucket"] == _DOCS:
                 self.starts = _unpack(row["starts"], np.int64)
