@@ -6,6 +6,7 @@ import json
 import random
 
 import brute
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -286,6 +287,29 @@ def test_neighbours(spark):
     assert rows(neighbours.nearest(two.limit(0), queries)) == []
 
 
+def test_neighbours_among_copies(spark):
+    draw = np.random.default_rng(6)
+    # Many copies, a dense group of vectors that differ in the fourth decimal, and others.
+    dense = draw.standard_normal(16) + 2e-4 * draw.standard_normal((600, 16))
+    x = np.concatenate([np.tile(draw.standard_normal(16), (600, 1)), dense, draw.standard_normal((300, 16))])
+    ids = draw.permutation(len(x))
+    table = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>").repartition(4)
+    asked = [int(i) for i in (*ids[:8], *ids[600:660])]
+    got = {}
+    for q, rank, other, _ in rows(neighbours.nearest(table, spark.createDataFrame([(i,) for i in asked], "id long"))):
+        got.setdefault(q, {})[rank] = other
+    copies = sorted(int(i) for i in ids[:600])
+    for q in asked[:8]:
+        assert [got[q][r] for r in range(1, 6)] == [i for i in copies if i != q][:5]
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    found = 0
+    for q, at in zip(asked[8:], range(600, 660)):
+        apart = np.linalg.norm(unit - unit[at], axis=1)
+        apart[at] = 9
+        found += len({int(i) for i in ids[np.argsort(apart)[:5]]} & set(got[q].values()))
+    assert found >= 0.9 * 5 * 60
+
+
 def test_language(spark, docs, none):
     draw = random.Random(2)
     kinds = {"en": "the and ing tion", "de": "der und ung sch", "fr": "le eau oux ment", "es": "el ción ado ñ"}

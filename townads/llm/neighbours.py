@@ -3,8 +3,10 @@
 The graph starts from random hyperplane codes: points with one code are compared with each other. In
 each round every point brings its neighbours, and a sample of the points that have it as a neighbour,
 together: these are neighbours of neighbours, compared with each other by brute force; what is nearer
-than what a point has is proposed to it. Vectors travel as signed bytes for this, exact ones decide in
-the search. A search keeps the BEAM nearest points seen and follows the neighbours of the nearest ones
+than what a point has is proposed to it. Vectors travel as 16-bit integers for this, exact ones decide in
+the search. Equal vectors are one point of the graph, which knows the smallest ids of its copies; what is
+equal in 16 bits only is kept in an order that each point draws anew, so no part of a dense group is cut
+off from the others. A search keeps the BEAM nearest points seen and follows the neighbours of the nearest ones
 not followed yet, a join for each step, until the nearest are all followed.
 
 Groups are bounded: codes with many points are split by hash, a point has DEGREE neighbours, and of the
@@ -39,28 +41,45 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Points whose vector can be compared: the vector as it is given and, scaled to bytes, its direction."""
+    """Points whose vector can be compared, with the vector as it is given (but no negative zeros)."""
     for batch in batches:
-        ids, exact, coarse = [], [], []
+        ids, exact = [], []
         for i, x in zip(batch.column(0).to_pylist(), batch.column(1)):
             if i is None or not x.is_valid:
                 continue
             if x.values.null_count or not len(x.values):
                 continue
-            given = x.values.to_numpy()
+            given = x.values.to_numpy() + 0
             v = given.astype(np.float64)
             if np.isfinite(v).all() and (norm := np.linalg.norm(v)) > 0 and np.isfinite(norm):
                 ids.append(i)
                 exact.append(given.tobytes())
-                coarse.append(np.rint(v / np.abs(v).max() * 127).astype(np.int8).tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(exact, pa.binary()), pa.array(coarse, pa.binary())],
-            names=["id", "exact", "coarse"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(exact, pa.binary())], names=["id", "exact"])
+
+
+def _scaled(kind: type) -> Callable:
+    """Adds the direction of each vector, scaled to 16-bit integers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given = [np.frombuffer(x, kind).astype(np.float64) for x in batch.column("exact").to_pylist()]
+            coarse = [np.rint(v / np.abs(v).max() * 32767).astype(np.int16).tobytes() for v in given]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("id", "exact", "members")), pa.array(coarse, pa.binary())],
+                names=["id", "exact", "members", "coarse"],
+            )
+
+    return run
 
 
-def _directions(column: list[bytes]) -> np.ndarray:
-    return _unit(np.frombuffer(b"".join(column), np.int8).reshape(len(column), -1).astype(np.float32))
+def _whole(column: list[bytes], kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.int16).reshape(len(column), -1).astype(kind)
+
+
+def _drawn(points: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """A place for each neighbour among equally near ones, another order for each point."""
+    mixed = near.astype(np.uint64) ^ (points.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return mixed * np.uint64(0xD6E8FEB86659FD93)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[dict[str, list]]:
@@ -89,12 +108,12 @@ class _Lists:
         self.size, self.parts, self.held = size, [], 0
 
     def add(self, points: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
-        self.parts.append((points.astype(np.int64), near.astype(np.int64), far.astype(np.float32)))
+        self.parts.append((points.astype(np.int64), near.astype(np.int64), far.astype(np.float64)))
         self.held += len(points)
 
     def packed(self) -> pa.RecordBatch:
         points, near, far = (np.concatenate(x) for x in zip(*self.parts))
-        order = np.lexsort((near, -far, points))
+        order = np.lexsort((_drawn(points, near), -far, points))
         points, near, far = points[order], near[order], far[order]
         # The same neighbour always has the same similarity, so repetitions lie side by side.
         new = np.append(True, (points[1:] != points[:-1]) | (near[1:] != near[:-1]))
@@ -121,7 +140,7 @@ def _coded(bits: int) -> Callable:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _directions(batch.column("coarse").to_pylist())
+            x = _unit(_whole(batch.column("coarse").to_pylist(), np.float32))
             planes = np.random.default_rng(_SEED).standard_normal((CODES, x.shape[1], max(bits, 1))).astype(np.float32)
             powers = 1 << np.arange(bits, dtype=np.int64)
             for k in range(CODES):
@@ -134,7 +153,7 @@ def _coded(bits: int) -> Callable:
 
 def _all_pairs(key: str) -> Callable:
     """Compares the points of each group with each other. A point that comes with ``least``, the
-    similarity of its last neighbour, gets what is nearer."""
+    similarity of its last neighbour, gets what is as near or nearer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = _Lists()
@@ -142,14 +161,16 @@ def _all_pairs(key: str) -> Callable:
             ids = np.array(group["id"])
             if len(ids) < 2:
                 continue
-            x = _directions(group["coarse"])
-            far = np.round(x @ x.T, 5)
+            x = _whole(group["coarse"], np.float64)
+            far = x @ x.T  # sums of integers, so the same in every group
+            norm = np.sqrt(np.diagonal(far))
+            far = far / np.outer(norm, norm)
             np.fill_diagonal(far, -2)
-            least = np.array(group["least"], dtype=np.float32) if "least" in group else np.full(len(ids), -1.5)
+            least = np.array(group["least"], dtype=np.float64) if "least" in group else np.full(len(ids), -1.5)
             size = min(DEGREE // 2 if "least" in group else DEGREE, len(ids) - 1)
             best = np.argpartition(-far, size - 1, axis=1)[:, :size]
             value = np.take_along_axis(far, best, axis=1)
-            row, column = np.nonzero(value > least[:, None])
+            row, column = np.nonzero(value >= least[:, None])
             lists.add(ids[row], ids[best[row, column]], value[row, column])
             if lists.held > _HELD:
                 yield lists.packed()
@@ -163,7 +184,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     lists = _Lists()
     for group in _runs(batches, "id"):
         near = np.frombuffer(b"".join(group["near"]), np.int64)
-        lists.add(np.full(len(near), group["id"][0]), near, np.frombuffer(b"".join(group["far"]), np.float32))
+        lists.add(np.full(len(near), group["id"][0]), near, np.frombuffer(b"".join(group["far"]), np.float64))
         if lists.held > _HELD:
             yield lists.packed()
     if lists.held:
@@ -187,11 +208,11 @@ def _least(lists: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            far = [np.frombuffer(x, np.float32) for x in batch.column(1).to_pylist()]
+            far = [np.frombuffer(x, np.float64) for x in batch.column(1).to_pylist()]
             least = [float(x[-1]) if len(x) == DEGREE else -1.5 for x in far]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(least, pa.float32())], names=["id", "least"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(least, pa.float64())], names=["id", "least"])
 
-    return lists.select("id", "far").mapInArrow(run, "id long, least float")
+    return lists.select("id", "far").mapInArrow(run, "id long, least double")
 
 
 def _sampled(edges: DataFrame, round_: int) -> DataFrame:
@@ -211,7 +232,7 @@ def build_graph(points: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     parts = coded.groupBy("code").agg(F.ceil(F.count("*") / (2 * CODE_POINTS)).alias("slices"))
     lists = (
         coded.join(parts, "code")
-        .select(F.xxhash64("code", F.pmod(F.xxhash64("id"), "slices")).alias("code"), "id", "coarse")
+        .select(F.xxhash64("code", F.pmod(F.xxhash64("id", "code"), "slices")).alias("code"), "id", "coarse")
         .repartition("code")
         .sortWithinPartitions("code")
         .mapInArrow(_all_pairs("code"), _LISTS)
@@ -281,13 +302,13 @@ def _steps(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[pa.RecordB
         beam, scores = np.frombuffer(group["beam"][at], np.int64), np.frombuffer(group["scores"][at], np.float64)
         done = np.frombuffer(group["done"][at], np.bool_).copy()
         done[np.flatnonzero(~done)[:FOLLOWED]] = True
-        found = [i for i, x in enumerate(group["beam"]) if x is None and group["id"][i] != query]
+        found = [i for i, x in enumerate(group["beam"]) if x is None]
         if found:
             ids = np.array([group["id"][i] for i in found], dtype=np.int64)
             x = np.frombuffer(b"".join(group["exact"][i] for i in found), kind).reshape(len(ids), -1).astype(np.float64)
             score = x @ v / (np.linalg.norm(x, axis=1) * np.linalg.norm(v))
             beam, scores, seen = np.append(beam, ids), np.append(scores, score), np.append(seen, ids)
-            done = np.append(done, np.zeros(len(ids), dtype=bool))
+            done = np.append(done, ids == query)
             order = np.lexsort((beam, -scores))[:BEAM]
             beam, scores, done = beam[order], scores[order], done[order]
         left = int((~done[: BEAM // 2]).sum())
@@ -303,18 +324,20 @@ _STATE = "query long, exact binary, beam binary, scores binary, done binary, see
 
 
 def search(points: DataFrame, graph: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, kind: type = np.float64) -> DataFrame:
-    """Greedy search: for each of ``queries`` (ids of points) the ``k`` nearest other points found, as rows
-    (query_id, rank from 1, id, score); score is the cosine in double precision, ties go to the smaller id.
-    ``kind`` is the type of the components in ``exact``."""
+    """Greedy search: for each of ``queries`` (ids of points) the ``k + 1`` nearest rows found, those of the
+    point itself included, as rows (query, nearest), the latter an array of (minus score, id) in order; score is the cosine
+    in double precision, ties go to the smaller id. ``points`` has in ``members`` the ``k + 1`` smallest ids of the rows
+    that are one point; ``kind`` is the type of the components in ``exact``."""
     start = points.join(queries.select("id").distinct(), "id")
     nothing = F.lit(b"")
     # A query is a point of the graph: its search starts there.
     state = start.select(
         F.col("id").alias("query"), "exact", nothing.alias("beam"), nothing.alias("scores"), nothing.alias("done"), nothing.alias("seen"), F.lit(1).cast("long").alias("open")
     )
-    steps = start.select(F.col("id").alias("query"), "id")
-    for _ in range(STEPS):
-        met = _unpacked_for(steps, graph).distinct().select("query", "id", F.lit(None).cast("binary").alias("seen"))
+    steps = own_point = start.select(F.col("id").alias("query"), "id")
+    for n in range(STEPS):
+        reached = _unpacked_for(steps, graph)
+        met = (reached if n else reached.union(own_point)).distinct().select("query", "id", F.lit(None).cast("binary").alias("seen"))
         old = state.select("query", F.lit(None).cast("long").alias("id"), "seen")
         found = (
             met.union(old)
@@ -336,13 +359,20 @@ def search(points: DataFrame, graph: DataFrame, queries: DataFrame, k: int = NEI
         for batch in batches:
             rows = []
             for q, beam, scores in zip(*(batch.column(c).to_pylist() for c in ("query", "beam", "scores"))):
-                for rank, (i, s) in enumerate(zip(np.frombuffer(beam, np.int64)[:k], np.frombuffer(scores, np.float64)), 1):
-                    rows.append((q, rank, int(i), float(s)))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.float64()]
-            columns = zip(*rows) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["query_id", "rank", "id", "score"])
-
-    return state.select("query", "beam", "scores").mapInArrow(nearest, "query_id long, rank int, id long, score double")
+                rows += [(q, int(i), float(s)) for i, s in zip(np.frombuffer(beam, np.int64)[: k + 1], np.frombuffer(scores, np.float64))]
+            columns = zip(*rows) if rows else [[]] * 3
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.float64()])], names=["query", "id", "score"]
+            )
+
+    # Each of k + 1 points has a row, so no other point has one among the first k + 1.
+    rows = (
+        state.select("query", "beam", "scores")
+        .mapInArrow(nearest, "query long, id long, score double")
+        .join(points.select("id", "members"), "id")
+        .select("query", F.explode(F.transform("members", lambda i: F.struct((-F.col("score")).alias("minus"), i.alias("id")))).alias("row"))
+    )
+    return rows.groupBy("query").agg(F.slice(F.array_sort(F.collect_list("row")), 1, k + 1).alias("nearest"))
 
 
 def _unpacked_for(steps: DataFrame, graph: DataFrame) -> DataFrame:
@@ -368,13 +398,40 @@ def nearest(vectors: DataFrame, queries: DataFrame, id: str = "vec_id", vector:
     """
     single = vectors.schema[vector].dataType.simpleString() == "array<float>"
     given = F.col(vector) if single else F.col(vector).cast("array<double>")
+    kind = np.float32 if single else np.float64
+    compared = vectors.select(F.col(id).cast("long").alias("id"), given.alias("v")).mapInArrow(_pointed, "id long, exact binary")
+    # Equal vectors are told by 128 bits of hashes; their smallest ids are taken in slices first.
+    key = [F.xxhash64("exact").alias("h1"), F.xxhash64(F.lit(1), "exact").alias("h2")]
+    smallest = F.slice(F.array_sort(F.flatten(F.collect_list("members"))), 1, k + 1).alias("members")
+    nodes = stored(
+        compared.select(*key, F.pmod(F.xxhash64("id"), F.lit(64)).alias("slice"), F.array("id").alias("members"))
+        .groupBy("h1", "h2", "slice")
+        .agg(smallest)
+        .groupBy("h1", "h2")
+        .agg(smallest)
+        .withColumn("id", F.col("members")[0]),
+        "nodes",
+    )
     points = stored(
-        vectors.select(F.col(id).cast("long").alias("id"), given.alias("v")).mapInArrow(
-            _pointed, "id long, exact binary, coarse binary"
-        ),
+        compared.join(nodes.select("id", "members"), "id")
+        .select("id", "exact", "members")
+        .mapInArrow(_scaled(kind), "id long, exact binary, members array<bigint>, coarse binary"),
         "points",
     )
-    return search(points, build_graph(points), queries, k, np.float32 if single else np.float64)
+    asked = stored(
+        compared.join(queries.select("id").distinct(), "id")
+        .select(F.col("id").alias("query_id"), *key)
+        .join(nodes.select("h1", "h2", F.col("id").alias("query")), ["h1", "h2"])
+        .select("query_id", "query"),
+        "asked",
+    )
+    found = search(points, build_graph(points), asked.select(F.col("query").alias("id")), k, kind)
+    others = F.slice(F.filter("nearest", lambda x: x["id"] != F.col("query_id")), 1, k)
+    return (
+        asked.join(found, "query")
+        .select("query_id", F.posexplode(others).alias("place", "row"))
+        .select("query_id", (F.col("place") + 1).alias("rank"), F.col("row.id").alias("id"), (-F.col("row.minus")).alias("score"))
+    )
 
 
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
