@@ -258,6 +258,18 @@ def test_page_links(spark):
     assert sorted(got) == ["http://a.net/x/w", "http://a.net/z", "http://b.net/k"]
 
 
+def test_page_links_of_both_kinds(spark):
+    here = "http://a.net/x"
+    html = (
+        "<link rel=canonical href='http://a.net/x'><link rel=canonical><link rel=canonical href=/k><link rel=canonical href=/k>"
+        '<meta http-equiv=refresh content="5"><meta http-equiv=refresh content="0; url=http://b.com/de/x">'
+    )
+    pages = spark.createDataFrame([(1, here, html), (2, "http://b.com/de/x", None), (3, "http://a.net/k", "")], "page_id long, url string, html string")
+    links = url_filter.page_links(pages)
+    assert rows(links) == [(here, "http://a.net/k"), (here, here), (here, "http://b.com/de/x")]
+    assert {r.verdict for r in url_filter.judge(pages, links).collect()} == {"block"}
+
+
 def test_components(spark):
     draw = random.Random(1)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (41, 40)]

@@ -60,14 +60,15 @@ def address(url: Column) -> Column:
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Aliases that pages name: rows (``a``, ``b``) of the page's URL and the target of its canonical
-    link or of its immediate refresh. Relative targets are resolved against the page's URL."""
-    canonical = F.regexp_extract(F.col(html), r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    refresh = F.regexp_extract(F.col(html), r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
-    target = F.coalesce(
-        F.nullif(F.regexp_extract(canonical, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1), F.lit("")),
-        F.nullif(F.regexp_extract(refresh, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1), F.lit("")),
+    """Aliases that pages name: a row (``a``, ``b``) of the page's URL and a target for each of its canonical
+    links and immediate refreshes. Relative targets are resolved against the page's URL."""
+    canonical = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"), F.lit(0))
+    refresh = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"), F.lit(0))
+    named = F.concat(
+        F.transform(canonical, lambda x: F.regexp_extract(x, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)),
+        F.transform(refresh, lambda x: F.regexp_extract(x, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)),
     )
+    target = F.col("target")
     scheme = F.regexp_extract(F.col(url), r"^(.*?://)", 1)
     site = F.concat(scheme, F.regexp_extract(_rest(F.col(url)), r"^[^/?#]*", 0))
     folder = F.concat(site, F.regexp_extract(path(F.col(url)), r"^(?:.*/)?", 0))
@@ -77,7 +78,9 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         .when(target.startswith("/"), F.concat(site, target))
         .otherwise(F.concat(folder, target))
     )
-    return pages.select(F.col(url).alias("a"), whole.alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
+    # An outer explode, as in licenses; other columns may have the names made here, so they are left out.
+    found = pages.select(url, F.explode_outer(F.array_distinct(F.array_remove(named, ""))).alias("target"))
+    return found.select(F.col(url).alias("a"), whole.alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
 
 
 def _own_rule(rules: tuple[Rule, ...]) -> Column:
