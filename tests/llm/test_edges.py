@@ -177,6 +177,16 @@ def test_licence_with_edits(spark):
     assert found == [(1, "mit"), (1, "mit")]
 
 
+def test_licences_of_few_words(spark):
+    templates = {"reserved": ("All rights reserved.",), "one": ("Copyleft",), "apache-2.0": licenses.TEMPLATES["apache-2.0"]}
+    texts = ["(c) us. ALL RIGHTS, reserved!", "all rights", "all the rights reserved", f"copyleft {NOTICE} All rights reserved", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = rows(licenses.scan(docs, templates=templates).where("containment = 1").select("doc_id", "license", "at"))
+    assert found == [(0, "reserved", 2), (3, "apache-2.0", 0), (3, "one", 0), (3, "reserved", 9)]
+    with pytest.raises(ValueError):
+        licenses.scan(docs, templates={"none": ("...",)})
+
+
 def test_encoding(docs, none):
     model = Tokenizer.from_file(WORDS)
     ids = [(d, model.encode(t or "", add_special_tokens=False).ids) for d, t in _texts()]

@@ -3,7 +3,8 @@
 Texts and templates become runs of five-word shingles. Every template's windows of 1, 2 or 4 shingles
 (the largest size it holds) are min-hashed into bands; so are all windows of a text, one word apart. A
 text window with a band value of a template retrieves it and the place where it would begin; there the
-exact share of the template's shingles is taken.
+exact share of the template's shingles is taken. A template of one to four words is one shingle of that
+many words, looked for among the runs of as many words of a text.
 
 Guarantee: a band is one min-hash (a random order of shingle hashes), so windows of Jaccard similarity
 s share one of the two bands with probability 1 - (1 - s)^2, and equal windows always do. A template of
@@ -15,6 +16,7 @@ match of 0.8 or more is missed.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,18 +73,23 @@ TEMPLATES = {
 }
 
 
-def with_shingles(rows: DataFrame, text: str, run: str) -> DataFrame:
-    """Adds the hashes of all runs of five words, in order, in place of the text; words are runs of
-    letters (lower-cased), digits and non-ASCII characters."""
+def with_shingles(rows: DataFrame, text: str, run: str, short: Iterable[int] = ()) -> DataFrame:
+    """Adds the hashes of all runs of five words, in order, in place of the text, and those of ``short`` numbers
+    of words in columns with that number at the end; words are runs of letters (lower-cased), digits and
+    non-ASCII characters."""
     words = F.array_remove(F.split(F.lower(F.col(text)), r"[\x00-/:-`{-\x7F]+"), "")
     hashes = F.col(run)
 
-    def hashed(h: Column, i: Column) -> Column:
-        return F.xxhash64(h, *(F.get(hashes, i + k) for k in range(1, SHINGLE)))
+    def runs(n: int) -> Column:
+        def hashed(h: Column, i: Column) -> Column:
+            return F.xxhash64(h, *(F.get(hashes, i + k) for k in range(1, n)))
+
+        return F.slice(F.transform(hashes, hashed), F.lit(1), F.greatest(F.size(hashes) - (n - 1), F.lit(0)))
 
-    runs = F.slice(F.transform(hashes, hashed), F.lit(1), F.greatest(F.size(hashes) - (SHINGLE - 1), F.lit(0)))
     # In steps: an array that a lambda reads must be a column, or it is made anew for every element.
-    return rows.withColumn(run, F.transform(words, lambda w: F.xxhash64(w))).drop(text).withColumn(run, runs)
+    hashed_words = rows.withColumn(run, F.transform(words, lambda w: F.xxhash64(w))).drop(text)
+    # The run itself last and alone: a lambda beside it would read the new column.
+    return hashed_words.withColumns({f"{run}{n}": runs(n) for n in short}).withColumn(run, runs(SHINGLE))
 
 
 def _window_min(run: Column, h: Column, i: Column, size: int, band: int) -> Column:
@@ -108,15 +115,19 @@ def _size(n: int) -> int:
     return 4 if n >= 4 else 2 if n >= 2 else 1
 
 
-def _templates(spark: SparkSession, templates: dict[str, tuple[str, ...]]) -> list[tuple[str, list[int]]]:
-    """Licence and shingles of each template."""
+def _templates(spark: SparkSession, templates: dict[str, tuple[str, ...]]) -> list[tuple[str, int, list[int]]]:
+    """Licence, words of a shingle and shingles of each template."""
     rows = [(name, text) for name, texts in templates.items() for text in texts]
     if len(rows) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
-    made = with_shingles(spark.createDataFrame(rows, "name string, text string"), "text", "run")
-    found = [(row["name"], row["run"]) for row in made.collect()]
-    if any(not run for _, run in found):
-        raise ValueError(f"a template needs {SHINGLE} words")
+    made = with_shingles(spark.createDataFrame(rows, "name string, text string"), "text", "run", range(1, SHINGLE))
+    found = []
+    for row in made.collect():
+        runs = {SHINGLE: row["run"]} | {n: row[f"run{n}"] for n in range(SHINGLE - 1, 0, -1)}
+        length = next((n for n, run in runs.items() if run), 0)
+        if not length:
+            raise ValueError("a template needs a word")
+        found.append((row["name"], length, runs[length]))
     return found
 
 
@@ -133,42 +144,50 @@ def scan(
     quarter of the template's length before the place where it begins to a quarter after its end;
     ``at`` is the word where the first such place begins. Only shares of ``similarity`` or more count.
 
-    Nulls and edges: null, empty and very short texts hold no licence; rows with null or repeated ids
+    Nulls and edges: null and empty texts hold no licence; rows with null or repeated ids
     are judged one by one, and equal rows give equal results as often as they occur; other columns are
     not read. Notices that differ in a single word (versions of one licence) can both reach the threshold;
-    the larger containment tells them apart. Templates are a list of bounded size with at least five words each.
+    the larger containment tells them apart. Templates are a list of bounded size with at least one word each;
+    one of fewer than five words counts where it stands unchanged.
     """
     known = _templates(docs.sparkSession, templates)
     run = F.col("run")
     hits = []
-    bands: dict[tuple[int, int], dict[int, list[tuple[int, int]]]] = {}
-    for t, (_, shingled) in enumerate(known):
+    bands: dict[tuple[int, int, int], dict[int, list[tuple[int, int]]]] = {}
+    for t, (_, length, shingled) in enumerate(known):
         size = _size(len(shingled))
         for band in _bands(size):
             for at in range(len(shingled) - size + 1):
                 signed = [_signed((h ^ band) & (2**64 - 1)) for h in shingled[at : at + size]]
-                bands.setdefault((size, band), {}).setdefault(min(signed), []).append((t, at))
-    for kind, ((size, band), keys) in enumerate(bands.items()):
-        hits.append(F.array_compact(F.transform(run, _retrieving(run, kind, size, band, sorted(keys)))))
+                bands.setdefault((length, size, band), {}).setdefault(min(signed), []).append((t, at))
+    short = sorted({length for _, length, _ in known if length < SHINGLE})
+    own = run  # the runs that a hit was found in
+    for kind, ((length, size, band), keys) in enumerate(bands.items()):
+        source = run if length == SHINGLE else F.col(f"run{length}")
+        hits.append(F.array_compact(F.transform(source, _retrieving(source, kind, size, band, sorted(keys)))))
+        if length < SHINGLE:
+            own = F.when(F.col("hit.kind") == kind, source).otherwise(own)
+    runs = ["run", *(f"run{n}" for n in short)]
     retrieved = docs.sparkSession.createDataFrame(
         [(k, key, t, at) for k, keys in enumerate(bands.values()) for key, found in keys.items() for t, at in found],
         "kind int, key long, template int, offset int",
     )
     described = docs.sparkSession.createDataFrame(
-        [(t, name, sorted(set(shingled)), len(shingled)) for t, (name, shingled) in enumerate(known)],
+        [(t, name, sorted(set(shingled)), len(shingled)) for t, (name, _, shingled) in enumerate(known)],
         "template int, license string, wanted array<bigint>, n int",
     )
-    longest = max(len(shingled) for _, shingled in known)
+    longest = max(len(shingled) for _, _, shingled in known)
     reach = longest + longest // 4 + 1
     found = (
         with_shingles(
             docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("id"), F.col(text).alias("text")),
             "text",
             "run",
+            short,
         )
-        .select("row", "id", "run", (F.concat(*hits) if len(hits) > 1 else hits[0]).alias("hits"))
+        .select("row", "id", *runs, (F.concat(*hits) if len(hits) > 1 else hits[0]).alias("hits"))
         # An outer explode: a filter on the arrays would move down and make them anew for every element.
-        .select("row", "id", "run", F.explode_outer("hits").alias("hit"))
+        .select("row", "id", *runs, F.explode_outer("hits").alias("hit"))
         .where("hit IS NOT NULL")
         # Only the surroundings of a hit go on, so a text with many notices is not copied for each.
         .select(
@@ -176,7 +195,7 @@ def scan(
             "id",
             "hit.*",
             F.greatest(F.col("hit.at") - reach, F.lit(0)).alias("base"),
-            F.slice("run", F.greatest(F.col("hit.at") - reach, F.lit(0)) + 1, F.lit(2 * reach)).alias("near"),
+            F.slice(own, F.greatest(F.col("hit.at") - reach, F.lit(0)) + 1, F.lit(2 * reach)).alias("near"),
         )
         .join(retrieved, ["kind", "key"])
         .join(described, "template")
