@@ -8,6 +8,7 @@ from townads.llm import (
     language,
     licenses,
     neighbours,
+    periodic,
     similar,
     substrings,
     token_counts,
@@ -21,6 +22,7 @@ _MODULES = (
     language,
     licenses,
     neighbours,
+    periodic,
     similar,
     substrings,
     token_counts,
