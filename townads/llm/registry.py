@@ -6,6 +6,7 @@ from townads.llm import (
     bpe,
     decontamination,
     language,
+    lexical,
     licenses,
     neighbours,
     periodic,
@@ -20,6 +21,7 @@ _MODULES = (
     bpe,
     decontamination,
     language,
+    lexical,
     licenses,
     neighbours,
     periodic,
