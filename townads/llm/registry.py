@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from townads.llm import (
     bpe,
+    bwt_dedup,
     decontamination,
     language,
     lexical,
@@ -19,6 +20,7 @@ from townads.llm import (
 
 _MODULES = (
     bpe,
+    bwt_dedup,
     decontamination,
     language,
     lexical,
