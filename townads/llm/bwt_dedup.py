@@ -11,8 +11,8 @@ are one string; the strings of a block of documents that share a bucket of keys
 3. Each bucket merges its shards' transforms: the interleave of their suffixes starts as one after the other
    and is refined by stable distribution along the transforms, some symbols at a step, until it is the order by
    the first ``length`` symbols. Where neighbours part for the first time is noted in each step; the
-   intervals that no step parted are the suffixes with a common prefix of ``length``. Of each the least document
-   is found, and a block is told which of its strings hold matches that begin in a smaller one.
+   intervals that no step parted are the suffixes with a common prefix of ``length``. Strings that several
+   shards have take part once. Of each interval the least document is found, and a block is told which of its strings hold matches that begin in a smaller one.
 4. Each block marks the matches and cuts them out.
 
 A bucket holds about ``BUCKET_BYTES`` of the input at any size. A passage of a third of all documents is one
@@ -47,7 +47,7 @@ _LAST = (1 << 63) - 1  # stands for a missing id: such a row comes after all oth
 _STEP = 7  # symbols of 9 bits in a number
 _U = np.uint64
 # What a block sends to a bucket: strings by piece, their bytes, least id and what the greatest is beyond it, places in
-# the block and ranks of whole strings, the symbols of the transform, and further copies.
+# the block, ranks of whole strings, values of all their bytes, the symbols of the transform, and further copies.
 _SHARD = {
     "counts": np.int32,
     "sizes": np.int32,
@@ -55,6 +55,7 @@ _SHARD = {
     "most": np.int64,
     "begin": np.int64,
     "heads": np.int32,
+    "value": np.uint64,
     "symbols": np.uint8,
     "copies": np.int64,
     "copy_of": np.int32,
@@ -173,17 +174,17 @@ def _shared_keys(group: pa.Table) -> pa.Table:
     """To each block its keys of a bucket that more than one document has."""
     one = [np.frombuffer(x.as_py(), np.uint32) for x in group["one"]]
     more = [np.frombuffer(x.as_py(), np.uint32) for x in group["more"]]
-    every = np.sort(np.concatenate([*one, *more]))
-    again = every[1:][every[1:] == every[:-1]]
-    shared = np.unique(np.concatenate([again, *more]))
-    found = [np.concatenate([a[np.isin(a, shared)], b]) for a, b in zip(one, more)]
-    kept = [i for i, x in enumerate(found) if len(x)]
+    single = np.concatenate(one)
+    every = np.sort(np.concatenate([single, *more]))
+    shared = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *more]))
+    if not len(shared):
+        return pa.table({"block": pa.array([], pa.string()), "bucket": pa.array([], pa.int64()), "keys": pa.array([], pa.binary())})
+    hit = shared[np.minimum(np.searchsorted(shared, single), len(shared) - 1)] == single
+    ends = np.cumsum([len(x) for x in one])
+    found = [a[mine].tobytes() + b.tobytes() for a, b, mine in zip(one, more, np.split(hit, ends[:-1]))]
+    kept = pa.array([i for i, x in enumerate(found) if x], pa.int64())
     return pa.table(
-        {
-            "block": group["block"].take(pa.array(kept, pa.int64())),
-            "bucket": group["bucket"].take(pa.array(kept, pa.int64())),
-            "keys": pa.array([found[i].tobytes() for i in kept], pa.binary()),
-        }
+        {"block": group["block"].take(kept), "bucket": group["bucket"].take(kept), "keys": pa.array([x for x in found if x], pa.binary())}
     )
 
 
@@ -196,36 +197,29 @@ def _expanded(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def _suffix_order(text: np.ndarray, rest: np.ndarray, shard: np.ndarray) -> np.ndarray:
     """Places of ``text`` by shard, suffix up to its terminator 0, and string. ``rest`` is what is left to it."""
     n = len(text)
-    padded = np.append(text, np.zeros(8, text.dtype)).astype(np.uint64)
-
-    def symbols(at: np.ndarray, depth: int, size: int) -> np.ndarray:
-        out = np.zeros(len(at), dtype=np.uint64)
-        alive = rest[at] >= depth
-        for i in range(size):
-            s = padded[np.minimum(at + depth + i, n)] * alive
-            out = out << _U(9) | s
-            alive = alive & (s > 0)
-        return out
-
     depth = 5 if int(shard[-1]) < 1 << 19 else 2  # as many symbols as fit beside the shard's number
-    key = (shard.astype(np.uint64) << _U(9 * depth)) | symbols(np.arange(n), 0, depth)
-    order = np.argsort(key, kind="stable")
+    padded = np.append(text, np.zeros(8, text.dtype)).astype(np.uint64)
+    key = shard.astype(np.uint64)
+    for i in range(depth):
+        key = key << _U(9) | padded[i : i + n] * (rest >= i)
+    order = np.argsort(key)
     key = key[order]
-    fresh = np.append(True, key[1:] != key[:-1])
+    slots = np.arange(n)  # places in the order that may still change, in groups of equal ones
     while True:
-        # Only places that are still equal to a neighbour go on.
-        group = np.cumsum(fresh) - 1
-        alone = fresh & np.append(fresh[1:], True)
-        open_at = np.flatnonzero(~alone)
-        if not len(open_at):
+        fresh = np.append(True, key[1:] != key[:-1])
+        tied = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))
+        if not len(tied):
             return order
-        places = order[open_at]
-        ended = rest[places] < depth
-        key = np.where(ended, places.astype(np.uint64), symbols(places, depth, 4)) | (group[open_at].astype(np.uint64) << _U(36))
-        by = np.argsort(key, kind="stable")
-        order[open_at] = places[by]
-        key = key[by]
-        fresh[open_at] = np.append(True, key[1:] != key[:-1])
+        slots, group = slots[tied], np.cumsum(fresh)[tied]
+        places = order[slots]
+        left = rest[places]
+        key = np.zeros(len(places), dtype=np.uint64)
+        for i in range(depth, depth + 4):
+            key = key << _U(9) | padded[np.minimum(places + i, n)] * (left >= i)
+        # Suffixes that have ended are equal; their strings' order decides.
+        key = np.where(left < depth, places.astype(np.uint64), key) | group.astype(np.uint64) << _U(36)
+        by = np.argsort(key)
+        order[slots], key = places[by], key[by]
         depth += 4
 
 
@@ -265,7 +259,7 @@ def _send_shards(length: int, buckets: int, pieces: int) -> Callable:
         most = np.maximum.reduceat(whose, at)
         copy_of = np.cumsum(fresh)[~fresh] - 1
         copies = begin[~fresh]
-        begin, sizes, least, piece, bucket = (x[at] for x in (begin, sizes, whose, piece, bucket))
+        begin, sizes, least, piece, bucket, value = (x[at] for x in (begin, sizes, whose, piece, bucket, value))
         # All strings one after the other, each with its terminator.
         own = sizes + 1
         first = np.cumsum(own) - own
@@ -287,7 +281,7 @@ def _send_shards(length: int, buckets: int, pieces: int) -> Callable:
             low, high = first[a], first[b - 1] + own[b - 1]
             c, d = np.searchsorted(copy_of, [a, b])
             columns = (np.bincount(piece[a:b], minlength=pieces), sizes[a:b], least[a:b], most[a:b] - least[a:b], begin[a:b])
-            columns += (heads[a:b], symbols[low:high], copies[c:d], copy_of[c:d] - a)
+            columns += (heads[a:b], value[a:b], symbols[low:high], copies[c:d], copy_of[c:d] - a)
             sent = (_pressed(x.astype(kind)) for x, kind in zip(columns, _SHARD.values()))
             out.append((int(bucket[a]), packed["block"][0].as_py(), *sent))
         return pa.table({f.name: pa.array(c, f.type) for c, f in zip(zip(*out), schema)})
@@ -307,42 +301,47 @@ def _walk(symbols: np.ndarray, heads: np.ndarray, shard: np.ndarray, shard_first
     return back
 
 
-def _ranks(x: np.ndarray) -> np.ndarray:
-    order = np.argsort(x)
-    x = x[order]
-    out = np.empty(len(x), dtype=np.uint32)
-    out[order] = np.cumsum(np.append(False, x[1:] != x[:-1]), dtype=np.uint32)
-    return out
-
-
 def merged(symbols: np.ndarray, back: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The interleave of the shards' elements by their first ``length`` symbols, and the number of the
     interval of equal ones that each place belongs to."""
     n = len(symbols)
     source, interval = np.arange(n, dtype=np.int32), np.zeros(n, dtype=np.int32)
+    places = np.arange(n, dtype=np.uint64)
 
     def refined(ranks: np.ndarray, jump: np.ndarray) -> None:
         # A stable distribution of the interleave by the symbols to the left, which then come first.
         nonlocal source, interval
-        key = np.sort(ranks[source].astype(np.uint64) << _U(32) | np.arange(n, dtype=np.uint64))
+        key = ranks[source]
+        key <<= _U(32)
+        key |= places
+        key.sort()
         order = (key & _U(0xFFFFFFFF)).astype(np.int32)
         key >>= _U(32)
         source, before = jump[source[order]], interval[order]
-        parted = (key[1:] != key[:-1]) | (before[1:] != before[:-1])
-        interval = np.append(np.int32(0), np.cumsum(parted, dtype=np.int32))
-
-    wide = symbols.astype(np.uint64)
-    for _ in range(length % _STEP):
-        refined(symbols.astype(np.uint32), back)
-    if length >= _STEP:
+        parted = key[1:] != key[:-1]
+        parted |= before[1:] != before[:-1]
+        interval[0] = 0
+        np.cumsum(parted, dtype=np.int32, out=interval[1:])
+
+    steps = length // _STEP
+    if steps:
+        wide = symbols.astype(np.uint64)
         chunk, jump = wide, back
         for i in range(1, _STEP):
             chunk = chunk | wide[jump] << _U(9 * i)
             jump = back[jump]
-        ranks = _ranks(chunk)
-        del chunk
-        for _ in range(length // _STEP):
+        # The first distribution is also the one that numbers the chunks in order.
+        order = np.argsort(chunk)
+        chunk = chunk[order]
+        np.cumsum(chunk[1:] != chunk[:-1], dtype=np.int32, out=interval[1:])
+        ranks = np.empty(n, dtype=np.uint64)
+        ranks[order] = interval
+        source = jump[order]
+        del chunk, wide
+        for _ in range(steps - 1):
             refined(ranks, jump)
+    for _ in range(length - steps * _STEP):
+        refined(symbols.astype(np.uint64), back)
     return source, interval
 
 
@@ -361,11 +360,11 @@ def _merge_shards(length: int, pieces: int) -> Callable:
             some = np.flatnonzero(counts[:, piece])
             if not len(some):
                 continue
-            columns: dict[str, list[np.ndarray]] = {n: [] for n in ("sizes", "least", "most", "begin", "heads", "symbols")}
+            columns: dict[str, list[np.ndarray]] = {n: [] for n in ("sizes", "least", "most", "begin", "heads", "value", "symbols")}
             elements = []
             for r in some:
                 a, b = taken[r], taken[r] + counts[r, piece]
-                for n in ("sizes", "least", "most", "begin", "heads"):
+                for n in ("sizes", "least", "most", "begin", "heads", "value"):
                     columns[n].append(read[n][r][a:b])
                 size = int(columns["sizes"][-1].sum() + (b - a))
                 columns["symbols"].append(read["symbols"][r][used[r] : used[r] + size])
@@ -381,40 +380,50 @@ def _merge_shards(length: int, pieces: int) -> Callable:
             symbols = np.concatenate(columns["symbols"]).astype(np.uint16) + np.uint16(1)
             symbols[heads] = 0
             back = _walk(symbols, heads, np.repeat(np.arange(len(some)), elements), shard_first, string_first)
-            source, interval = merged(symbols, back, length)
+            # Equal strings of several shards are one; the others' elements go no further.
+            _, chosen, same = np.unique(np.concatenate(columns["value"]), return_index=True, return_inverse=True)
+            lowest = np.full(len(chosen), _LAST, dtype=np.int64)
+            np.minimum.at(lowest, same, least)
             # Which match of which string an element begins, by going left from the terminators.
-            matches = sizes - length + 1
+            matches = sizes[chosen] - length + 1
             match_first = np.cumsum(matches) - matches
-            match = np.full(len(symbols), -1, dtype=np.int32)
-            here = shard_first[of_string] + np.arange(len(sizes)) - string_first[of_string]
-            active = np.arange(len(sizes))
-            for step in range(1, int(sizes.max()) + 1):
-                going = sizes[active] >= step
+            match = np.full(len(symbols), -2, dtype=np.int32)
+            here = (shard_first[of_string] + np.arange(len(sizes)) - string_first[of_string])[chosen]
+            match[here] = -1
+            active, size = np.arange(len(chosen)), sizes[chosen]
+            for step in range(1, int(size.max()) + 1):
+                going = size[active] >= step
                 active, here = active[going], back[here[going]]
-                if step >= length:
-                    match[here] = match_first[active] + sizes[active] - step
-            place = match[source]
+                match[here] = match_first[active] + size[active] - step if step >= length else -1
+            keep = np.flatnonzero(match > -2)
+            renumbered = np.empty(len(symbols), dtype=np.int32)
+            renumbered[keep] = np.arange(len(keep), dtype=np.int32)
+            source, interval = merged(symbols[keep], renumbered[back[keep]], length)
+            place = match[keep][source]
             at = np.flatnonzero(place >= 0)
             place, interval = place[at], interval[at]
-            string_of = np.repeat(np.arange(len(sizes), dtype=np.int32), matches)
+            string_of = np.repeat(np.arange(len(chosen), dtype=np.int32), matches)
             group_first = np.flatnonzero(np.append(True, interval[1:] != interval[:-1]))
-            lowest = np.minimum.reduceat(least[string_of[place]], group_first)
+            first_seen = np.minimum.reduceat(lowest[string_of[place]], group_first)
             origin = np.empty(len(place), dtype=np.int64)
-            origin[place] = np.repeat(lowest, np.diff(np.append(group_first, len(place))))
-            # Ranges of matches of a string that begin in the same smaller document.
+            origin[place] = np.repeat(first_seen, np.diff(np.append(group_first, len(place))))
+            # Ranges of matches of a string that begin in the same smaller document, for each of its copies.
             cut = np.append(True, (origin[1:] != origin[:-1]) | (string_of[1:] != string_of[:-1]))
             low = np.flatnonzero(cut)
             high = np.append(low[1:], len(origin))
-            s = string_of[low]
-            told = np.flatnonzero(origin[low] < least[s] + most[s])
-            low, high, s, origin = low[told], high[told], s[told], origin[low[told]]
+            ranges = np.searchsorted(string_of[low], np.arange(len(chosen) + 1))
+            a, b = ranges[same], ranges[same + 1]
+            s, at = np.repeat(np.arange(len(sizes)), b - a), _expanded(a, b - a)
+            low, high, origin = low[at] - match_first[same[s]], high[at] - match_first[same[s]], origin[low[at]]
+            told = np.flatnonzero(origin < least[s] + most[s])
+            low, high, s, origin = low[told], high[told], s[told], origin[told]
             bounds = np.searchsorted(s, np.append(string_first, len(sizes)))
             for i, r in enumerate(some):
                 a, b = bounds[i], bounds[i + 1]
                 if a < b:
                     t = s[a:b]
                     number = t - string_first[i] + taken[r] - counts[r, piece]
-                    kept[r].append((begin[t], low[a:b] - match_first[t], high[a:b] - match_first[t], origin[a:b], number))
+                    kept[r].append((begin[t], low[a:b], high[a:b], origin[a:b], number))
         out = []
         for r in range(rows):
             if not kept[r]:
@@ -495,7 +504,7 @@ def remove_repeated_bytes(
     Nulls and edges: a null or empty text has no bytes; texts shorter than ``length`` keep all; a null id comes
     after all others, and rows with equal ids never remove each other's bytes; repetition within one row stays;
     an empty table gives an empty one. Ids are integers. Only the two columns are read. ``length`` is 17 to
-    16,000. Equal strings of a block are told by 64-bit values; whether matches are equal is decided exactly.
+    16,000. Strings are equal by 64-bit values of all their bytes; whether matches are equal is decided exactly.
     """
     if not KEY < length <= 16_000:
         raise ValueError("matches are 17 to 16,000 bytes long")
