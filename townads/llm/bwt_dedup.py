@@ -40,8 +40,9 @@ LENGTH = 50
 KEY = 16  # bytes of a key; matches are longer
 BLOCK_BYTES = 2 << 20  # texts that a task looks at together; a longer text alone
 BUCKET_BYTES = 8 << 20
-PART_BYTES = 1 << 20  # what of a bucket is merged at a time
+PART_BYTES = 1 << 18  # what of a bucket is merged at a time
 _SLICE = 1 << 20
+_ORDERED = 1 << 18  # symbols that are put in order together, about
 _PLACE_BITS = 21  # of a place in a slice and the match that begins at its end
 _LAST = (1 << 63) - 1  # stands for a missing id: such a row comes after all others
 _STEP = 7  # symbols of 9 bits in a number
@@ -260,35 +261,48 @@ def _send_shards(length: int, buckets: int, pieces: int) -> Callable:
         copy_of = np.cumsum(fresh)[~fresh] - 1
         copies = begin[~fresh]
         begin, sizes, least, piece, bucket, value = (x[at] for x in (begin, sizes, whose, piece, bucket, value))
-        # All strings one after the other, each with its terminator.
-        own = sizes + 1
-        first = np.cumsum(own) - own
-        text = data[np.minimum(_expanded(begin, own), len(data) - 1)].astype(np.uint16) + np.uint16(1)
-        text[first + sizes] = 0
-        rest = np.repeat(first + sizes, own) - np.arange(len(text))
-        shard = bucket * pieces + piece
-        _, dense = np.unique(shard, return_inverse=True)
-        ordered = _suffix_order(text, rest, np.repeat(dense, own))
-        symbols = np.maximum(text[ordered - 1], 1).astype(np.uint16) - 1  # of a head it does not matter
-        rank = np.empty(len(text), dtype=np.int64)
-        rank[ordered] = np.arange(len(text))
-        shard_first = np.append(True, dense[1:] != dense[:-1])
-        shard_begin = first[shard_first][dense]  # where the elements of a string's shard begin
-        heads = (rank[first] - shard_begin).astype(np.int32)
         out = []
         cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            low, high = first[a], first[b - 1] + own[b - 1]
-            c, d = np.searchsorted(copy_of, [a, b])
-            columns = (np.bincount(piece[a:b], minlength=pieces), sizes[a:b], least[a:b], most[a:b] - least[a:b], begin[a:b])
-            columns += (heads[a:b], value[a:b], symbols[low:high], copies[c:d], copy_of[c:d] - a)
-            sent = (_pressed(x.astype(kind)) for x, kind in zip(columns, _SHARD.values()))
-            out.append((int(bucket[a]), packed["block"][0].as_py(), *sent))
-        return pa.table({f.name: pa.array(c, f.type) for c, f in zip(zip(*out), schema)})
+        # Whole shards that have about a slice of symbols together are put in order together.
+        filled = np.cumsum(sizes + 1)
+        at = 0
+        while at < len(cuts) - 1:
+            low = cuts[at]
+            done = filled[low] - sizes[low] - 1
+            to = max(at + 1, int(np.searchsorted(filled[cuts[1:] - 1], done + _ORDERED, side="right")))
+            high = cuts[to]
+            heads, symbols, own = _transforms(data, begin[low:high], sizes[low:high], (bucket * pieces + piece)[low:high])
+            for a, b in zip(cuts[at:to], cuts[at + 1 : to + 1]):
+                first, last = (int(filled[i] - sizes[i] - 1 - done) for i in (a, b - 1))
+                c, d = np.searchsorted(copy_of, [a, b])
+                columns = (np.bincount(piece[a:b], minlength=pieces), sizes[a:b], least[a:b], most[a:b] - least[a:b], begin[a:b])
+                columns += (heads[a - low : b - low], value[a:b], symbols[first : last + int(own[b - 1 - low])], copies[c:d], copy_of[c:d] - a)
+                sent = (_pressed(x.astype(kind)) for x, kind in zip(columns, _SHARD.values()))
+                out.append((int(bucket[a]), packed["block"][0].as_py(), *sent))
+            at = to
+        return pa.table({f.name: pa.array(c, f.type) for f, c in zip(schema, zip(*out))}, schema=schema)
 
     return run
 
 
+def _transforms(data: np.ndarray, begin: np.ndarray, sizes: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of strings by shard: ranks of whole strings within the shard's transform, the symbols of all
+    transforms one after the other, and what each string takes of them."""
+    # All strings one after the other, each with its terminator.
+    own = sizes + 1
+    first = np.cumsum(own) - own
+    text = data[np.minimum(_expanded(begin, own), len(data) - 1)].astype(np.uint16) + np.uint16(1)
+    text[first + sizes] = 0
+    rest = np.repeat(first + sizes, own) - np.arange(len(text))
+    fresh = np.append(True, shard[1:] != shard[:-1])
+    dense = np.cumsum(fresh) - 1
+    ordered = _suffix_order(text, rest, np.repeat(dense, own))
+    symbols = np.maximum(text[ordered - 1], 1).astype(np.uint16) - 1  # of a head it does not matter
+    rank = np.empty(len(text), dtype=np.int64)
+    rank[ordered] = np.arange(len(text))
+    return rank[first] - first[fresh][dense], symbols, own
+
+
 def _walk(symbols: np.ndarray, heads: np.ndarray, shard: np.ndarray, shard_first: np.ndarray, string_first: np.ndarray) -> np.ndarray:
     """Of each element of the shards' transforms the element one symbol to the left; from a head to its terminator."""
     key = (shard.astype(np.uint64) << _U(9) | symbols) << _U(32) | np.arange(len(symbols), dtype=np.uint64)
