@@ -39,7 +39,7 @@ def parser() -> argparse.ArgumentParser:
         live.add_argument("--checkpoint", required=True)
         live.add_argument("--source", default=apps.ADS_TOPIC)
         live.add_argument("--target", default=apps.LIVE[name][0])
-        live.add_argument("--quarantine", help="folder for messages that cannot be used")
+        live.add_argument("--quarantine", help="folder for messages that cannot be used; needed unless strict")
         live.add_argument("--strict", action="store_true", help="fail on such messages instead")
         live.add_argument("--max-records", type=int, default=apps.MAX_RECORDS, help="records in a micro-batch")
         live.add_argument("--every", default=apps.EVERY, help="time between micro-batches")

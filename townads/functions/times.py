@@ -56,6 +56,11 @@ def posted_year(posted_date: Column) -> Column:
     return F.substring(posted_date, 1, 4)
 
 
+def posting_day(posted_date: Column) -> Column:
+    """Start of the posting date's day as a zone-less timestamp; NULL for text that is no date."""
+    return posted_date.try_cast("date").cast("timestamp_ntz")
+
+
 def has_year(year: Column) -> Column:
     """TRUE for four characters, digits or not; FALSE for fewer and for NULL."""
     return F.coalesce(F.length(year) == 4, F.lit(False))

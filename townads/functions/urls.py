@@ -39,23 +39,35 @@ def in_domain(url: Column, domain: str) -> Column:
     return (name == domain) | name.endswith("." + domain)
 
 
-def absolute(link: Column, page_url: Column) -> Column:
-    """A link as written on ``page_url``, made absolute. Dot segments are left as they are."""
-    origin = F.regexp_extract(page_url, _ORIGIN, 1)
-    path = F.regexp_replace(page_url, r"[?#].*$", "")
+def page_parts(page_url: Column) -> list[Column]:
+    """What the links on a page are put together from: ``origin``, ``path`` and ``whole``, for ``resolved``."""
+    return [
+        F.regexp_extract(page_url, _ORIGIN, 1).alias("origin"),
+        F.regexp_replace(page_url, r"[?#].*$", "").alias("path"),
+        F.regexp_replace(page_url, r"#.*$", "").alias("whole"),
+    ]
+
+
+def resolved(link: Column, origin: Column, path: Column, whole: Column) -> Column:
+    """A link as written on a page of these parts, made absolute. Dot segments are left as they are."""
     folder = F.when(path == origin, F.concat(origin, F.lit("/"))).otherwise(
         F.regexp_replace(path, r"[^/]*$", "")
     )
     return (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
-        .when(link.startswith("//"), F.concat(F.substring_index(page_url, "//", 1), link))
+        .when(link.startswith("//"), F.concat(F.substring_index(whole, "//", 1), link))
         .when(link.startswith("/"), F.concat(origin, link))
         .when(link.startswith("?"), F.concat(path, link))
-        .when((link == "") | link.startswith("#"), F.concat(F.regexp_replace(page_url, r"#.*$", ""), link))
+        .when((link == "") | link.startswith("#"), F.concat(whole, link))
         .otherwise(F.concat(folder, link))
     )
 
 
+def absolute(link: Column, page_url: Column) -> Column:
+    """``resolved`` for a single link of a page."""
+    return resolved(link, *page_parts(page_url))
+
+
 def is_fetchable(url: Column) -> Column:
     return url.rlike(r"^(?i)https?://")
 
@@ -78,14 +90,25 @@ def _without_dots(path: Column) -> Column:
     return F.when(joined == "", F.lit("/")).otherwise(joined)
 
 
-def request_key(url: Column) -> Column:
-    """One spelling of all URLs that ask for the same page: scheme and host in lower case, no default port
-    and no fragment, dot segments resolved, query arguments sorted."""
+def key_parts(url: Column) -> list[Column]:
+    """What ``joined_key`` is put together from: ``bare``, ``query``, ``origin`` and ``path`` of an address."""
     bare = F.regexp_replace(url, r"#.*$", "")
-    query = F.regexp_extract(bare, r"\?(.*)$", 1)
+    return [
+        bare.alias("bare"),
+        F.regexp_extract(bare, r"\?(.*)$", 1).alias("query"),
+        F.lower(F.regexp_extract(bare, _ORIGIN, 1)).alias("origin"),
+        F.regexp_extract(bare, r"^[^:]*://[^/?]*([^?]*)", 1).alias("path"),
+    ]
+
+
+def joined_key(bare: Column, query: Column, origin: Column, path: Column) -> Column:
     ordered = F.array_join(F.array_sort(F.split(query, "&")), "&")
-    origin = F.lower(F.regexp_extract(bare, _ORIGIN, 1))
-    origin = F.regexp_replace(origin, r"^(http://.*):80$|^(https://.*):443$", "$1$2")
-    path = _without_dots(F.regexp_extract(bare, r"^[^:]*://[^/?]*([^?]*)", 1))
-    page = F.when(origin == "", F.regexp_replace(bare, r"\?.*$", "")).otherwise(F.concat(origin, path))
+    site = F.regexp_replace(origin, r"^(http://.*):80$|^(https://.*):443$", "$1$2")
+    page = F.when(origin == "", F.regexp_replace(bare, r"\?.*$", "")).otherwise(F.concat(site, _without_dots(path)))
     return F.when(query == "", page).otherwise(F.concat(page, F.lit("?"), ordered))
+
+
+def request_key(url: Column) -> Column:
+    """One spelling of all URLs that ask for the same page: scheme and host in lower case, no default port
+    and no fragment, dot segments resolved, query arguments sorted."""
+    return joined_key(*key_parts(url))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from townads.functions import html, times, urls
+from townads.functions.generated import once
 
 
 def extract_ads(
@@ -40,12 +41,14 @@ def extract_ads(
 def extract_links(pages: DataFrame) -> DataFrame:
     """Distinct link targets per page, as written (``link``) and absolute (``url``); a page's ``base``
     takes the place of its own URL."""
-    bodies = pages.select("page_id", "url", html.visible(F.col("html")).alias("body"))
-    base = urls.absolute(html.base(F.col("body")), F.col("url"))
-    links = bodies.select(
-        "page_id", F.coalesce(base, F.col("url")).alias("page_url"), F.explode(html.links(F.col("body"))).alias("link")
-    )
-    return links.select("page_id", "link", urls.absolute(F.col("link"), F.col("page_url")).alias("url"))
+    bodies = pages.select("page_id", "url", once(html.visible(F.col("html")).alias("body")))
+    based = bodies.select("page_id", "url", "body", once(html.base(F.col("body")).alias("base")))
+    start = F.coalesce(urls.absolute(F.col("base"), F.col("url")), F.col("url"))
+    started = based.select("page_id", "body", once(start.alias("page_url")))
+    parts = started.select("page_id", "body", once(*urls.page_parts(F.col("page_url"))))
+    links = parts.select("page_id", "origin", "path", "whole", F.explode(html.links(F.col("body"))).alias("link"))
+    url = urls.resolved(*(F.col(c) for c in ("link", "origin", "path", "whole")))
+    return links.select("page_id", "link", once(url.alias("url")))
 
 
 def in_domains(links: DataFrame, domains: list[str]) -> DataFrame:
@@ -56,12 +59,19 @@ def in_domains(links: DataFrame, domains: list[str]) -> DataFrame:
     return links.filter(urls.is_fetchable(F.col("url")) & urls.is_page(F.col("url")) & allowed)
 
 
+def with_request_key(rows: DataFrame, name: str, url: str = "url") -> DataFrame:
+    """Adds the one spelling of ``url`` as a column ``name``."""
+    parts = rows.select("*", once(F.struct(*urls.key_parts(F.col(url))).alias("_parts")))
+    key = urls.joined_key(*(F.col(f"_parts.{c}") for c in ("bare", "query", "origin", "path")))
+    return parts.select(*rows.columns, once(key.alias(name)))
+
+
 def frontier(links: DataFrame, seen: DataFrame) -> DataFrame:
     """URLs to fetch next: linked, not seen yet, each once and in one spelling.
 
     Links are reduced to distinct ones before the anti join, so a link on every page is one row
     per task by the time it is shuffled.
     """
-    wanted = links.select(urls.request_key(F.col("url")).alias("url")).distinct()
-    known = seen.select(urls.request_key(F.col("url")).alias("url")).distinct()
+    wanted = with_request_key(links.select(F.col("url").alias("_url")), "url", "_url").select("url").distinct()
+    known = with_request_key(seen.select(F.col("url").alias("_url")), "url", "_url").select("url").distinct()
     return wanted.join(known, "url", "left_anti")

@@ -23,9 +23,14 @@ def with_event_time(
     return ads.withColumn("ts", ts.cast("timestamp") if zoned else ts)
 
 
-def with_posting_time(ads: DataFrame) -> DataFrame:
-    """Adds ``ts`` taken from the posting date."""
-    return ads.withColumn("ts", F.col("posted_date").try_cast("date").cast("timestamp_ntz"))
+def with_posting_time(ads: DataFrame, strict: bool = False) -> DataFrame:
+    """Adds ``ts`` taken from the posting date. An ad without a readable date gets NULL and falls in no
+    window; ``strict`` fails the job."""
+    ts = times.posting_day(F.col("posted_date"))
+    if strict:
+        failure = F.raise_error(F.concat(F.lit("no posting date in ad "), F.coalesce("ad_id", F.lit("?"))))
+        ts = F.coalesce(ts, failure.cast("timestamp_ntz"))
+    return ads.withColumn("ts", ts)
 
 
 def with_posted_year(ads: DataFrame) -> DataFrame:

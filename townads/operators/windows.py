@@ -63,17 +63,18 @@ def sliding_counts(
 
     Each row is copied into the size/slide windows it belongs to and counted there, for the most
     part before the shuffle. ``shared`` counts every row once, in a pane of gcd(size, slide), and
-    copies only the pane counts, at the price of a second shuffle. By default that is done in
-    batch when there would be more than ``MOST_COPIES`` copies of a row; streams always take the
-    first form, as one aggregation keeps one set of state.
+    copies only the pane counts, at the price of a second shuffle. By default that is done when there
+    would be more than ``MOST_COPIES`` copies of a row. On a stream panes are a stateful aggregation of
+    their own, whose closed panes go on to the windows: append mode only, and a window of panes closes
+    when the watermark has passed both.
     """
     if shared is None:
-        shared = not rows.isStreaming and seconds(size) > MOST_COPIES * seconds(slide)
+        shared = seconds(size) > MOST_COPIES * seconds(slide)
     count = F.count(value)
     if shared:
         pane = F.window(time_col, f"{gcd(seconds(size), seconds(slide))} seconds").alias("pane")
         rows = rows.groupBy(*keys, pane).agg(count.alias("n"))
-        time_col, count = "pane.start", F.sum("n")
+        time_col, count = F.window_time("pane") if rows.isStreaming else F.col("pane.start"), F.sum("n")
     w = F.window(time_col, _literal(size), _literal(slide)).alias("w")
     return _flat(rows.groupBy(*keys, w).agg(count.alias("num_ads")), keys, bounds)
 

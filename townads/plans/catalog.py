@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from townads.functions import times, urls
-from townads.operators import changes, crawl, rows, series, windows
+from townads.operators import changes, crawl, levels, rows, series, windows
 from townads.plans import jobs
 from townads.schema import (
     AD_ITEM,
@@ -17,7 +17,7 @@ from townads.schema import (
     TUMBLING_TOPIC,
 )
 from townads.session import scratch_folder
-from townads.sources import decode, jsonl, pages, tables, topics
+from townads.sources import daily, decode, jsonl, pages, tables, topics
 from townads.streaming import apps, replay, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -254,6 +254,17 @@ def recent_range(spark, sf_dir):
     return jobs.recent_ads_by_city(ads, now).select("city", "num_ads", F.col("window_end").alias("ts"))
 
 
+@query
+def recent_range_by_day(spark, sf_dir):
+    """As ``recent_range``, from a table by scrape day of which only the range's days are read."""
+    path = scratch_folder(spark, "ads-by-day")
+    daily.write_ads(tables.ads(spark, sf_dir), path)
+    ads = daily.read_ads(spark, path)
+    newest = rows.with_event_time(_known(daily.newest(ads))).agg(F.max("ts").alias("ts"))
+    now = windows.assign(newest, jobs.SLIDING_SIZE, jobs.SLIDING_STEP).agg(F.max("window_end")).scalar()
+    return jobs.recent_ads_by_city(ads, now).select("city", "num_ads", F.col("window_end").alias("ts"))
+
+
 # --- counts and windows ------------------------------------------------------------------------
 
 
@@ -358,6 +369,17 @@ def last_over_time_city(spark, sf_dir):
     return series.last_over_time(lines, ["city"], "1 minute", "30 seconds")
 
 
+@query
+def sum_over_hour_every_ten_seconds(spark, sf_dir):
+    return series.sum_over_time(_tumbling_samples(spark, sf_dir), ["city"], "1 hour", "10 seconds")
+
+
+@query
+def last_over_hour_every_ten_seconds(spark, sf_dir):
+    lines = topics.samples(jobs.result_topics(tables.ads(spark, sf_dir)), SLIDING_TOPIC)
+    return series.last_over_time(lines, ["city"], "1 hour", "10 seconds")
+
+
 @query
 def last_not_null(spark, sf_dir):
     """One slice per city: its latest half-hour sum."""
@@ -449,6 +471,12 @@ def link_frontier(spark, sf_dir):
     return crawl.frontier(crawl.in_domains(crawl.extract_links(pages), [DOMAIN]), pages)
 
 
+@query
+def crawl_levels(spark, sf_dir):
+    """Stored pages in the order in which a crawl from the first ad reaches them."""
+    return levels.crawl_levels(tables.site_pages(spark, sf_dir), [f"{tables.SITE}/ad/1"], [DOMAIN])
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 
@@ -489,6 +517,12 @@ def stream_sliding(spark, sf_dir):
     return _stream_table(spark, _flushed(spark, sf_dir), jobs.ads_by_city, _SLIDING_ROW)
 
 
+@query
+def stream_sliding_panes(spark, sf_dir):
+    """An hour's counts every ten seconds: panes are counted first, their counts are windowed."""
+    return _stream_table(spark, _flushed(spark, sf_dir), jobs.ads_by_city_hourly, _SLIDING_ROW)
+
+
 @query
 def stream_sliding_uneven(spark, sf_dir):
     return _stream_table(spark, _flushed(spark, sf_dir), jobs.ads_by_city_uneven, _COUNT_ROW)

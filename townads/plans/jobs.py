@@ -10,11 +10,12 @@ from townads.functions.times import seconds
 from townads.operators import counts, rows, windows
 from townads.schema import SLIDING_TOPIC, TUMBLING_TOPIC
 from townads.session import LATENESS
-from townads.sources import topics
+from townads.sources import daily, topics
 
 # Window lengths of the jobs and the lateness the uneven one tolerates.
 TUMBLING_SIZE = "300 seconds"
 SLIDING_SIZE, SLIDING_STEP = "60 seconds", "10 seconds"
+HOURLY_SIZE = "1 hour"
 UNEVEN_SIZE, UNEVEN_STEP, UNEVEN_LATENESS = "5 seconds", "2 seconds", "3 seconds"
 
 _SLIDING_BOUNDS = ("window_start", "window_end")
@@ -53,7 +54,8 @@ def ads_by_city(
 def recent_ads_by_city(ads: DataFrame, now: Column, span: str = "30 minutes") -> DataFrame:
     """``ads_by_city`` for the windows that ended in the ``span`` before ``now``. Batch only.
 
-    Ads too old to be in such a window are dropped before they are counted.
+    Ads too old to be in such a window are dropped before they are counted; of a table by scrape day the
+    folders of other days are not read.
     """
     reach = seconds(span) + seconds(SLIDING_SIZE)
     # Text of one form sorts as time does, and a bound on it reaches the scan; the exact filter follows.
@@ -61,11 +63,13 @@ def recent_ads_by_city(ads: DataFrame, now: Column, span: str = "30 minutes") ->
     oldest, newest = now - F.make_dt_interval(secs=F.lit(reach)), now + F.make_dt_interval(days=F.lit(1))
     text = F.col("scraped_time")
     near = ads.filter((text >= times.stamp(oldest)) & (text < times.stamp(newest)))
+    if daily.DAY in ads.columns:
+        near = daily.between(near, oldest, now).drop(daily.DAY)
     counted = rows.recent(rows.with_event_time(near), now, f"{reach} seconds")
     return rows.recent(ads_by_city(counted.drop("ts")), now, span, "window_end")
 
 
-def ads_by_city_sql(ads: DataFrame, lateness: str = LATENESS) -> DataFrame:
+def ads_by_city_sql(ads: DataFrame, lateness: str = LATENESS, strict: bool = False) -> DataFrame:
     """``ads_by_city`` written as SQL text."""
     return ads.sparkSession.sql(
         f"""
@@ -77,24 +81,33 @@ def ads_by_city_sql(ads: DataFrame, lateness: str = LATENESS) -> DataFrame:
             GROUP BY city, window(ts, '{SLIDING_SIZE}', '{SLIDING_STEP}')
         )
         """,
-        source=timed(ads, lateness),
+        source=timed(ads, lateness, strict),
     )
 
 
+def ads_by_city_hourly(ads: DataFrame, lateness: str = LATENESS, strict: bool = False) -> DataFrame:
+    """Ads per city over the last hour, every ten seconds: 360 windows for each ad, so counted in panes."""
+    known = rows.known_cities(timed(ads, lateness, strict))
+    return windows.sliding_counts(known, ["city"], HOURLY_SIZE, SLIDING_STEP, bounds=_SLIDING_BOUNDS)
+
+
 def ads_by_city_uneven(ads: DataFrame, strict: bool = False) -> DataFrame:
     """Windows of five seconds every two, so that neighbours overlap by parts of a step."""
     known = rows.known_cities(timed(ads, UNEVEN_LATENESS, strict))
     return windows.sliding_counts(known, ["city"], UNEVEN_SIZE, UNEVEN_STEP)
 
 
-def ads_by_posting_day(ads: DataFrame, size: str = "1 day", lateness: str | None = None) -> DataFrame:
+def ads_by_posting_day(
+    ads: DataFrame, size: str = "1 day", lateness: str | None = None, strict: bool = False
+) -> DataFrame:
     """The tumbling job on the day an ad was posted instead of the time it was scraped.
 
     Posting days come in no order, so a stream counts every ad however old: write it in update mode; its
     state has one row per city, year and day. A ``lateness`` bounds that state and allows append mode,
-    but then ads posted earlier than that before the newest one are not counted.
+    but then ads posted earlier than that before the newest one are not counted. Ads whose date cannot be read are
+    in no window; ``strict`` fails on them, and ``decode.check_times(..., posting_day=True)`` sets them apart.
     """
-    posted = rows.with_posting_time(rows.with_valid_year(ads))
+    posted = rows.with_posting_time(rows.with_valid_year(ads, strict), strict)
     if ads.isStreaming:
         posted = posted.withColumn("ts", F.col("ts").cast("timestamp"))
         posted = posted.withWatermark("ts", lateness) if lateness else posted
@@ -102,18 +115,22 @@ def ads_by_posting_day(ads: DataFrame, size: str = "1 day", lateness: str | None
     return rows.named_cities(found).select("city", "num_ads", "posted_year", "w_start", "w_end")
 
 
-def ads_per_session(ads: DataFrame, gap: str = "30 minutes", lateness: str = LATENESS) -> DataFrame:
-    known = rows.known_cities(timed(ads, lateness))
+def ads_per_session(
+    ads: DataFrame, gap: str = "30 minutes", lateness: str = LATENESS, strict: bool = False
+) -> DataFrame:
+    known = rows.known_cities(timed(ads, lateness, strict))
     return windows.session_counts(known, ["city"], gap)
 
 
-def top_cities(ads: DataFrame, k: int = 3, size: str = "1 hour") -> DataFrame:
+def top_cities(ads: DataFrame, k: int = 3, size: str = "1 hour", strict: bool = False) -> DataFrame:
     """The cities with most ads in each window. Batch; ``streaming.runs.top_k`` is the stream form."""
-    return windows.top_k(city_windows(ads, size), k)
+    return windows.top_k(city_windows(ads, size, strict=strict), k)
 
 
-def city_windows(ads: DataFrame, size: str = "1 hour", lateness: str = LATENESS) -> DataFrame:
-    return windows.tumbling_counts(rows.known_cities(timed(ads, lateness)), ["city"], size)
+def city_windows(
+    ads: DataFrame, size: str = "1 hour", lateness: str = LATENESS, strict: bool = False
+) -> DataFrame:
+    return windows.tumbling_counts(rows.known_cities(timed(ads, lateness, strict)), ["city"], size)
 
 
 def running_counts(ads: DataFrame) -> DataFrame:

@@ -143,6 +143,19 @@ links AS (
 )"""
 _IN_DOMAIN = r"""regexp_matches(url, '^https?://([^/?#@]*@)?([^/?#:]*\.)?example\.com([/?#:]|$)')"""
 
+# Links between pages as planted, without reading them out of the markup.
+_SITE = _PAGES + """,
+planted AS (
+    SELECT page_id AS n, unnest([2 * page_id + 1, 2 * page_id + 2, page_id // 2]) AS m FROM pages WHERE page_id % 17 <> 0
+),
+stored_ads AS (SELECT page_id, url FROM ad_pages WHERE page_id % 5 <> 0),
+edges AS (
+    SELECT a.url AS source, b.url AS target FROM planted JOIN ad_pages a ON a.page_id = n JOIN stored_ads b ON b.page_id = m
+    WHERE m % 13 <> 0
+    UNION
+    SELECT a.url, b.url FROM ad_pages a JOIN stored_ads b ON b.page_id = a.page_id + 1 WHERE a.page_id % 3 = 0
+)"""
+
 _LAST_SUM = """
 steps AS (
     SELECT city, make_timestamp((epoch_us(w_end) + 1799999999) // 1800000000 * 1800000000) AS step,
@@ -291,6 +304,9 @@ SELECT * FROM tumbling
 WHERE posted_year IN ('2015', '2016', '2017', '2018', '2019', '2021', '2023', '2024')""",
     "recent_range": _ALL_SLIDING + """
 SELECT city, num_ads, w_end AS ts FROM sliding
+WHERE w_end > (SELECT max(w_end) FROM sliding) - INTERVAL 30 MINUTE""",
+    "recent_range_by_day": _ALL_SLIDING + """
+SELECT city, num_ads, w_end AS ts FROM sliding
 WHERE w_end > (SELECT max(w_end) FROM sliding) - INTERVAL 30 MINUTE""",
     # counts and windows
     "count_by_city": _COUNTS,
@@ -321,6 +337,14 @@ FROM (
     FROM (SELECT *, (epoch_us(w_end) + 29999999) // 30000000 * 30000000 AS t FROM sliding)
 )
 GROUP BY city, step""",
+    "sum_over_hour_every_ten_seconds": f"""WITH {_ADS}, {_TUMBLING}
+SELECT city, make_timestamp(t) AS step, CAST(sum(num_ads) AS DOUBLE) AS num_ads
+FROM (SELECT *, unnest(generate_series(epoch_us(w_end), epoch_us(w_end) + 3590000000, 10000000)) AS t FROM tumbling)
+GROUP BY city, t""",
+    "last_over_hour_every_ten_seconds": _ALL_SLIDING + """
+SELECT city, make_timestamp(t) AS step, CAST(arg_max(num_ads, w_end) AS DOUBLE) AS num_ads
+FROM (SELECT *, unnest(generate_series(epoch_us(w_end), epoch_us(w_end) + 3590000000, 10000000)) AS t FROM sliding)
+GROUP BY city, t""",
     "last_not_null": f"""WITH {_ADS}, {_TUMBLING}, {_LAST_SUM}
 SELECT city, arg_max(num_ads, step) AS num_ads FROM steps GROUP BY city""",
     "cumulative_city": _cumulative("city"),
@@ -347,6 +371,14 @@ FROM ads""",
     + " UNION ALL SELECT 'topic', *, 'stored-pages' FROM extracted",
     "extract_links": f"WITH {_LINKS} SELECT page_id, link, url FROM links",
     "filter_domain": f"WITH {_LINKS} SELECT page_id, link, url FROM links WHERE {_IN_DOMAIN}",
+    # Levels grow with the logarithm of the number of pages, far below the bound.
+    "crawl_levels": f"""WITH RECURSIVE {_SITE},
+reached AS (
+    SELECT url, 0 AS level FROM stored_ads WHERE page_id = 1
+    UNION
+    SELECT target, level + 1 FROM reached JOIN edges ON source = url WHERE level < 40
+)
+SELECT url, CAST(min(level) AS INTEGER) AS level FROM reached GROUP BY url""",
     "link_frontier": f"""WITH {_LINKS},
 spelt AS (SELECT replace(replace(url, '//BOARD.', '//board.'), '/x/../', '/') AS url FROM links)
 SELECT DISTINCT url FROM spelt
@@ -356,6 +388,8 @@ WHERE {_IN_DOMAIN} AND url NOT IN (SELECT regexp_replace(url, '#.*$', '') FROM a
     "stream_posted_date": _POSTED_DAYS,
     "stream_monotonic": _TUMBLING_RESULT,
     "stream_sliding": _SLIDING_RESULT,
+    "stream_sliding_panes": f"""WITH {_ADS}, {_sliding(3600, 10)}
+SELECT city, num_ads, w_start AS window_start, w_end AS window_end FROM sliding""",
     "stream_sliding_uneven": _UNEVEN_RESULT,
     "stream_session": f"WITH {_ADS}, {_SESSIONS} {_SESSION_ROWS}",
     "stream_late_rows": _LATE_RESULT,

@@ -11,6 +11,7 @@ from townads.schema import AD_MESSAGE, AD_RECORD
 
 BAD_JSON = "bad json"
 UNKNOWN_FIELD = "unknown field"
+NESTED = "nested value"
 BAD_TIME = "bad scraped_time"
 BAD_DATE = "bad posted_date"
 
@@ -22,17 +23,27 @@ def decode_typed(messages: DataFrame, value: str = "value") -> DataFrame:
     """Messages as typed ads plus ``reason``, which is NULL for a good message.
 
     A missing field becomes the empty string, an explicit null stays NULL. Text that is no JSON
-    object and messages with a field the record does not have get a reason.
+    object, messages with a field the record does not have and fields that hold an object or a list
+    get a reason.
     """
     names = AD_RECORD.fieldNames()
     parsed = messages.select(value, _once(F.from_json(F.col(value), _MAP), "_m"))
     members = F.col("_m")
     extra = F.array_except(F.map_keys(members), F.array(*(F.lit(n) for n in names)))
     reason = F.when(members.isNull(), F.lit(BAD_JSON)).when(F.size(extra) > 0, F.lit(UNKNOWN_FIELD))
+    reason = reason.when(_nested(F.col(value), members), F.lit(NESTED))
     fields = [_present(members, n).alias(n) for n in AD_MESSAGE.fieldNames()]
     return parsed.select(value, *fields, reason.alias("reason"))
 
 
+def _nested(text: Column, members: Column) -> Column:
+    """Whether a member is an object or a list. The map reader hands these over as their text, as it does
+    a string that looks like one; only then the message's own types are looked at."""
+    looks = F.exists(F.map_values(members), lambda v: v.startswith("{") | v.startswith("["))
+    kinds = F.schema_of_variant(F.try_parse_json(text))
+    return looks & F.coalesce(kinds.rlike(r"^OBJECT<.*: (?:OBJECT|ARRAY)<"), F.lit(False))
+
+
 def _once(parsed: Column, name: str) -> Column:
     """``parsed`` as a generated column.
 
@@ -76,13 +87,16 @@ def decode_coerced(messages: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def check_times(decoded: DataFrame, posting_date: bool = True) -> DataFrame:
-    """Adds a reason for a scrape time that is no time and a posting date without a year."""
+def check_times(decoded: DataFrame, posting_date: bool = True, posting_day: bool = False) -> DataFrame:
+    """Adds a reason for a scrape time that is no time and a posting date without a year, or, for jobs by
+    ``posting_day``, one that is no date."""
     reason = F.when(F.col("reason").isNotNull(), F.col("reason")).when(
         times.event_time(F.col("scraped_time")).isNull(), F.lit(BAD_TIME)
     )
     if posting_date:
         reason = reason.when(~times.has_year(times.posted_year(F.col("posted_date"))), F.lit(BAD_DATE))
+    if posting_day:
+        reason = reason.when(times.posting_day(F.col("posted_date")).isNull(), F.lit(BAD_DATE))
     return decoded.withColumn("reason", reason)
 
 

@@ -6,7 +6,7 @@ The derivation plants every spelling of a missing city and several kinds of bad
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from townads.functions import times, wire
@@ -84,3 +84,16 @@ def ad_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_pages(spark, f"{sf_dir}/pages.parquet").select(
         "page_id", url.alias("url"), F.concat("html", link, date, other).alias("html")
     )
+
+
+def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ad_pages`` that also link to each other: page n to 2n+1 and 2n+2 and back to n/2, in relative and
+    absolute spellings. Some pages link nowhere, no page links to those divisible by 13, and every fifth page
+    is stored under another address than the one that links name."""
+    n = F.col("page_id")
+
+    def link(start: str, to: Column) -> Column:
+        return F.when(to % 13 == 0, "").otherwise(F.concat(F.lit(f'<a href="{start}'), to.cast("string"), F.lit('">x</a>')))
+
+    more = F.concat(link("/ad/", 2 * n + 1), link("https://BOARD.example.com:443/ad/./", 2 * n + 2), link("/x/../ad/", F.floor(n / 2)))
+    return ad_pages(spark, sf_dir).withColumn("html", F.when(n % 17 == 0, F.col("html")).otherwise(F.concat("html", more)))

@@ -53,11 +53,14 @@ def start_live(
     every: str = EVERY,
     read: Callable[[str], DataFrame] | None = None,
 ) -> list[StreamingQuery]:
-    """Starts a live job and, given a ``quarantine`` folder, the query that fills it.
+    """Starts a live job and the query that fills the ``quarantine`` folder with messages it cannot use.
 
+    A ``strict`` job fails on such a message instead; one of the two has to be chosen, so none is lost unseen.
     Windows close in append mode, so both cannot share one sink; each query reads the topic with a
     consumer group of its own, at most ``max_records`` records in a micro-batch.
     """
+    if not (strict or quarantine):
+        raise ValueError("name a quarantine folder for messages that cannot be used, or choose strict")
     topic = target or LIVE[name][0]
     if read is None:
         def read(purpose: str) -> DataFrame:
@@ -71,7 +74,7 @@ def start_live(
             every=every,
         )
     ]
-    if quarantine and not strict:
+    if not strict:
         bad = rejected(name, read("quarantine")).writeStream.option("checkpointLocation", f"{checkpoint}/quarantine")
         started.append(bad.trigger(processingTime=every).format("parquet").start(quarantine))
     return started
