@@ -3,8 +3,8 @@
 Equal sets are one node. Candidates come from chosen paths over min-hashed sets of COORDINATES tokens
 (coordinate, least hash of its part): each of RUNS runs splits all nodes by one token; a bucket of up to
 SMALL nodes is compared by brute force on its sketches; a larger one is split again by the tokens at two
-coordinates that its path selects, and what is still large after LEVELS is taken as one chain of
-candidates. A pair at similarity 0.8 survives a run with probability 0.8 * 0.96 * 0.96 or more, so 12
+coordinates that its path selects, and what is still large after LEVELS is tied together as candidates, with
+about one edge for a node. A pair at similarity 0.8 survives a run with probability 0.8 * 0.96 * 0.96 or more, so 12
 runs miss it with probability 1e-7; pairs of one group support each other.
 
 Candidates that hang together form groups. In a group every pair is compared exactly on the whole
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from townads.llm.frames import components, stored, table
-from townads.llm.words import FOLDED, mixed, parts, rolling, words_of
+from townads.llm.words import FOLDED, mixed, parts, rolling, thrifty, words_of
 
 SHINGLE = 5
 COORDINATES = 64
@@ -39,7 +39,7 @@ _BITS = COORDINATES.bit_length() - 1
 # For each coordinate the order in which it looks for a part that is not empty: itself first.
 _ORDER = np.random.default_rng(7).random((COORDINATES, COORDINATES))
 _ORDER[np.diag_indices(COORDINATES)] = -1
-_NODES = "id long, key long, node binary, n long, paths array<bigint>, sketch binary"
+_NODES = "id long, key string, node binary, n long, paths array<bigint>, sketch binary"
 
 
 def _sets(texts: pa.ChunkedArray) -> Iterator[np.ndarray]:
@@ -155,17 +155,25 @@ def _candidates(nodes: DataFrame) -> DataFrame:
                 .withColumn("at", at)
                 .select(F.xxhash64("path", "at", F.expr("substring(sketch, at * 2 + 1, 2)")).alias("path"), "node", "sketch")
             )
-    chain = large.groupBy("path").agg(F.min("node").alias("a"))
-    return edges.union(large.join(chain, "path").select("a", F.col("node").alias("b")).where("a <> b"))
+    # A node of large buckets is tied to the first of their least nodes, and these to each other, once for all
+    # nodes that are in the same buckets: about one edge for a node, however many buckets it is in.
+    least = large.groupBy("path").agg(F.min("node").alias("a"))
+    tied = large.join(least, "path").groupBy("node").agg(F.array_sort(F.collect_set("a")).alias("all"))
+    tied = stored(tied.select("node", F.get("all", F.lit(0)).alias("a"), "all"), "chains")
+    between = tied.select("a", F.explode("all").alias("b")).distinct()
+    return edges.union(tied.select("a", F.col("node").alias("b"))).union(between).where("a <> b")
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingle set of each node that is asked for, from a document that has it."""
+    """The shingle set of each node that is asked for, from a row that has it; repeated rows come together."""
+    last = None
     for rows in (part for batch in batches for part in parts(batch, "text", BATCH_BYTES)):
         asked = rows["node"].to_pylist()
-        made = [s.tobytes() if _name(s) == node else None for s, node in zip(_sets(rows["text"]), asked)]
-        kept = rows.drop_columns(["text"]).append_column("shingles", pa.array(made, pa.binary()))
-        yield from kept.filter(kept["shingles"].is_valid()).to_batches()
+        fresh = [node != before for node, before in zip(asked, [last, *asked])]
+        last = asked[-1]
+        rows = rows.filter(pa.array(fresh))
+        made = [s.tobytes() for s in _sets(rows["text"])]
+        yield from rows.drop_columns(["text"]).append_column("shingles", pa.array(made, pa.binary())).to_batches()
 
 
 def _verified(similarity: float) -> Callable:
@@ -175,7 +183,7 @@ def _verified(similarity: float) -> Callable:
     threshold = round(similarity * per)
 
     def run(group: pa.Table) -> pa.Table:
-        # A node can come from several documents with one id.
+        # A node can come from several rows that are equal.
         rows = {row["node"]: row for row in group.to_pylist()}
         nodes = sorted(rows)
         made = [np.frombuffer(rows[node]["shingles"], np.uint64) for node in nodes]
@@ -217,7 +225,7 @@ def _verified(similarity: float) -> Callable:
 def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = 0.8) -> DataFrame:
     """One row per row of ``docs``: id, ``class_id`` (the least id among the documents that links join to
     it over any number of steps, and its own), ``n_links`` (the other documents whose similarity to it
-    is ``similarity`` or more, copies included), ``key`` (a hash of id and text, which tells rows that
+    is ``similarity`` or more, copies included), ``key`` (128 bits of id and text, which tell rows that
     share an id apart) and ``first``: whether the row has the least id, and then key, of its class.
 
     Words are runs of letters (ASCII ones lower-cased), digits and non-ASCII characters; a shingle is five
@@ -245,19 +253,19 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", similar
         "nodes",
     )
     groups = components(_candidates(nodes))
-    members = groups.join(nodes.select("node", "copies", "id", "n"), "node")
+    members = groups.join(nodes.select("node", "copies", "place.key", "n"), "node")
     blocks = members.groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     )
     asked = members.join(blocks, "component").withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
     found = (
-        asked.join(rows, asked.id.eqNullSafe(rows.id))
-        .select("component", "node", "copies", "block", "blocks", rows.text)
+        asked.join(rows.select("key", "text"), "key")
+        .select("component", "node", "copies", "block", "blocks", "text")
         .mapInArrow(_whole, "component binary, node binary, copies long, block int, blocks int, shingles binary")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
         .groupBy("component", "low", "high")
-        .applyInArrow(_verified(similarity), "node binary, links long, first binary, alone boolean")
+        .applyInArrow(thrifty(_verified(similarity)), "node binary, links long, first binary, alone boolean")
     )
     found = stored(found, "links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
@@ -295,7 +303,9 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", similar
 
 
 def row_key(id: str, text: str) -> Column:
-    return F.xxhash64(F.col(id).cast("long"), F.col(text))
+    """128 bits of id and text, as text."""
+    own, content = F.col(id).cast("long"), F.col(text)
+    return F.concat_ws(" ", F.xxhash64(own, content), F.xxhash64(F.lit(1), content, own))
 
 
 def _place() -> Column:
