@@ -17,6 +17,7 @@ near a third of all others is no burden); these always meet it in their own grou
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ DEGREE = 32
 CODES, CODE_POINTS = 4, 64
 ROUNDS = 5
 SAMPLED = 16
-BEAM, FOLLOWED, STEPS = 96, 24, 8
+BEAM, FOLLOWED = 96, 24
 _LISTS = "id long, near binary, far binary"  # neighbours, nearest first, and their similarities
 _HELD = 1 << 21
 _SEED = 20240207
@@ -40,6 +41,12 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
+def _within(v: np.ndarray) -> np.ndarray:
+    """The vector times a power of two that brings its largest component near 1, so that no square of it
+    overflows or vanishes; the cosine stays the same to the last bit."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=-1, keepdims=True))[1])
+
+
 def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Points whose vector can be compared, with the vector as it is given (but no negative zeros)."""
     for batch in batches:
@@ -51,7 +58,7 @@ def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             given = x.values.to_numpy() + 0
             v = given.astype(np.float64)
-            if np.isfinite(v).all() and (norm := np.linalg.norm(v)) > 0 and np.isfinite(norm):
+            if np.isfinite(v).all() and v.any():
                 ids.append(i)
                 exact.append(given.tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(exact, pa.binary())], names=["id", "exact"])
@@ -63,7 +70,7 @@ def _scaled(kind: type) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             given = [np.frombuffer(x, kind).astype(np.float64) for x in batch.column("exact").to_pylist()]
-            coarse = [np.rint(v / np.abs(v).max() * 32767).astype(np.int16).tobytes() for v in given]
+            coarse = [np.rint(_within(v) / np.abs(_within(v)).max() * 32767).astype(np.int16).tobytes() for v in given]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("id", "exact", "members")), pa.array(coarse, pa.binary())],
                 names=["id", "exact", "members", "coarse"],
@@ -297,7 +304,7 @@ def _steps(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[pa.RecordB
     for group in _runs(batches, "query"):
         at = next(i for i, x in enumerate(group["beam"]) if x is not None)
         query = group["query"][0]
-        v = np.frombuffer(group["exact"][at], kind).astype(np.float64)
+        v = _within(np.frombuffer(group["exact"][at], kind).astype(np.float64))
         seen = np.frombuffer(group["seen"][at], np.int64)
         beam, scores = np.frombuffer(group["beam"][at], np.int64), np.frombuffer(group["scores"][at], np.float64)
         done = np.frombuffer(group["done"][at], np.bool_).copy()
@@ -306,6 +313,7 @@ def _steps(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[pa.RecordB
         if found:
             ids = np.array([group["id"][i] for i in found], dtype=np.int64)
             x = np.frombuffer(b"".join(group["exact"][i] for i in found), kind).reshape(len(ids), -1).astype(np.float64)
+            x = _within(x)
             score = x @ v / (np.linalg.norm(x, axis=1) * np.linalg.norm(v))
             beam, scores, seen = np.append(beam, ids), np.append(scores, score), np.append(seen, ids)
             done = np.append(done, ids == query)
@@ -324,10 +332,9 @@ _STATE = "query long, exact binary, beam binary, scores binary, done binary, see
 
 
 def search(points: DataFrame, graph: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, kind: type = np.float64) -> DataFrame:
-    """Greedy search: for each of ``queries`` (ids of points) the ``k + 1`` nearest rows found, those of the
-    point itself included, as rows (query, nearest), the latter an array of (minus score, id) in order; score is the cosine
-    in double precision, ties go to the smaller id. ``points`` has in ``members`` the ``k + 1`` smallest ids of the rows
-    that are one point; ``kind`` is the type of the components in ``exact``."""
+    """Greedy search: for each of ``queries`` (ids of points) the ``k`` nearest points found, itself included,
+    as rows (query, score, members); score is the cosine in double precision, ties go to the smaller id of a point.
+    ``kind`` is the type of the components in ``exact``."""
     start = points.join(queries.select("id").distinct(), "id")
     nothing = F.lit(b"")
     # A query is a point of the graph: its search starts there.
@@ -335,7 +342,7 @@ def search(points: DataFrame, graph: DataFrame, queries: DataFrame, k: int = NEI
         F.col("id").alias("query"), "exact", nothing.alias("beam"), nothing.alias("scores"), nothing.alias("done"), nothing.alias("seen"), F.lit(1).cast("long").alias("open")
     )
     steps = own_point = start.select(F.col("id").alias("query"), "id")
-    for n in range(STEPS):
+    for n in count():
         reached = _unpacked_for(steps, graph)
         met = (reached if n else reached.union(own_point)).distinct().select("query", "id", F.lit(None).cast("binary").alias("seen"))
         old = state.select("query", F.lit(None).cast("long").alias("id"), "seen")
@@ -352,27 +359,25 @@ def search(points: DataFrame, graph: DataFrame, queries: DataFrame, k: int = NEI
             own.union(found).repartition("query").sortWithinPartitions("query").mapInArrow(_stepped(kind), _STATE), "beams"
         )
         if not state.where("open > 0").limit(1).count():
-            break
+            break  # every query has followed the nearest half of its beam
         steps = state.where("open > 0").select("query", "beam", "done").mapInArrow(_followed, "query long, id long")
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for q, beam, scores in zip(*(batch.column(c).to_pylist() for c in ("query", "beam", "scores"))):
-                rows += [(q, int(i), float(s)) for i, s in zip(np.frombuffer(beam, np.int64)[: k + 1], np.frombuffer(scores, np.float64))]
+                rows += [(q, int(i), float(s)) for i, s in zip(np.frombuffer(beam, np.int64)[:k], np.frombuffer(scores, np.float64))]
             columns = zip(*rows) if rows else [[]] * 3
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.float64()])], names=["query", "id", "score"]
             )
 
-    # Each of k + 1 points has a row, so no other point has one among the first k + 1.
-    rows = (
+    return (
         state.select("query", "beam", "scores")
         .mapInArrow(nearest, "query long, id long, score double")
         .join(points.select("id", "members"), "id")
-        .select("query", F.explode(F.transform("members", lambda i: F.struct((-F.col("score")).alias("minus"), i.alias("id")))).alias("row"))
+        .select("query", "score", "members")
     )
-    return rows.groupBy("query").agg(F.slice(F.array_sort(F.collect_list("row")), 1, k + 1).alias("nearest"))
 
 
 def _unpacked_for(steps: DataFrame, graph: DataFrame) -> DataFrame:
@@ -391,46 +396,58 @@ def nearest(vectors: DataFrame, queries: DataFrame, id: str = "vec_id", vector:
     """For each row of ``queries`` (a column ``id`` of ids among ``vectors``) its ``k`` nearest neighbours.
 
     Rows whose id or vector is null, or whose vector is empty, zero or holds a null or non-finite
-    component take no part, neither as query nor as candidate; neither do ids that ``vectors`` lacks.
-    Vectors have one length and ids do not repeat; equal vectors tie, and ties go to the smaller id.
-    With fewer than ``k`` candidates all are returned; a single point has no neighbours and no row.
-    Other columns are not read.
+    component take no part, neither as query nor as candidate; neither do ids that ``vectors`` lacks, nor
+    vectors of another length than most have (of lengths that are as common, the shorter counts). Equal vectors tie,
+    and ties go to the smaller id. Repeated rows count once. An id with several vectors is as near as the nearest two of
+    its and the other's vectors, and comes once in a result. With fewer than ``k`` candidates all are returned; a
+    single point has no neighbours and no row. Other columns are not read.
     """
     single = vectors.schema[vector].dataType.simpleString() == "array<float>"
     given = F.col(vector) if single else F.col(vector).cast("array<double>")
     kind = np.float32 if single else np.float64
-    compared = vectors.select(F.col(id).cast("long").alias("id"), given.alias("v")).mapInArrow(_pointed, "id long, exact binary")
-    # Equal vectors are told by 128 bits of hashes; their smallest ids are taken in slices first.
+    usable = vectors.select(F.col(id).cast("long").alias("id"), given.alias("v")).mapInArrow(_pointed, "id long, exact binary")
+    # Equal vectors are told by 128 bits of hashes.
     key = [F.xxhash64("exact").alias("h1"), F.xxhash64(F.lit(1), "exact").alias("h2")]
-    smallest = F.slice(F.array_sort(F.flatten(F.collect_list("members"))), 1, k + 1).alias("members")
+    lengths = usable.groupBy(F.octet_length("exact").alias("bytes")).count().orderBy(F.desc("count"), "bytes").first()
+    compared = usable.where(F.octet_length("exact") == (lengths.bytes if lengths else 0)).select("id", "exact", *key)
+    ids = stored(compared.select("id", "h1", "h2").distinct(), "ids")
+    several = ids.groupBy("id").count().where("count > 1").limit(1).count() > 0
+    # A point has the smallest ids of its copies, and is numbered in the order of the smallest one.
+    copies = Window.partitionBy("h1", "h2").orderBy("id")
+    smallest = ids.withColumn("n", F.row_number().over(copies)).where(F.col("n") <= k + 1)
+    members = smallest.groupBy("h1", "h2").agg(F.array_sort(F.collect_list("id")).alias("members"))
     nodes = stored(
-        compared.select(*key, F.pmod(F.xxhash64("id"), F.lit(64)).alias("slice"), F.array("id").alias("members"))
-        .groupBy("h1", "h2", "slice")
-        .agg(smallest)
-        .groupBy("h1", "h2")
-        .agg(smallest)
-        .withColumn("id", F.col("members")[0]),
+        members.withColumn("first", F.col("members")[0])
+        .repartitionByRange("first")
+        .sortWithinPartitions("first", "h1", "h2")
+        .withColumn("point", F.monotonically_increasing_id()),
         "nodes",
     )
     points = stored(
-        compared.join(nodes.select("id", "members"), "id")
-        .select("id", "exact", "members")
+        compared.withColumnRenamed("id", "first")
+        .join(nodes, ["h1", "h2", "first"])
+        .dropDuplicates(["h1", "h2", "first"])
+        .select(F.col("point").alias("id"), "exact", "members")
         .mapInArrow(_scaled(kind), "id long, exact binary, members array<bigint>, coarse binary"),
         "points",
     )
     asked = stored(
-        compared.join(queries.select("id").distinct(), "id")
-        .select(F.col("id").alias("query_id"), *key)
-        .join(nodes.select("h1", "h2", F.col("id").alias("query")), ["h1", "h2"])
+        ids.join(queries.select("id").distinct(), "id")
+        .select(F.col("id").alias("query_id"), "h1", "h2")
+        .join(nodes.select("h1", "h2", F.col("point").alias("query")), ["h1", "h2"])
         .select("query_id", "query"),
         "asked",
     )
-    found = search(points, build_graph(points), asked.select(F.col("query").alias("id")), k, kind)
-    others = F.slice(F.filter("nearest", lambda x: x["id"] != F.col("query_id")), 1, k)
+    # Each of k + 1 points has a row, so no other point has one among the first k + 1; unless ids repeat.
+    found = search(points, build_graph(points), asked.select(F.col("query").alias("id")), BEAM if several else k + 1, kind)
+    rows = asked.join(found, "query").select("query_id", "score", F.explode("members").alias("id")).where("id <> query_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (
-        asked.join(found, "query")
-        .select("query_id", F.posexplode(others).alias("place", "row"))
-        .select("query_id", (F.col("place") + 1).alias("rank"), F.col("row.id").alias("id"), (-F.col("row.minus")).alias("score"))
+        rows.groupBy("query_id", "id")
+        .agg(F.max("score").alias("score"))
+        .withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= k)
+        .select("query_id", "rank", "id", "score")
     )
 
 
