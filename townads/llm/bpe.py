@@ -31,7 +31,7 @@ from pyspark.sql.types import StructType
 
 from townads.llm.frames import table, text_bytes
 from townads.llm.vocabulary import Encoder, pieces, shipped, splits_at_spaces
-from townads.llm.words import buffers, parts
+from townads.llm.words import buffers, parts, thrifty
 
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
@@ -222,12 +222,12 @@ def encode(
     ddl = ", ".join(["id long", *(f"{name} {_KINDS[name]}" for name in outputs)])
     buckets = 1 + text_bytes(docs, text) // BUCKET_BYTES
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    answers = rows.mapInArrow(_asked(buckets), _WORDS).groupBy("bucket").applyInArrow(_encoded(model), _PART)
+    answers = rows.mapInArrow(_asked(buckets), _WORDS).groupBy("bucket").applyInArrow(thrifty(_encoded(model)), _PART)
     return (
         rows.mapInArrow(_placed(buckets), _PART)
         .union(answers)
         .groupBy("block")
-        .applyInArrow(_assembled(_pieces(spark, model), outputs, to_arrow_schema(StructType.fromDDL(ddl))), ddl)
+        .applyInArrow(thrifty(_assembled(_pieces(spark, model), outputs, to_arrow_schema(StructType.fromDDL(ddl)))), ddl)
         .withColumnRenamed("id", id)
     )
 

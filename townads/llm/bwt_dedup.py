@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from townads.llm.frames import stored, table, text_bytes
-from townads.llm.words import buffers, mixed, parts, rolling
+from townads.llm.words import buffers, give_back, mixed, parts, rolling, thrifty
 
 LENGTH = 50
 KEY = 16  # bytes of a key; matches are longer
@@ -280,6 +280,7 @@ def _send_shards(length: int, buckets: int, pieces: int) -> Callable:
                 sent = (_pressed(x.astype(kind)) for x, kind in zip(columns, _SHARD.values()))
                 out.append((int(bucket[a]), packed["block"][0].as_py(), *sent))
             at = to
+        give_back()
         return pa.table({f.name: pa.array(c, f.type) for f, c in zip(schema, zip(*out))}, schema=schema)
 
     return run
@@ -529,7 +530,7 @@ def remove_repeated_bytes(
     shared = (
         packed.mapInArrow(_send_keys(length, buckets), "bucket long, block string, one binary, more binary")
         .groupBy("bucket")
-        .applyInArrow(_shared_keys, "block string, bucket long, keys binary")
+        .applyInArrow(thrifty(_shared_keys), "block string, bucket long, keys binary")
     )
     shards = (
         packed.groupBy("block")
@@ -537,7 +538,7 @@ def remove_repeated_bytes(
         .applyInArrow(_send_shards(length, buckets, pieces), "bucket long, block string, " + ", ".join(f"{c} binary" for c in _SHARD))
     )
     answers = shards.groupBy("bucket").applyInArrow(
-        _merge_shards(length, pieces), "block string, begin binary, low binary, high binary, least binary, copies binary, copied binary"
+        thrifty(_merge_shards(length, pieces)), "block string, begin binary, low binary, high binary, least binary, copies binary, copied binary"
     )
     kinds = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "removed": "array<array<bigint>>", "left": "binary", "kept_sha256": "string"}
     ddl = ", ".join([f"own_id {rows.schema['own_id'].dataType.simpleString()}", *(f"{n} {kinds[n]}" for n in outputs)])

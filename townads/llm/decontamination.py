@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from townads.llm.frames import table
-from townads.llm.words import FOLDED, parts, words_of
+from townads.llm.words import FOLDED, parts, thrifty, words_of
 from townads.session import scratch_folder
 
 WINDOW = 13
@@ -252,13 +252,13 @@ def find_phrases(
     sc = index.sparkSession.sparkContext
     schema = "shard string, row long, id long, n_words long, hits array<array<bigint>>, items array<bigint>"
     found = [
-        index.groupBy("shard").applyInArrow(_matcher(sc.broadcast(block), span), schema)
+        index.groupBy("shard").applyInArrow(thrifty(_matcher(sc.broadcast(block), span)), schema)
         for block in _blocks(items, id, text, length)
     ]
     if not found:
         none = np.zeros(0, dtype=np.int64)
         empty = (none.astype(np.uint64), none, np.zeros(1, dtype=np.int64), [])
-        found = [index.groupBy("shard").applyInArrow(_matcher(sc.broadcast(empty), span), schema)]
+        found = [index.groupBy("shard").applyInArrow(thrifty(_matcher(sc.broadcast(empty), span)), schema)]
     if len(found) == 1:
         return found[0].drop("shard", "row")
     both = (

@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from townads.llm.frames import table, text_bytes
-from townads.llm.words import UNCHANGED, Words, buffers, parts, rolling, words_of
+from townads.llm.words import UNCHANGED, Words, buffers, parts, rolling, thrifty, words_of
 
 WINDOW = 13
 BUCKET_BYTES = 8 << 20
@@ -227,9 +227,9 @@ def remove_repeats(
             "bucket long, block string, ids binary, values binary, docs binary, again binary, again_docs binary",
         )
         .groupBy("bucket")
-        .applyInArrow(_answered, "block string, values binary, ids binary")
+        .applyInArrow(thrifty(_answered), "block string, values binary, ids binary")
         .groupBy("block")
-        .applyInArrow(_by_document, "id long, values binary")
+        .applyInArrow(thrifty(_by_document), "id long, values binary")
         .groupBy("id")
         .agg(F.collect_list("values").alias("values"))
     )
