@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from townads.llm.frames import stored, table, text_bytes
-from townads.llm.words import buffers, give_back, mixed, parts, rolling, thrifty
+from townads.llm.words import buffers, give_back, mixed, parts, thrifty
 
 LENGTH = 50
 KEY = 16  # bytes of a key; matches are longer
@@ -87,22 +87,34 @@ def _unpack(rows: bytes) -> pa.Table:
     return pa.ipc.open_stream(rows).read_all()
 
 
+def _values(data: np.ndarray) -> np.ndarray:
+    """A value of every KEY bytes in a row, that is of two numbers of eight."""
+    eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    out = eight[: len(data) - KEY + 1] * _U(0x9E3779B97F4A7C15)
+    out ^= out >> _U(29)
+    out += eight[8:]
+    out *= _U(0xBF58476D1CE4E5B9)
+    out ^= out >> _U(32)
+    out *= _U(0x94D049BB133111EB)
+    return out
+
+
 def _key_places(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(begin, matches, place of the key) of each string, in slices of whole rows or of a long row.
+    """(begin, matches, key) of each string, in slices of whole rows or of a long row.
 
     A string never reaches over two slices, as matches with one key place do; there it is two strings.
     """
     window = length - KEY + 1
-    cuts = np.unique(np.concatenate([offsets[:-1], [offsets[-1]]]))
-    low = int(offsets[0])
-    while low < offsets[-1]:
+    cuts = np.unique(offsets)
+    low = int(cuts[0])
+    while low < cuts[-1]:
         # As many whole rows as fit, or a part of a longer row.
-        high = int(cuts[max(np.searchsorted(cuts, low + _SLICE, side="right") - 1, 0)])
+        high = int(cuts[np.searchsorted(cuts, low + _SLICE, side="right") - 1])
         to = high if high > low else min(low + _SLICE, int(cuts[np.searchsorted(cuts, low, side="right")]))
         row_end = int(cuts[np.searchsorted(cuts, to - 1, side="right")])
         end = min(row_end, to + length - 1)
-        values = rolling((data[low:end].astype(np.uint64) + _U(1)) * _U(0xD6E8FEB86659FD93), KEY)
-        if len(values) >= window:
+        if end - low >= length:
+            values = _values(data[low:end])
             # Value and place in one number; its minimum over a window, by doubling, is the first least value.
             bits = _U(_PLACE_BITS)
             least = (values >> bits << bits) | np.arange(len(values), dtype=np.uint64)
@@ -112,17 +124,20 @@ def _key_places(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[
                 size *= 2
             if size < window:
                 least = np.minimum(least[: len(least) - (window - size)], least[window - size :])
-            place = (least & ((_U(1) << bits) - _U(1))).astype(np.int64)
-            begin = np.arange(len(place))
-            # Matches within one row only.
-            ends = np.searchsorted(offsets, begin + low, side="right")
-            inside = (begin + low + length <= offsets[np.minimum(ends, len(offsets) - 1)]) & (begin + low < to)
-            begin, place = begin[inside], place[inside]
-            fresh = np.ones(len(begin), dtype=bool)
-            fresh[1:] = (place[1:] != place[:-1]) | (begin[1:] != begin[:-1] + 1)
-            at = np.flatnonzero(fresh)
+            place = (least & ((_U(1) << bits) - _U(1))).astype(np.int32)
+            # Matches within one row only; a string begins with a new place or a new row.
+            fresh = np.append(True, place[1:] != place[:-1])
+            inside = np.ones(len(place), dtype=bool)
+            inside[max(to - low, 0) :] = False
+            for cut in (cuts[np.searchsorted(cuts, low, side="right") : np.searchsorted(cuts, end, side="right")] - low).tolist():
+                inside[max(cut - length + 1, 0) : cut] = False
+                if cut < len(fresh):
+                    fresh[cut] = True
+            at = np.flatnonzero(fresh & inside)
             if len(at):
-                yield begin[at] + low, np.diff(np.append(at, len(begin))), place[at] + low
+                # A string ends where the next begins or where no match is.
+                ends = np.flatnonzero(np.append(fresh[1:] | ~inside[1:], True) & inside) + 1
+                yield at + low, ends - at, values[place[at]]
         low = to
 
 
@@ -134,10 +149,7 @@ def _strings(rows: pa.Table, length: int) -> tuple[np.ndarray, ...]:
     if not found:
         none = np.zeros(0, dtype=np.int64)
         return data, ids, offsets, none, none, none, none.astype(np.uint64)
-    begin, matches, place = (np.concatenate(column) for column in zip(*found))
-    keys = np.zeros(len(place), dtype=np.uint64)
-    for i in range(KEY):
-        keys = keys * _U(0x9E3779B97F4A7C15) + data[place + i].astype(np.uint64) + _U(1)
+    begin, matches, keys = (np.concatenate(column) for column in zip(*found))
     return data, ids, offsets, begin, matches, np.searchsorted(offsets, begin, side="right") - 1, mixed(keys)
 
 
