@@ -203,11 +203,11 @@ def _ranked(found: DataFrame, best: int) -> DataFrame:
 def _scale(docs: DataFrame, items: Broadcast) -> Scale:
     counted = docs.mapInArrow(_frequencies(items), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     known = dict(counted.collect())  # a row for each term of the block
-    documents = known.pop(_DOCUMENTS, 0)
+    documents, length = known.pop(_DOCUMENTS, 0), known.pop(_TERMS, 0)
     weights = np.zeros(len(items.value.terms), dtype=np.int64)
     for term, n in known.items():
         weights[term] = math.floor(1000 * math.log((2 * documents + 2) / (2 * n + 1)))
-    return Scale(weights, documents, known.pop(_TERMS, 0))
+    return Scale(weights, documents, length)
 
 
 def _search_block(docs: DataFrame, block: Items, best: int) -> DataFrame:
