@@ -27,7 +27,7 @@ def docs(spark, small):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
