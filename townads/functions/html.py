@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+# The names of characters that occur in addresses and class names.
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0"}
 # Possessive throughout: a tag that never closes must not backtrack over the rest of the page.
 _ATTRIBUTE = r"""[^\s"'<>/=]++\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s"'>]++)"""
 _INSIDE_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
@@ -40,7 +42,27 @@ def attributes(tags: Column, name: str) -> Column:
 
 def _unquoted(value: Column) -> Column:
     bare = F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2")
-    return F.replace(bare, F.lit("&amp;"), F.lit("&"))
+    return F.when(bare.contains("&"), decoded(bare)).otherwise(bare)
+
+
+def decoded(text: Column) -> Column:
+    """Text with its character references, by number or by one of the names in ``_NAMED``, as characters.
+    What is no reference, or names no character, stays as it is."""
+    names = F.create_map(*(F.lit(x) for pair in _NAMED.items() for x in pair))
+
+    def piece(part: Column, place: Column) -> Column:
+        named = F.try_element_at(names, F.regexp_extract(part, r"^([A-Za-z]+);", 1))
+        digits = F.regexp_extract(part, r"^#(?:[xX]([0-9A-Fa-f]{1,6})|[0-9]{1,7});", 1)
+        number = F.regexp_extract(part, r"^#([0-9]{1,7});", 1)
+        code = F.when(digits != "", F.conv(digits, 16, 10)).otherwise(number).try_cast("long")
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        # A code point is its own four bytes of UTF-32.
+        numbered = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        char = F.coalesce(numbered, named)
+        rest = F.regexp_replace(part, r"^[^;]*;", "")
+        return F.when(place == 0, part).when(char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
+
+    return F.array_join(F.transform(F.split(text, "&"), piece), "")
 
 
 def has_class(tag: Column, token: str) -> Column:

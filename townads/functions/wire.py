@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from townads.functions import times
@@ -29,6 +29,13 @@ def to_line(*fields: Column) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
+def message_key(line: Column, batch_id: int) -> Column:
+    """A key that a message has again when its batch is sent again, and no other message has: the batch, a
+    digest of the message, and its number among equal ones of the batch."""
+    number = F.row_number().over(Window.partitionBy(line).orderBy(F.lit(0)))
+    return F.concat_ws("-", F.lit(str(batch_id)), F.sha2(line, 256), number.cast("string"))
+
+
 def change_line(op: Column, *fields: Column) -> Column:
     """Change record: the row under ``data`` and the kind of change under ``type``."""
     return to_line(F.array(F.struct(*fields)).alias("data"), op.alias("type"))

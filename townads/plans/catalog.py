@@ -155,6 +155,22 @@ def fanout_two_sinks(spark, sf_dir):
     )
 
 
+@query
+def repeated_messages(spark, sf_dir):
+    """Result messages in three batches, of which one is sent again and one is sent in part first; each once."""
+    folder = scratch_folder(spark, "log")
+    lines = encode_json(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(3)))
+    send = runs.send_to_log(f"{folder}/log")
+    for n in range(3):
+        batch = lines.where(F.col("part") == n).select("value")
+        if n == 1:
+            send(batch.where(F.length("value") % 2 == 0), n)
+        if n == 2:
+            send(batch, n)
+        send(batch, n)
+    return topics.first_of_each(topics.read_log(spark, f"{folder}/log")).select("value")
+
+
 @query
 def stream_ingest(spark, sf_dir):
     """Ads of pages that arrive as three files, as both sinks got them."""

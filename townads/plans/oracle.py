@@ -268,6 +268,7 @@ SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)) AS host, l
 FROM ad_pages""",
     # sinks
     "encode_json": f"WITH {_ADS}, {_TUMBLING} SELECT CAST({_TUMBLING_JSON} AS VARCHAR) AS value FROM tumbling",
+    "repeated_messages": f"WITH {_ADS}, {_TUMBLING} SELECT CAST({_TUMBLING_JSON} AS VARCHAR) AS value FROM tumbling",
     "encode_json_ltz": _ALL_SLIDING + f" SELECT CAST({_SLIDING_JSON} AS VARCHAR) AS value FROM sliding",
     "sink_jsonl_roundtrip": f"""WITH {_ADS}
 SELECT CAST(to_json({{'ad_id': ad_id, 'city': city, 'posted_date': posted_date,

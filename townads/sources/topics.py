@@ -40,6 +40,26 @@ def read_topics(spark: SparkSession, options: dict, streaming: bool = True) -> D
     )
 
 
+def first_of_each(records: DataFrame, within: str | None = None, time_col: str = "ts") -> DataFrame:
+    """Records without those that were sent again: one of each ``message_key``; records without a key stay.
+
+    On a stream, keys are remembered for ``within``, the time after which no batch is sent again.
+    """
+    if not records.isStreaming:
+        unnamed = F.when(F.col("message_key").isNull(), F.monotonically_increasing_id())
+        return records.withColumn("_own", unnamed).dropDuplicates(["message_key", "_own"]).drop("_own")
+    if within is None:
+        raise ValueError("say how long keys are remembered")
+    named = F.coalesce("message_key", F.expr("uuid()"))
+    marked = records.withColumn("_own", named).withWatermark(time_col, within)
+    return marked.dropDuplicatesWithinWatermark(["_own"]).drop("_own")
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """Records of the file twin that keeps all that is sent."""
+    return spark.read.schema("key string, value string").parquet(path).withColumnRenamed("key", "message_key")
+
+
 def read_lines(spark: SparkSession, path: str, streaming: bool = True, **options: str) -> DataFrame:
     """The file twin of a topic: one message per line of the files under ``path``."""
     reader = (spark.readStream if streaming else spark.read).options(**options)

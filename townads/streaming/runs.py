@@ -93,11 +93,26 @@ def send_to_files(path: str) -> BatchWriter:
     return write
 
 
+def keyed(lines: DataFrame, batch_id: int) -> DataFrame:
+    """Messages (``value``) with a ``key`` that each has again when its batch is sent again."""
+    return lines.select(wire.message_key(F.col("value"), batch_id).alias("key"), "value")
+
+
+def send_to_log(path: str) -> BatchWriter:
+    """The file twin of a topic that keeps all that is sent, also what is sent again."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        keyed(batch, batch_id).write.mode("append").parquet(path)
+
+    return write
+
+
 def send_to_topic(options: dict) -> BatchWriter:
-    """At least once, as a repeated batch sends its messages again."""
+    """At least once, as a repeated batch sends its messages again; ``topics.first_of_each`` tells them by their
+    keys."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format("kafka").options(**options).save()
+        keyed(batch, batch_id).write.format("kafka").options(**options).save()
 
     return write
 
@@ -128,43 +143,48 @@ def top_k(path: str, k: int) -> BatchWriter:
     return write
 
 
-def count_changes(path: str, state: str, key: str = "city", value: str = "ad_id") -> BatchWriter:
+def count_changes(path: str, state: str, key: str = "city", value: str = "ad_id", merge_every: int = 32) -> BatchWriter:
     """Change records of a running count, one pair per key and batch.
 
-    The counts so far live in two folders used in turn: a batch reads what the batch before it
-    wrote and overwrites the other one, so a repeated batch finds its input unchanged.
+    A batch writes the new counts of the keys it touches, in a folder named after the batch. Every
+    ``merge_every`` batches the counts of all keys are written together, in a folder named after the batch that
+    does it, and later batches read that one and what came since. Whatever a batch writes it works out from earlier
+    batches only, so a repeated batch finds its input unchanged and writes the same. Old folders can go once the
+    batch after the next merge is done.
     """
 
+    def counts_before(spark, batch_id: int) -> DataFrame:
+        """The counts of all keys before a batch, from the last merge and the batches since."""
+        merged = (batch_id - 1) // merge_every * merge_every if batch_id else 0
+        since = [f"{state}/touched/{n}" for n in range(merged, batch_id)]
+        folders = since if not merged else [f"{state}/all/{merged}", *since]
+        known = spark.read.schema(f"{key} string, num_ads long").parquet(*folders)
+        # Counts never fall, so the newest of a key is the largest.
+        return known.groupBy(F.col(key).alias("_key")).agg(F.max("num_ads").alias("old"))
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         news = batch.groupBy(key).agg(F.count(value).alias("new"))
+        if batch_id and batch_id % merge_every == 0:
+            everything = counts_before(spark, batch_id).select(F.col("_key").alias(key), F.col("old").alias("num_ads"))
+            everything.write.mode("overwrite").parquet(f"{state}/all/{batch_id}")
         if batch_id == 0:
-            before = news.select(key, F.lit(0).cast("long").alias("old")).limit(0)
+            both = news.withColumn("old", F.lit(None).cast("long"))
         else:
-            before = spark.read.parquet(f"{state}/{(batch_id - 1) % 2}").select(
-                key, F.col("num_ads").alias("old")
-            )
-        both = before.select(F.col(key).alias("_key"), "old").join(
-            news, F.col("_key").eqNullSafe(F.col(key)), "full_outer"
-        )
-        # A key is missing on one side only; NULL is a key like any other.
-        is_new, is_touched = F.col("old").isNull(), F.col("new").isNotNull()
-        count = F.coalesce("old", F.lit(0)) + F.coalesce("new", F.lit(0))
-        merged = both.select(
-            F.when(is_new, F.col(key)).otherwise(F.col("_key")).alias(key),
-            "old",
-            count.alias("num_ads"),
-            (is_new | (is_touched & (F.col("new") > 0))).alias("changed"),
-        )
-        target = f"{state}/{batch_id % 2}"
-        merged.write.mode("overwrite").parquet(target)
+            both = news.join(counts_before(spark, batch_id), F.col("_key").eqNullSafe(F.col(key)), "left")
+        touched = both.select(key, "old", (F.coalesce("old", F.lit(0)) + F.col("new")).alias("num_ads"))
+        target = f"{state}/touched/{batch_id}"
+        touched.write.mode("overwrite").parquet(target)
         pair = F.array(
             F.struct(F.col("old").alias("n"), F.lit(DELETE).alias("op")),
             F.struct(F.col("num_ads").alias("n"), F.lit(INSERT).alias("op")),
         )
+        # A key whose ads have no id appears with 0 and then does not change.
+        changed = F.col("old").isNull() | (F.col("num_ads") > F.col("old"))
         changes = (
-            spark.read.parquet(target)
-            .filter("changed")
+            spark.read.schema(f"{key} string, old long, num_ads long")
+            .parquet(target)
+            .filter(changed)
             .select(key, F.inline(F.filter(pair, lambda c: c.n.isNotNull())))
             .select(key, "op", F.col("n").alias("num_ads"))
         )
