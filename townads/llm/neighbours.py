@@ -406,6 +406,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, id: str = "vec_id", vector:
     given = F.col(vector) if single else F.col(vector).cast("array<double>")
     kind = np.float32 if single else np.float64
     usable = vectors.select(F.col(id).cast("long").alias("id"), given.alias("v")).mapInArrow(_pointed, "id long, exact binary")
+    usable = stored(usable, "vectors")
     # Equal vectors are told by 128 bits of hashes.
     key = [F.xxhash64("exact").alias("h1"), F.xxhash64(F.lit(1), "exact").alias("h2")]
     lengths = usable.groupBy(F.octet_length("exact").alias("bytes")).count().orderBy(F.desc("count"), "bytes").first()
