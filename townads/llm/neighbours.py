@@ -31,7 +31,7 @@ DEGREE = 32
 CODES, CODE_POINTS = 4, 64
 ROUNDS = 5
 SAMPLED = 16
-BEAM, FOLLOWED = 96, 24
+BEAM, FOLLOWED = 192, 48
 _LISTS = "id long, near binary, far binary"  # neighbours, nearest first, and their similarities
 _HELD = 1 << 21
 _SEED = 20240207
