@@ -22,14 +22,32 @@ _TYPES = {
 }
 
 
+def _of_type(value: object, kind: str) -> bool:
+    """A boolean is no number; a number without a fraction is an integer, however it is written."""
+    if isinstance(value, bool):
+        return kind == "boolean"
+    return isinstance(value, _TYPES[kind]) or kind == "integer" and isinstance(value, float) and value.is_integer()
+
+
+def _same(a: object, b: object) -> bool:
+    """Equal as JSON: 1 and 1.0 are, 1 and true are not."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(_same(a[name], b[name]) for name in a)
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(_same, a, b))
+    return a == b
+
+
 def errors(value: object, schema: dict, at: str = "$") -> list[str]:
     """Where a JSON value departs from a schema of type, enum, required, properties, additionalProperties,
     items, minimum, maximum, minLength and maxLength."""
     found = []
     kind = schema.get("type")
-    if kind and (not isinstance(value, _TYPES[kind]) or isinstance(value, bool) and kind not in ("boolean",)):
+    if kind and not _of_type(value, kind):
         return [f"{at}: not of type {kind}"]
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(_same(value, x) for x in schema["enum"]):
         found.append(f"{at}: not in enum")
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         if value < schema.get("minimum", value):
@@ -76,7 +94,7 @@ def _records(schemas: dict[str, dict]):
                         arguments = json.loads(row["arguments"] or "", object_pairs_hook=_unique)
                         schema = schemas.get(row["name"])
                         found = ["unknown tool"] if schema is None else errors(arguments, schema)
-                        canonical(arguments)
+                        canonical(arguments).encode()  # half a surrogate pair cannot be written
                     except (ValueError, RecursionError):
                         found, arguments = ["arguments are no JSON"], None
                 record = {"arguments": arguments, "call_id": row["call_id"], "name": row["name"], "result": row["content"]}
@@ -166,8 +184,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
 
     Nulls and edges: rows with a null conversation or call_id are left out, as nothing can name them; of
     several calls or results with one identifier the least (by all fields) counts; a dependency on itself
-    is a cycle, on an unknown call it is ignored; null, empty or broken arguments, and arguments that
-    name a field twice, are invalid; a null result makes ``"result":null`` of status answered.
+    is a cycle, on an unknown call it is ignored; null, empty or broken arguments, arguments with half a surrogate
+    pair and arguments that name a field twice are invalid; a null result makes ``"result":null`` of status answered.
     """
     called = (
         calls.select("conversation", "call_id", F.struct("name", "arguments", "after").alias("call"))
