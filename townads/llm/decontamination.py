@@ -223,9 +223,10 @@ def _blocks(items: DataFrame, id: str, text: str, length: int | None) -> Iterato
             if key not in phrases:
                 held += size
             phrases.setdefault(key, set()).add(row["id"])
-        if held >= BLOCK_WORDS:
-            yield block()
-            phrases, held = {}, 0
+            # A block may end inside an item: what its blocks find is put together afterwards.
+            if held >= BLOCK_WORDS:
+                yield block()
+                phrases, held = {}, 0
     if phrases:
         yield block()
 
