@@ -111,6 +111,17 @@ def test_contamination_in_blocks(docs, items, monkeypatch):
     same(decontamination.verdicts(docs, items), brute.contamination(_texts(), ITEMS))
 
 
+def test_long_item_is_cut_into_blocks(spark, monkeypatch):
+    item = " ".join(f"u{i}" for i in range(200))
+    texts = [(1, item), (2, f"x {' '.join(item.split()[40:90])} y"), (3, PASSAGE), (4, " ".join(item.split()[:12]))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, PASSAGE)], "item_id long, text string")
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 300)
+    blocks = list(decontamination._blocks(items, "item_id", "text", 13))
+    assert len(blocks) > 5 and all(first[-1] < 300 + 13 for _, _, first, _ in blocks)
+    same(decontamination.verdicts(docs, items), brute.contamination(texts, [(1, item), (2, PASSAGE)]))
+
+
 def test_contamination_in_shards_of_equal_words(spark, monkeypatch):
     # Partitions of several shards each that hold the same words: names of shards must not meet.
     texts = [(i, f"{PASSAGE} {PASSAGE}" if i % 3 else " ".join(reversed(PASSAGE.split()))) for i in range(60)]
@@ -350,6 +361,32 @@ def test_language(spark, docs, none):
     assert rows(language.identify(none.select("doc_id", "text"), model)) == []
 
 
+def test_arguments_that_cannot_be_written(spark):
+    schema = "conversation long, call_id string, after array<string>, name string, arguments string"
+    texts = {
+        "half": '{"text":"\\ud800","n_words":1}',
+        "pair": '{"text":"\\ud83d\\ude00","n_words":1}',
+        "name": '{"\\udc00":1}',
+        "endless": '{"text":"x","n_words":1e999}',
+        "whole": '{"text":"x","n_words":1.0}',
+        "part": '{"text":"x y","n_words":1.5}',
+    }
+    calls = spark.createDataFrame([(1, k, None, "measure", v) for k, v in texts.items()], schema)
+    results = spark.createDataFrame([], "conversation long, call_id string, content string")
+    got = {r.call_id: r for r in tool_calls.link(calls, results, tool_calls.SCHEMAS).collect()}
+    assert {k for k, r in got.items() if r.errors == ["arguments are no JSON"]} == {"half", "name", "endless"}
+    assert {k for k, r in got.items() if r.valid} == {"pair", "whole"}
+    assert json.loads(got["half"].record)["arguments"] is None and "\U0001f600" in got["pair"].record
+
+
+def test_equal_as_json():
+    enum = lambda value, *among: tool_calls.errors(value, {"enum": list(among)})
+    assert enum(True, 1) and enum(0, False) and enum([True], [1]) and enum("1", 1) and enum({"a": 1}, {"a": True})
+    assert not enum(1.0, 1) and not enum({"a": [1, None]}, {"a": [1.0, None]}) and not enum(True, 1, True)
+    assert tool_calls.errors(True, {"type": "number"}) and not tool_calls.errors(True, {"type": "boolean"})
+    assert tool_calls.errors(float("inf"), {"type": "integer"}) and not tool_calls.errors(2.0, {"type": "integer"})
+
+
 def test_tool_calls(spark):
     schema = "conversation long, call_id string, after array<string>, name string, arguments string"
     ok = '{"n_words": 1, "text": "é\\u0041"}'
