@@ -103,6 +103,56 @@ def test_change_log_writes_touched_keys_and_can_be_repeated(spark, tmp_path, mer
     assert (sorted(map(int, os.listdir(merges))) if merges.exists() else []) == list(range(merge_every, len(batches), merge_every))
 
 
+# --- distinct rows by a table -------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("merge_every", [2, 3, 32])
+def test_first_seen_rows_come_once_and_can_be_repeated(spark, tmp_path, merge_every):
+    draw = random.Random(merge_every)
+    city = lambda: draw.choice(["a", "b", "", None])
+    batches = [[(city(), draw.choice([None, *"123456789"])) for _ in range(6)] for _ in range(10)]
+    batches[4] = []
+    write = runs.first_seen(str(tmp_path / "out"), str(tmp_path / "seen"), ["city", "ad_id"], 8, merge_every)
+    seen, expected = set(), []
+    for n, batch in enumerate(batches):
+        frame = spark.createDataFrame([(*row, n) for row in batch], "city string, ad_id string, more int")
+        write(frame, n)
+        if n % 3 == 1:  # it failed after writing and is run again
+            write(frame, n)
+        expected += [(n, *row) for row in set(batch) - seen]
+        seen |= set(batch)
+    got = spark.read.parquet(str(tmp_path / "out")).select("batch", "city", "ad_id")
+    assert rows(got) == sorted(expected, key=repr)
+    merged = tmp_path / "seen" / "_level=1"
+    assert (len(os.listdir(merged)) if merged.exists() else 0) == 9 // merge_every
+
+
+def test_first_seen_reads_only_the_buckets_it_meets(spark, tmp_path):
+    write = runs.first_seen(str(tmp_path / "out"), str(tmp_path / "seen"), ["ad_id"], buckets=16)
+    write(spark.range(400).select(F.col("id").cast("string").alias("ad_id")), 0)
+    one = spark.createDataFrame([("7",), ("400",)], "ad_id string")
+    met = {r[0] for r in one.select(F.pmod(F.xxhash64("ad_id"), F.lit(16))).collect()}
+    # A batch that read another bucket would fail on its file.
+    for folder in (tmp_path / "seen" / "_level=0" / "_number=0").glob("_bucket=*"):
+        if int(folder.name.split("=")[1]) not in met:
+            for file in folder.glob("*.parquet"):
+                file.write_bytes(b"no parquet")
+            for check in folder.glob(".*.crc"):
+                check.unlink()
+    write(one, 1)
+    assert rows(spark.read.parquet(str(tmp_path / "out" / "batch=1"))) == [("400",)]
+
+
+@pytest.mark.parametrize("merge_every", [2, 3, 10])
+def test_spans_hold_every_batch_once(merge_every):
+    for batches in range(120):
+        held = [
+            n for level, i in runs._spans(batches, merge_every)
+            for n in range(i * merge_every**level, (i + 1) * merge_every**level)
+        ]
+        assert held == list(range(batches))
+
+
 # --- messages sent again ------------------------------------------------------------------------
 
 

@@ -570,6 +570,18 @@ def stream_distinct(spark, sf_dir):
     return _stream_table(spark, parts, jobs.distinct_ads, "city string, ad_id string")
 
 
+@query
+def stream_first_seen(spark, sf_dir):
+    """The rows of ``stream_distinct``, told by a table of what was seen and not by the stream's state."""
+
+    def start(lines, folder):
+        write = runs.first_seen(f"{folder}/out", f"{folder}/seen", ["city", "ad_id"], merge_every=2)
+        return runs.to_batches(runs.ads_from_lines(lines), write, f"{folder}/cp")
+
+    folder = replay.replay(spark, replay.in_order(tables.ads(spark, sf_dir)), start)
+    return spark.read.schema("city string, ad_id string").parquet(f"{folder}/out").select("city", "ad_id")
+
+
 @query
 def stream_topk(spark, sf_dir):
     def start(lines, folder):

@@ -396,6 +396,7 @@ SELECT city, num_ads, w_start AS window_start, w_end AS window_end FROM sliding"
     "stream_late_rows": _LATE_RESULT,
     "stream_restart": f"WITH {_ADS}, {_hourly()} SELECT * FROM hourly",
     "stream_distinct": _DISTINCT,
+    "stream_first_seen": _DISTINCT,
     "stream_topk": f"WITH {_ADS}, {_hourly()} {_TOPK}",
     "stream_running_count": _COUNTS,
     "stream_changelog": f"""WITH {_ADS}, {_SPANS},

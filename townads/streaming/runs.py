@@ -191,3 +191,70 @@ def count_changes(path: str, state: str, key: str = "city", value: str = "ad_id"
         changes.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
     return write
+
+
+def _spans(batches: int, merge_every: int) -> list[tuple[int, int]]:
+    """The folders (level, number) that together hold the batches before ``batches``: number ``i`` of a level
+    holds the batches from ``i * merge_every**level`` up to the next number's, larger ones come first."""
+    found, start, level = [], 0, 0
+    while merge_every ** (level + 1) <= batches:
+        level += 1
+    for level in range(level, -1, -1):
+        size = merge_every**level
+        while start + size <= batches:
+            found.append((level, start // size))
+            start += size
+    return found
+
+
+def first_seen(path: str, state: str, names: list[str], buckets: int = 256, merge_every: int = 32) -> BatchWriter:
+    """Rows whose values in ``names`` no earlier batch had, each once; NULL is a value.
+
+    What was seen is a table, not state of the stream: its rows are dealt by hash into ``buckets``, a batch
+    joins its rows with those of the buckets it meets, and writes the new ones in a folder named after the
+    batch. ``merge_every`` folders of one level are written together as one of the next, so a batch reads few
+    folders and a row is written again a logarithm of times. Whatever a batch writes it works out from earlier
+    batches only, so a repeated batch writes the same. Folders that are merged can go once the batch that merged them is
+    done. ``buckets`` must stay the same for a table.
+    """
+
+    def folder(level: int, number: int) -> str:
+        return f"{state}/_level={level}/_number={number}"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select(*names)
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+        def read(*folders: tuple[int, int]) -> DataFrame:
+            table = spark.read.schema(f"{fields}, _level int, _number int, _bucket int").option("basePath", state)
+            return table.parquet(*(folder(*x) for x in folders)).select(*names, "_bucket")
+
+        def keep(kept: DataFrame, level: int, number: int) -> None:
+            dealt = kept.repartition("_bucket")
+            dealt.write.mode("overwrite").partitionBy("_bucket").parquet(folder(level, number))
+
+        level = 1
+        while batch_id and batch_id % merge_every**level == 0:
+            number = batch_id // merge_every**level - 1
+            below = range(number * merge_every, (number + 1) * merge_every)
+            keep(read(*((level - 1, n) for n in below)), level, number)
+            level += 1
+        met = rows.distinct().withColumn("_bucket", F.pmod(F.xxhash64(*names), F.lit(buckets)).cast("int")).persist()
+        try:
+            new = met
+            if batch_id:
+                # At most ``buckets`` numbers; the scan leaves the other buckets' folders alone.
+                among = [r[0] for r in met.select("_bucket").distinct().collect()]
+                known = read(*_spans(batch_id, merge_every)).where(F.col("_bucket").isin(among))
+                known = known.toDF(*(f"_seen_{i}" for i in range(len(names))), "_seen_bucket")
+                equal = F.col("_bucket") == F.col("_seen_bucket")
+                for i, name in enumerate(names):
+                    equal = equal & F.col(name).eqNullSafe(F.col(f"_seen_{i}"))
+                new = met.join(known, equal, "left_anti")
+            keep(new, 0, batch_id)
+        finally:
+            met.unpersist()
+        read((0, batch_id)).drop("_bucket").write.mode("overwrite").parquet(batch_folder(path, batch_id))
+
+    return write
