@@ -576,7 +576,7 @@ def stream_first_seen(spark, sf_dir):
 
     def start(lines, folder):
         write = runs.first_seen(f"{folder}/out", f"{folder}/seen", ["city", "ad_id"], merge_every=2)
-        return runs.to_batches(runs.ads_from_lines(lines), write, f"{folder}/cp")
+        return runs.to_batches(rows.known_cities(runs.ads_from_lines(lines)), write, f"{folder}/cp")
 
     folder = replay.replay(spark, replay.in_order(tables.ads(spark, sf_dir)), start)
     return spark.read.schema("city string, ad_id string").parquet(f"{folder}/out").select("city", "ad_id")
