@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import defaultdict
 
@@ -80,3 +81,30 @@ def near_copies(docs, similarity=0.8):
         if doc is not None:
             least[x] = min(least.get(x, doc), doc)
     return [(doc, least.get(x), n) for (doc, _), x, n in zip(docs, label, links)]
+
+
+def language_of(text, families, machines, size):
+    """Language and score by plain votes; ``machines`` has weights and an offset for each pair of names."""
+    if not any(map(str.isalpha, text or "")):
+        return "und", 0.0
+    data = [b + 32 if 65 <= b <= 90 else b for b in text.encode()]
+    found = [0.0] * size
+    for n in (1, 2, 3):
+        for at in range(len(data) - n + 1):
+            key = data[at]
+            for b in data[at + 1 : at + n]:
+                key = (key * 257 + b + 1) % 2**32
+            found[key * 0x9E3779B1 % 2**32 * size // 2**32] += 1 / (len(data) - n + 1)
+    margin = {
+        pair: sum(w * (x / 3) ** 0.5 for w, x in zip(weights, found)) + offset
+        for pair, (weights, offset) in machines.items()
+    }
+
+    def winner(names):
+        own = {name: [m if name == a else -m for (a, b), m in margin.items() if name in (a, b)] for name in names}
+        best = max(names, key=lambda name: (sum(m > 0 for m in own[name]), sum(own[name])))
+        return best, [1 / (1 + math.exp(-4 * m)) for m in own[best]]
+
+    family, first = winner(sorted(families))
+    language, second = winner(families[family])
+    return language, min([1.0, *first, *second])

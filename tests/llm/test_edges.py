@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+from itertools import combinations
 
 import brute
 import numpy as np
@@ -343,6 +344,24 @@ def test_neighbours_among_copies(spark):
     assert found >= 0.9 * 5 * 60
 
 
+def test_votes_and_scores(spark):
+    # Random machines: the winner of a round often loses single ones, and votes are often equal.
+    draw = np.random.default_rng(5)
+    families = {"f1": ["a", "b", "c"], "f2": ["d"], "f3": ["e", "f", "g", "h"]}
+    pairs = [p for names in (families, *families.values()) for p in combinations(sorted(names), 2)]
+    machines = {p: (draw.normal(0, 3, language.FEATURES), float(draw.normal(0, 0.3))) for p in pairs}
+    pick = random.Random(5)
+    texts = [(d, t) for d, t in _texts() if d not in (8, 9)]
+    texts += [(100 + i, "".join(pick.choices("abcXYZ éß数 .7", k=pick.randrange(1, 40)))) for i in range(150)]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in language.identify(docs, language.Model(families, machines)).collect()}
+    assert len(got) == len(texts)
+    for i, (_, text) in enumerate(texts):
+        name, score = brute.language_of(text, families, machines, language.FEATURES)
+        assert got[i].lang_pred == name and got[i].score == pytest.approx(score, abs=1e-4), text
+    assert len({r.lang_pred for r in got.values()}) > 5 and min(r.score for r in got.values() if r.lang_pred != "und") < 0.5
+
+
 def test_language(spark, docs, none):
     draw = random.Random(2)
     kinds = {"en": "the and ing tion", "de": "der und ung sch", "fr": "le eau oux ment", "es": "el ción ado ñ"}
