@@ -2,8 +2,9 @@
 
 The graph starts from random hyperplane codes: points with one code are compared with each other. In
 each round every point brings its neighbours, and a sample of the points that have it as a neighbour,
-together: these are neighbours of neighbours, compared with each other by brute force; what is nearer
-than what a point has is proposed to it. Vectors travel as 16-bit integers for this, exact ones decide in
+together: these are neighbours of neighbours, compared with each other by brute force unless both are known from
+the round before; what is nearer than what a point has is proposed to it. Rounds end when at most SETTLED of all
+neighbours are new. Vectors travel as 16-bit integers for this, exact ones decide in
 the search. Equal vectors are one point of the graph, which knows the smallest ids of its copies; what is
 equal in 16 bits only is kept in an order that each point draws anew, so no part of a dense group is cut
 off from the others. A search keeps the BEAM nearest points seen and follows the neighbours of the nearest ones
@@ -28,11 +29,12 @@ from townads.llm.frames import stored, table
 
 NEIGHBOURS = 5
 DEGREE = 32
-CODES, CODE_POINTS = 4, 64
-ROUNDS = 5
+CODES, CODE_POINTS = 12, 256
+SETTLED = 0.15
 SAMPLED = 16
-BEAM, FOLLOWED = 192, 48
-_LISTS = "id long, near binary, far binary"  # neighbours, nearest first, and their similarities
+BEAM, FOLLOWED = 96, 48
+# Neighbours, nearest first, their similarities, and which of them are new and how many.
+_LISTS = "id long, near binary, far binary, fresh binary, n_fresh int"
 _HELD = 1 << 21
 _SEED = 20240207
 
@@ -114,21 +116,21 @@ class _Lists:
     def __init__(self, size: int = DEGREE):
         self.size, self.parts, self.held = size, [], 0
 
-    def add(self, points: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
-        self.parts.append((points.astype(np.int64), near.astype(np.int64), far.astype(np.float64)))
+    def add(self, points: np.ndarray, near: np.ndarray, far: np.ndarray, fresh: np.ndarray) -> None:
+        self.parts.append((points.astype(np.int64), near.astype(np.int64), far.astype(np.float64), fresh.astype(np.bool_)))
         self.held += len(points)
 
     def packed(self) -> pa.RecordBatch:
-        points, near, far = (np.concatenate(x) for x in zip(*self.parts))
-        order = np.lexsort((_drawn(points, near), -far, points))
-        points, near, far = points[order], near[order], far[order]
-        # The same neighbour always has the same similarity, so repetitions lie side by side.
+        points, near, far, fresh = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.lexsort((fresh, _drawn(points, near), -far, points))
+        points, near, far, fresh = points[order], near[order], far[order], fresh[order]
+        # The same neighbour always has the same similarity, so repetitions lie side by side, a known one first.
         new = np.append(True, (points[1:] != points[:-1]) | (near[1:] != near[:-1]))
-        points, near, far = points[new], near[new], far[new]
+        points, near, far, fresh = points[new], near[new], far[new], fresh[new]
         starts = np.flatnonzero(np.append(True, points[1:] != points[:-1]))
         rank = np.arange(len(points)) - np.repeat(starts, np.diff(np.append(starts, len(points))))
         keep = rank < self.size
-        points, near, far = points[keep], near[keep], far[keep]
+        points, near, far, fresh = points[keep], near[keep], far[keep], fresh[keep]
         starts = np.flatnonzero(np.append(True, points[1:] != points[:-1]))
         ends = [*starts[1:], len(points)]
         self.parts, self.held = [], 0
@@ -137,8 +139,10 @@ class _Lists:
                 pa.array(points[starts], pa.int64()),
                 pa.array([near[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
                 pa.array([far[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                pa.array([fresh[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                pa.array([int(fresh[a:b].sum()) for a, b in zip(starts, ends)], pa.int32()),
             ],
-            names=["id", "near", "far"],
+            names=["id", "near", "far", "fresh", "n_fresh"],
         )
 
 
@@ -159,26 +163,28 @@ def _coded(bits: int) -> Callable:
 
 
 def _all_pairs(key: str) -> Callable:
-    """Compares the points of each group with each other. A point that comes with ``least``, the
-    similarity of its last neighbour, gets what is as near or nearer."""
+    """Compares the points of each group with each other, but for two that are both not ``fresh``. A point that
+    comes with ``least``, the similarity of its last neighbour, gets what is as near or nearer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = _Lists()
         for group in _runs(batches, key):
             ids = np.array(group["id"])
-            if len(ids) < 2:
+            known = ~np.array(group["fresh"], dtype=np.bool_) if "fresh" in group else np.zeros(len(ids), dtype=np.bool_)
+            if len(ids) < 2 or known.all():
                 continue
             x = _whole(group["coarse"], np.float64)
             far = x @ x.T  # sums of integers, so the same in every group
             norm = np.sqrt(np.diagonal(far))
             far = far / np.outer(norm, norm)
+            far[np.ix_(known, known)] = -2
             np.fill_diagonal(far, -2)
             least = np.array(group["least"], dtype=np.float64) if "least" in group else np.full(len(ids), -1.5)
             size = min(DEGREE // 2 if "least" in group else DEGREE, len(ids) - 1)
             best = np.argpartition(-far, size - 1, axis=1)[:, :size]
             value = np.take_along_axis(far, best, axis=1)
             row, column = np.nonzero(value >= least[:, None])
-            lists.add(ids[row], ids[best[row, column]], value[row, column])
+            lists.add(ids[row], ids[best[row, column]], value[row, column], np.ones(len(row)))
             if lists.held > _HELD:
                 yield lists.packed()
         if lists.held:
@@ -190,8 +196,8 @@ def _all_pairs(key: str) -> Callable:
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     lists = _Lists()
     for group in _runs(batches, "id"):
-        near = np.frombuffer(b"".join(group["near"]), np.int64)
-        lists.add(np.full(len(near), group["id"][0]), near, np.frombuffer(b"".join(group["far"]), np.float64))
+        near, far, fresh = (np.frombuffer(b"".join(group[x]), t) for x, t in (("near", np.int64), ("far", np.float64), ("fresh", np.bool_)))
+        lists.add(np.full(len(near), group["id"][0]), near, far, fresh)
         if lists.held > _HELD:
             yield lists.packed()
     if lists.held:
@@ -199,15 +205,19 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unpacked(lists: DataFrame) -> DataFrame:
-    """Rows (id, other) of the neighbours."""
+    """Rows (id, other, fresh) of the neighbours."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             near = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
             ids = np.repeat(batch.column(0).to_numpy(), [len(x) for x in near])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.concatenate(near or [ids]), pa.int64())], names=["id", "other"])
+            fresh = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.bool_)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(np.concatenate(near or [ids]), pa.int64()), pa.array(fresh, pa.bool_())],
+                names=["id", "other", "fresh"],
+            )
 
-    return lists.select("id", "near").mapInArrow(run, "id long, other long")
+    return lists.select("id", "near", "fresh").mapInArrow(run, "id long, other long, fresh boolean")
 
 
 def _least(lists: DataFrame) -> DataFrame:
@@ -223,20 +233,32 @@ def _least(lists: DataFrame) -> DataFrame:
 
 
 def _sampled(edges: DataFrame, round_: int) -> DataFrame:
-    """At most SAMPLED of the rows (id, other) of each id, chosen by hash, first within slices."""
+    """At most SAMPLED of the rows (id, other, fresh) of each id, new ones first, chosen by hash, first within slices."""
     drawn = edges.withColumn("draw", F.xxhash64("other", F.lit(round_)))
-    slices = Window.partitionBy("id", F.pmod("draw", F.lit(64))).orderBy("draw", "other")
+    order = [F.desc("fresh"), "draw", "other"]
+    slices = Window.partitionBy("id", F.pmod("draw", F.lit(64))).orderBy(*order)
     first = drawn.withColumn("n", F.row_number().over(slices)).where(F.col("n") <= SAMPLED)
-    whole = Window.partitionBy("id").orderBy("draw", "other")
-    return first.withColumn("n", F.row_number().over(whole)).where(F.col("n") <= SAMPLED).select("id", "other")
+    whole = Window.partitionBy("id").orderBy(*order)
+    return first.withColumn("n", F.row_number().over(whole)).where(F.col("n") <= SAMPLED).select("id", "other", "fresh")
 
 
-def build_graph(points: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """The DEGREE neighbours of every point (rows id, coarse): packed lists, nearest first."""
+def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists whose neighbours have all met."""
+    for batch in batches:
+        met = [bytes(len(x)) for x in batch.column("fresh").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in ("id", "near", "far")), pa.array(met, pa.binary()), pa.array([0] * len(met), pa.int32())],
+            names=["id", "near", "far", "fresh", "n_fresh"],
+        )
+
+
+def build_graph(points: DataFrame, settled: float = SETTLED) -> DataFrame:
+    """The DEGREE neighbours of every point (rows id, coarse): packed lists, nearest first. Lists only get nearer,
+    so the rounds come to an end with any ``settled`` from 0."""
     n = points.count()
     bits = max(0, int(np.log2(max(n, 1) / CODE_POINTS)))
-    coded = stored(points.select("id", "coarse").mapInArrow(_coded(bits), "code long, id long, coarse binary"), "codes")
-    parts = coded.groupBy("code").agg(F.ceil(F.count("*") / (2 * CODE_POINTS)).alias("slices"))
+    coded = points.select("id", "coarse").mapInArrow(_coded(bits), "code long, id long, coarse binary")
+    parts = stored(coded.groupBy("code").agg(F.ceil(F.count("*") / (2 * CODE_POINTS)).alias("slices")), "codes")
     lists = (
         coded.join(parts, "code")
         .select(F.xxhash64("code", F.pmod(F.xxhash64("id", "code"), "slices")).alias("code"), "id", "coarse")
@@ -245,10 +267,15 @@ def build_graph(points: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         .mapInArrow(_all_pairs("code"), _LISTS)
     )
     lists = stored(lists.repartition("id").sortWithinPartitions("id").mapInArrow(_merged, _LISTS), "graph")
-    for k in range(rounds):
+    for k in count():
+        n_fresh, n_all = lists.agg(F.sum("n_fresh"), F.sum(F.octet_length("fresh"))).first()
+        if not n_fresh or n_fresh <= settled * n_all:
+            return lists
         edges = _unpacked(lists)
-        back = _sampled(edges.select(F.col("other").alias("id"), F.col("id").alias("other")), k)
-        members = edges.union(back).select(F.col("id").alias("centre"), F.col("other").alias("id")).distinct()
+        back = _sampled(edges.select(F.col("other").alias("id"), F.col("id").alias("other"), "fresh"), k)
+        members = (
+            edges.union(back).groupBy(F.col("id").alias("centre"), F.col("other").alias("id")).agg(F.max("fresh").alias("fresh"))
+        )
         known = points.select("id", "coarse").join(_least(lists), "id")
         proposed = (
             members.join(known, "id")
@@ -256,10 +283,10 @@ def build_graph(points: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             .sortWithinPartitions("centre")
             .mapInArrow(_all_pairs("centre"), _LISTS)
         )
+        met = lists.mapInArrow(_known, _LISTS)
         lists = stored(
-            proposed.union(lists).repartition("id").sortWithinPartitions("id").mapInArrow(_merged, _LISTS), "graph"
+            proposed.union(met).repartition("id").sortWithinPartitions("id").mapInArrow(_merged, _LISTS), "graph"
         )
-    return lists
 
 
 def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -389,7 +416,7 @@ def _unpacked_for(steps: DataFrame, graph: DataFrame) -> DataFrame:
             query = np.repeat(batch.column(0).to_numpy(), [len(x) for x in near])
             yield pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(np.concatenate(near or [query]), pa.int64())], names=["query", "id"])
 
-    return steps.join(graph, "id").select("query", "near").mapInArrow(run, "query long, id long")
+    return steps.join(graph.select("id", "near"), "id").select("query", "near").mapInArrow(run, "query long, id long")
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, id: str = "vec_id", vector: str = "embedding", k: int = NEIGHBOURS) -> DataFrame:
