@@ -9,6 +9,7 @@ from itertools import combinations
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -482,3 +483,34 @@ def test_fingerprints_of_words():
         prints = {}
         assert all(prints.setdefault(w, p) == p for (_, w), p in zip(plain, made.prints.tolist()))
         assert len(set(prints.values())) == len(prints)
+
+
+def test_graph_rounds_compare_only_pairs_with_a_new_member():
+    vectors = np.array([[100, 0], [90, 10], [80, 30], [0, 100]], dtype=np.int16)
+    group = pa.table(
+        {
+            "centre": [7] * 4,
+            "id": [1, 2, 3, 4],
+            "fresh": [False, False, True, False],
+            "coarse": [v.tobytes() for v in vectors],
+            "least": [-1.5] * 4,
+        }
+    ).to_batches()
+    made = [row for batch in neighbours._all_pairs("centre")(iter(group)) for row in batch.to_pylist()]
+    near = {row["id"]: np.frombuffer(row["near"], np.int64).tolist() for row in made}
+    assert near == {1: [3], 2: [3], 3: [2, 1, 4], 4: [3]}
+    assert [row["n_fresh"] for row in made] == [1, 1, 3, 1]
+
+
+def test_a_neighbour_proposed_again_stays_known():
+    def listed(fresh):
+        near, far = np.array([5, 6]), np.array([0.9, 0.8])
+        return (1, near.tobytes(), far.tobytes(), np.array(fresh).tobytes(), int(sum(fresh)))
+
+    names = ["id", "near", "far", "fresh", "n_fresh"]
+    rows = [listed([True, True]), listed([False, True])]
+    batch = pa.table({n: list(c) for n, c in zip(names, zip(*rows))}).to_batches()
+    (merged,) = [row for b in neighbours._merged(iter(batch)) for row in b.to_pylist()]
+    assert np.frombuffer(merged["near"], np.int64).tolist() == [5, 6]
+    assert np.frombuffer(merged["fresh"], np.bool_).tolist() == [False, True]
+    assert merged["n_fresh"] == 1
