@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from townads.llm import bpe, decontamination, language, similar, substrings
 from townads.llm.frames import stored, table
 
-#: Documents whose language is less certain are rejected, as are those without any letter.
+#: Documents whose language is less certain are rejected, as are those without any letter. With two languages a family
+#: the winner's certainty is never below one half, so there only texts without letters go.
 LEAST_CERTAINTY = 0.5
 
 
 def _identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a language that is surely known; fills in a missing ``lang``."""
+    """Keeps documents in a learnt language; fills in a missing ``lang``. Null texts and those without a letter go;
+    repeated rows and rows without an id are judged one by one; an empty table gives no rows."""
     found = language.identify(docs, language.learnt(docs), keep_text=True)
     sure = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_CERTAINTY)
     return found.where(sure).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
