@@ -18,7 +18,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from townads.llm import bwt_dedup, lexical, periodic, registry, similar
+from townads.llm import bwt_dedup, frames, lexical, periodic, registry, similar
 
 LAST = (1 << 63) - 1
 SCHEMA = "doc_id long, text string"
@@ -338,3 +338,67 @@ def test_candidate_edges_grow_with_the_nodes(spark, n):
     edges = similar._candidates(nodes).distinct()
     assert edges.count() < 3 * n
     assert similar.components(edges).select("component").distinct().count() == 1
+
+
+def _group(n, changes):
+    """Texts of 120 words that differ in a few words each."""
+    draw = random.Random(8)
+    base = [f"{draw.choice('abcdef')}{draw.randrange(90000)}" for _ in range(120)]
+    docs = []
+    for i in range(n):
+        words = list(base)
+        for at in draw.sample(range(120), changes):
+            words[at] = f"changed{i}"
+        docs.append((i, " ".join(words)))
+    return docs
+
+
+def test_candidate_edges_of_many_buckets(spark, monkeypatch):
+    """Nodes that meet in many buckets are held together by little more than one edge a node."""
+    monkeypatch.setattr(similar, "SMALL", 16)
+    table = spark.createDataFrame(_group(300, 3), SCHEMA)
+    keyed = table.select(F.col("doc_id").alias("id"), similar.row_key("doc_id", "text").alias("key"), "text")
+    made = keyed.mapInArrow(similar._noded, similar._NODES)
+    edges = similar._candidates(similar.stored(made.select("node", "paths", "sketch"), "nodes")).distinct()
+    assert edges.count() < 1.5 * 300
+    assert [r["count"] for r in similar.components(edges).groupBy("component").count().collect()] == [300]
+
+
+def test_edges_of_a_group_in_many_blocks(spark, monkeypatch):
+    """The edges of a group that is compared in blocks do not grow with its nodes times its blocks."""
+    found = []
+
+    def seen(edges, components=similar.components):
+        found.append(edges.where("a <> b").distinct().count())
+        return components(edges)
+
+    monkeypatch.setattr(similar, "components", seen)
+    monkeypatch.setattr(similar, "BLOCK_NODES", 10)
+    docs = _group(100, 1)
+    got = similar.near_copies(spark.createDataFrame(docs, SCHEMA)).select("doc_id", "class_id", "n_links")
+    assert rows(got) == sorted(brute.near_copies(docs), key=repr)
+    assert len(found) == 2 and 99 <= found[1] < 2 * 100
+
+
+def test_components_read_only_edges_that_are_left(spark, monkeypatch):
+    draw = random.Random(3)
+    edges = [(i, i + 1) for i in range(300)] + [(500, 501 + i) for i in range(300)]
+    edges += [(1000 + draw.randrange(300), 1000 + draw.randrange(300)) for _ in range(300)]
+    label = {x: {x} for a, b in edges for x in (a, b) if a != b}
+    for a, b in edges:
+        if a != b and label[a] is not label[b]:
+            label[a] |= label[b]
+            for x in label[b]:
+                label[x] = label[a]
+    read = []
+
+    def stored(frame, name, keep=frames.stored):
+        made = keep(frame, name)
+        if name == "edges":
+            read.append(made.count())
+        return made
+
+    monkeypatch.setattr(frames, "stored", stored)
+    got = frames.components(spark.createDataFrame(edges, "a long, b long"))
+    assert rows(got) == sorted(((x, min(of)) for x, of in label.items()), key=repr)
+    assert read[-1] == 0 and sum(read) < 2 * len(edges) and len(read) < 9

@@ -100,7 +100,8 @@ def _linked(near: np.ndarray) -> np.ndarray:
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges that hold together the similar nodes of each bucket; rows come in the order of buckets."""
+    """Edges that hold together the similar nodes of each bucket, from the least node of each part; rows come in the
+    order of buckets and nodes."""
 
     def edges(nodes: list[bytes], sketches: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         known = np.frombuffer(b"".join(sketches), np.uint16).reshape(len(nodes), COORDINATES)
@@ -141,13 +142,13 @@ def _candidates(nodes: DataFrame) -> DataFrame:
             counted.where(F.col("count") <= SMALL)
             .select("path", "node", "sketch")
             .repartition("path")
-            .sortWithinPartitions("path")
+            .sortWithinPartitions("path", "node")
             .mapInArrow(_compared, "a binary, b binary")
         )
         edges = made if edges is None else edges.union(made)
         large = counted.where(F.col("count") > SMALL)
         if not large.limit(1).count():
-            return edges
+            break
         if level < LEVELS:
             at = F.pmod(F.xxhash64("path", "branch"), F.lit(COORDINATES)).cast("int")
             rows = (
@@ -155,13 +156,15 @@ def _candidates(nodes: DataFrame) -> DataFrame:
                 .withColumn("at", at)
                 .select(F.xxhash64("path", "at", F.expr("substring(sketch, at * 2 + 1, 2)")).alias("path"), "node", "sketch")
             )
-    # A node of large buckets is tied to the first of their least nodes, and these to each other, once for all
-    # nodes that are in the same buckets: about one edge for a node, however many buckets it is in.
-    least = large.groupBy("path").agg(F.min("node").alias("a"))
-    tied = large.join(least, "path").groupBy("node").agg(F.array_sort(F.collect_set("a")).alias("all"))
+        else:
+            least = large.groupBy("path").agg(F.min("node").alias("a"))
+            edges = edges.union(large.join(least, "path").select("a", F.col("node").alias("b")))
+    # A node is tied to the first of the least nodes that its buckets have given it, and these to each other, once for
+    # all nodes that have the same ones: about one edge for a node, however many buckets it is in.
+    tied = edges.where("a <> b").groupBy(F.col("b").alias("node")).agg(F.array_sort(F.collect_set("a")).alias("all"))
     tied = stored(tied.select("node", F.get("all", F.lit(0)).alias("a"), "all"), "chains")
     between = tied.select("a", F.explode("all").alias("b")).distinct()
-    return edges.union(tied.select("a", F.col("node").alias("b"))).union(between).where("a <> b")
+    return tied.select("a", F.col("node").alias("b")).union(between).where("a <> b")
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,8 +180,9 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(similarity: float) -> Callable:
-    """Within a block, or between two, the number of documents that each node links to and the first node
-    of its connected part."""
+    """Within a block, or between two, the number of documents that each node links to. Also, within a block, the first
+    node of its connected part; between two, for the first node of a part that lies in one block, the first of the
+    part that both blocks make, and for others the node itself."""
     per = 1000
     threshold = round(similarity * per)
 
@@ -205,11 +209,15 @@ def _verified(similarity: float) -> Callable:
         near = both * per >= (sizes[:, None] + sizes[None, :] - both) * threshold
         block = np.array([rows[node]["block"] for node in nodes])
         low, high = rows[nodes[0]]["low"], rows[nodes[0]]["high"]
-        if low != high:
-            near &= block[:, None] != block[None, :]
         np.fill_diagonal(near, False)
-        copies = np.array([rows[node]["copies"] for node in nodes])
         first = _linked(near)
+        if low != high:
+            # What is linked within a block is tied together there, so its first node stands for all of it.
+            across = block[:, None] != block[None, :]
+            own = np.arange(len(nodes))
+            first = np.where(_linked(near & ~across) == own, first, own)
+            near &= across
+        copies = np.array([rows[node]["copies"] for node in nodes])
         return pa.table(
             {
                 "node": pa.array(nodes, pa.binary()),
