@@ -10,6 +10,7 @@ from collections import Counter
 from zlib import crc32
 
 import brute
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -380,6 +381,21 @@ def test_edges_of_a_group_in_many_blocks(spark, monkeypatch):
     assert len(found) == 2 and 99 <= found[1] < 2 * 100
 
 
+def test_pipeline_keeps_one_of_a_group_in_many_blocks(spark, monkeypatch):
+    found = []
+
+    def seen(edges, components=similar.components):
+        found.append(edges.where("a <> b").distinct().count())
+        return components(edges)
+
+    monkeypatch.setattr(similar, "components", seen)
+    monkeypatch.setattr(similar, "BLOCK_NODES", 10)
+    docs = spark.createDataFrame([*_group(100, 1), (100, "alone"), (0, "else"), (101, None)], SCHEMA)
+    kept = rows(corpus_pipeline._drop_near_copies(spark, docs, "").select("doc_id", F.length("text") < 9))
+    assert kept == [(0, False), (0, True), (100, True), (101, None)]
+    assert len(found) == 2 and all(n < 2 * 100 for n in found)
+
+
 def test_components_read_only_edges_that_are_left(spark, monkeypatch):
     draw = random.Random(3)
     edges = [(i, i + 1) for i in range(300)] + [(500, 501 + i) for i in range(300)]
