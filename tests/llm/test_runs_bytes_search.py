@@ -224,6 +224,61 @@ def test_copies_are_one_string_in_a_block(spark):
     assert len(taken) < 200 * 2 + 40  # the strings that the differing ids reach into, and the passage's own
 
 
+def _sorted_symbols(monkeypatch, folder):
+    """Makes tasks note how many symbols they put in order; gives their sum."""
+    order = bwt_dedup._suffix_order
+
+    def noted(text, rest, shard):
+        with open(f"{folder}/symbols", "a") as f:
+            f.write(f"{len(text)}\n")
+        return order(text, rest, shard)
+
+    monkeypatch.setattr(bwt_dedup, "_suffix_order", noted)
+    return lambda: sum(map(int, (folder / "symbols").read_text().split())) if (folder / "symbols").exists() else 0
+
+
+def test_strings_of_many_blocks_are_sent_once(spark, monkeypatch, tmp_path):
+    """However many blocks hold a passage, its strings are put in order and merged about once."""
+    monkeypatch.setattr(bwt_dedup, "BLOCK_BYTES", 3500)
+    symbols = _sorted_symbols(monkeypatch, tmp_path)
+    draw = random.Random(6)
+    passage = "".join(draw.choice("abcdefghij ") for _ in range(3000))
+    docs = [(i, f"{i} {passage}") for i in range(30)]
+    assert rows(bwt_dedup.remove_repeated_bytes(spark.createDataFrame(docs, SCHEMA), outputs=BYTES)) == plain_bytes(docs, 50)
+    assert 3000 < symbols() < 10 * 3000  # a string is about four times what no other shares with it
+
+
+def test_equal_keys_in_other_surroundings_go_no_further(spark, monkeypatch, tmp_path):
+    """Keys that many documents share make no work if no match around them can repeat."""
+    symbols = _sorted_symbols(monkeypatch, tmp_path)
+    draw = random.Random(7)
+
+    def other(n):
+        return "".join(draw.choice("abcdefghij ") for _ in range(n))
+
+    docs = [(i, other(draw.randrange(40, 90)) + "a common text here, " + other(draw.randrange(40, 90))) for i in range(300)]
+    assert rows(bwt_dedup.remove_repeated_bytes(spark.createDataFrame(docs, SCHEMA), outputs=BYTES)) == plain_bytes(docs, 50)
+    assert symbols() < 100
+    # A byte less than a match, and all lengths from where a print can be shared.
+    shared = other(49)
+    docs += [(1000 + i, other(60) + shared[: 20 + i] + other(60)) for i in range(30)]
+    assert rows(bwt_dedup.remove_repeated_bytes(spark.createDataFrame(docs, SCHEMA), outputs=BYTES)) == plain_bytes(docs, 50)
+    assert not any(r[2] for r in plain_bytes(docs, 50))
+
+
+@pytest.mark.parametrize("length", [17, 18, 34, 50])
+def test_a_match_alone_is_found(spark, length):
+    """Two documents that share one match, wherever its key stands."""
+    draw = random.Random(length)
+    docs = []
+    for i in range(150):
+        match = "".join(draw.choice("abcdefghij") for _ in range(length))
+        docs += [(2 * i + k, "".join(draw.choice(mark) for _ in range(30)) + match + "".join(draw.choice(mark) for _ in range(30))) for k, mark in enumerate(("klmnop", "qrstuv"))]
+    got = rows(bwt_dedup.remove_repeated_bytes(spark.createDataFrame(docs, SCHEMA).repartition(4), length=length, outputs=BYTES))
+    assert got == plain_bytes(docs, length)
+    assert sum(r[2] for r in got) >= 150 * length
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("ab", min_size=6, max_size=14), min_size=1, max_size=8, unique=True), st.integers(1, 6))
 def test_interleave_is_the_order_of_suffixes(strings, length):

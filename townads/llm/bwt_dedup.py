@@ -2,17 +2,20 @@
 
 A match is ``length`` bytes. Its key is the least 16-byte value in it (of equal ones the first), so equal
 matches have equal keys, wherever they stand. Consecutive matches of one document with the same key place
-are one string; the strings of a block of documents that share a bucket of keys are a shard.
-
-1. Each block sends its distinct keys; those that two documents have are sent back. All other matches cannot
-   repeat and go no further.
-2. Each block cuts out the strings of the keys left, once each, with the least document that has it, and
-   sends each shard as its Burrows-Wheeler transform.
+are one string; the strings of a block of documents that share a bucket of keys are a shard. Of the bytes beside the
+key a match has half on its left or more than half on its right; a value of these and the key is its print.
+
+1. Each block sends the distinct prints of its strings, two at most for each; those that two documents have are
+   sent back. All other matches cannot repeat and go no further.
+2. Each block describes the strings that are left, once each: a value of all bytes, and the least document
+   that has it. Of the blocks that have a string, its bucket chooses one. That block cuts it out and sends what it
+   was chosen for, each shard as its Burrows-Wheeler transform; so a string is sorted, sent and merged once,
+   however many blocks hold it.
 3. Each bucket merges its shards' transforms: the interleave of their suffixes starts as one after the other
    and is refined by stable distribution along the transforms, some symbols at a step, until it is the order by
    the first ``length`` symbols. Where neighbours part for the first time is noted in each step; the
-   intervals that no step parted are the suffixes with a common prefix of ``length``. Strings that several
-   shards have take part once. Of each interval the least document is found, and a block is told which of its strings hold matches that begin in a smaller one.
+   intervals that no step parted are the suffixes with a common prefix of ``length``. Of each interval the least
+   document is found, and a block is told which of its strings hold matches that begin in a smaller one.
 4. Each block marks the matches and cuts them out.
 
 A bucket holds about ``BUCKET_BYTES`` of the input at any size. A passage of a third of all documents is one
@@ -38,29 +41,30 @@ from townads.llm.words import buffers, give_back, mixed, parts, thrifty
 
 LENGTH = 50
 KEY = 16  # bytes of a key; matches are longer
-BLOCK_BYTES = 2 << 20  # texts that a task looks at together; a longer text alone
+BLOCK_BYTES = 4 << 20  # texts that a task looks at together; a longer text alone
 BUCKET_BYTES = 8 << 20
 PART_BYTES = 1 << 18  # what of a bucket is merged at a time
+_PRINT_BITS = 28  # within a bucket; prints only choose what is compared
 _SLICE = 1 << 20
 _ORDERED = 1 << 18  # symbols that are put in order together, about
 _PLACE_BITS = 21  # of a place in a slice and the match that begins at its end
 _LAST = (1 << 63) - 1  # stands for a missing id: such a row comes after all others
 _STEP = 7  # symbols of 9 bits in a number
 _U = np.uint64
-# What a block sends to a bucket: strings by piece, their bytes, least id and what the greatest is beyond it, places in
-# the block, ranks of whole strings, values of all their bytes, the symbols of the transform, and further copies.
+# What a block tells a bucket of its strings: piece, bytes, least id and what the greatest is beyond it, place in the
+# block, value of all bytes, and further copies.
 _SHARD = {
-    "counts": np.int32,
+    "piece": np.int32,
     "sizes": np.int32,
     "least": np.int64,
     "most": np.int64,
     "begin": np.int64,
-    "heads": np.int32,
     "value": np.uint64,
-    "symbols": np.uint8,
     "copies": np.int64,
     "copy_of": np.int32,
 }
+_WANTED = {"piece": np.int32, "begin": np.int64, "sizes": np.int32}  # of the strings that a block is chosen for
+_TRANSFORM = {"heads": np.int32, "symbols": np.uint8}  # of these, by piece: ranks of whole strings, and the symbols
 
 
 def _pressed(x: np.ndarray) -> bytes:
@@ -99,12 +103,23 @@ def _values(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _key_places(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(begin, matches, key) of each string, in slices of whole rows or of a long row.
+def _deltas(x: np.ndarray) -> bytes:
+    """Ascending numbers, small when pressed."""
+    return _pressed(np.diff(x.astype(np.uint32), prepend=np.uint32(0)))
+
+
+def _summed(x: bytes) -> np.ndarray:
+    return np.cumsum(_plain(x, np.uint32), dtype=np.uint32)
+
+
+def _key_places(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(begin, matches, key, matches by the left print, left and right print) of each string, in slices of whole rows
+    or of a long row.
 
     A string never reaches over two slices, as matches with one key place do; there it is two strings.
     """
     window = length - KEY + 1
+    beside = window // 2  # bytes left of the key that the left print takes; the right print takes window - beside
     cuts = np.unique(offsets)
     low = int(cuts[0])
     while low < cuts[-1]:
@@ -137,45 +152,65 @@ def _key_places(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[
             if len(at):
                 # A string ends where the next begins or where no match is.
                 ends = np.flatnonzero(np.append(fresh[1:] | ~inside[1:], True) & inside) + 1
-                yield at + low, ends - at, values[place[at]]
+                place = place[at].astype(np.int64)
+                left = np.clip(place - beside + 1 - at, 0, ends - at)
+                yield at + low, ends - at, values[place], left, *_prints(values, place, beside, window - beside)
         low = to
 
 
-def _strings(rows: pa.Table, length: int) -> tuple[np.ndarray, ...]:
-    """Bytes, ids, row offsets, and of each string: begin, matches, row and value of its key."""
+def _prints(values: np.ndarray, place: np.ndarray, left: int, right: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the key and of bytes from ``left`` before it, and of the key and of bytes to ``right`` after it."""
+    key = values[place]
+    before, near = (values[np.maximum(place - n, 0)] for n in (left, min(left, KEY)))
+    after, close = (values[np.minimum(place + n, len(values) - 1)] for n in (right, min(right, KEY)))
+    return (
+        mixed(key + (before ^ near >> _U(1)) * _U(0x9E3779B97F4A7C15)) >> _U(64 - _PRINT_BITS),
+        mixed(key + (after ^ close >> _U(1)) * _U(0xD6E8FEB86659FD93)) >> _U(64 - _PRINT_BITS),
+    )
+
+
+def _places(rows: pa.Table, length: int) -> tuple[np.ndarray, ...]:
+    """Bytes, ids, row offsets, and of each string: begin, matches, row and value of its key; how many of its matches,
+    the first ones, have the left print; the prints."""
     data, offsets = buffers(rows["text"])
     ids = rows["key"].to_numpy()
     found = list(_key_places(data, offsets, length)) if len(offsets) > 1 else []
     if not found:
         none = np.zeros(0, dtype=np.int64)
-        return data, ids, offsets, none, none, none, none.astype(np.uint64)
-    begin, matches, keys = (np.concatenate(column) for column in zip(*found))
-    return data, ids, offsets, begin, matches, np.searchsorted(offsets, begin, side="right") - 1, mixed(keys)
+        return data, ids, offsets, none, none, none, none.astype(np.uint64), none, none.astype(np.uint64), none.astype(np.uint64)
+    begin, matches, keys, *prints = (np.concatenate(column) for column in zip(*found))
+    return data, ids, offsets, begin, matches, np.searchsorted(offsets, begin, side="right") - 1, mixed(keys), *prints
+
+
+def _strings(rows: pa.Table, length: int) -> tuple[np.ndarray, ...]:
+    """Bytes, ids, row offsets, and of each string: begin, matches, row and value of its key."""
+    return _places(rows, length)[:7]
 
 
 def _send_keys(length: int, buckets: int) -> Callable:
-    """Per block and bucket the distinct keys, halved in bits, apart by whether two ids have them."""
+    """Per block and bucket of keys the distinct prints, apart by whether two ids have them."""
     schema = pa.schema([("bucket", pa.int64()), ("block", pa.string()), ("one", pa.binary()), ("more", pa.binary())])
+    bits = _U(_PRINT_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, packed in zip(batch["block"].to_pylist(), batch["rows"]):
-                _, ids, _, _, _, row, keys = _strings(_unpack(packed.as_py()), length)
+                _, ids, _, _, matches, row, keys, by_left, left, right = _places(_unpack(packed.as_py()), length)
                 if not len(keys):
                     continue
-                whose = ids[row]
-                order = np.argsort(keys, kind="stable")
-                keys, whose = keys[order], whose[order]
-                at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+                bucket = keys % _U(buckets) << bits
+                has_left, has_right = by_left > 0, by_left < matches
+                prints = np.concatenate([(bucket | left)[has_left], (bucket | right)[has_right]])
+                whose = ids[np.concatenate([row[has_left], row[has_right]])]
+                order = np.argsort(prints)
+                prints, whose = prints[order], whose[order]
+                at = np.flatnonzero(np.append(True, prints[1:] != prints[:-1]))
                 several = np.minimum.reduceat(whose, at) < np.maximum.reduceat(whose, at)
-                keys = keys[at]
-                bucket = (keys % _U(buckets)).astype(np.int64)
-                short = (keys >> _U(32)).astype(np.uint32)
-                order = np.lexsort((short, bucket))
-                bucket, short, several = bucket[order], short[order], several[order]
+                prints = prints[at]
+                bucket, prints = prints >> bits, prints & (_U(1) << bits) - _U(1)
                 cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
                 out = [
-                    (int(bucket[a]), block, short[a:b][~several[a:b]].tobytes(), short[a:b][several[a:b]].tobytes())
+                    (int(bucket[a]), block, _deltas(prints[a:b][~several[a:b]]), _deltas(prints[a:b][several[a:b]]))
                     for a, b in zip(cuts[:-1], cuts[1:])
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
@@ -184,20 +219,21 @@ def _send_keys(length: int, buckets: int) -> Callable:
 
 
 def _shared_keys(group: pa.Table) -> pa.Table:
-    """To each block its keys of a bucket that more than one document has."""
-    one = [np.frombuffer(x.as_py(), np.uint32) for x in group["one"]]
-    more = [np.frombuffer(x.as_py(), np.uint32) for x in group["more"]]
+    """To each block its prints of a bucket that more than one document has."""
+    one = [_summed(x.as_py()) for x in group["one"]]
+    more = [_summed(x.as_py()) for x in group["more"]]
     single = np.concatenate(one)
     every = np.sort(np.concatenate([single, *more]))
+    # Each block sends a print once, so two are of two blocks; and ids are rarely the same in both.
     shared = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *more]))
     if not len(shared):
-        return pa.table({"block": pa.array([], pa.string()), "bucket": pa.array([], pa.int64()), "keys": pa.array([], pa.binary())})
+        return pa.table({"block": pa.array([], pa.string()), "bucket": pa.array([], pa.int64()), "prints": pa.array([], pa.binary())})
     hit = shared[np.minimum(np.searchsorted(shared, single), len(shared) - 1)] == single
     ends = np.cumsum([len(x) for x in one])
-    found = [a[mine].tobytes() + b.tobytes() for a, b, mine in zip(one, more, np.split(hit, ends[:-1]))]
-    kept = pa.array([i for i, x in enumerate(found) if x], pa.int64())
+    found = [np.sort(np.concatenate([a[mine], b])) for a, b, mine in zip(one, more, np.split(hit, ends[:-1]))]
+    kept = pa.array([i for i, x in enumerate(found) if len(x)], pa.int64())
     return pa.table(
-        {"block": group["block"].take(kept), "bucket": group["bucket"].take(kept), "keys": pa.array([x for x in found if x], pa.binary())}
+        {"block": group["block"].take(kept), "bucket": group["bucket"].take(kept), "prints": pa.array([_deltas(x) for x in found if len(x)], pa.binary())}
     )
 
 
@@ -236,61 +272,144 @@ def _suffix_order(text: np.ndarray, rest: np.ndarray, shard: np.ndarray) -> np.n
         depth += 4
 
 
+def _string_values(data: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A value of all bytes of each string, eight at a time; the last eight may overlap those before."""
+    eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    value = sizes.astype(np.uint64) * _U(0x9E3779B97F4A7C15)
+
+    def read(value: np.ndarray, at: np.ndarray) -> np.ndarray:
+        value = (value ^ eight[at]) * _U(0xBF58476D1CE4E5B9)
+        return value ^ value >> _U(32)
+
+    least = int(sizes.min()) - 8
+    for i in range(0, int(sizes.max()) - 8, 8):
+        if i < least:
+            value = read(value, begin + i)
+        else:
+            here = np.flatnonzero(sizes - 8 > i)
+            value[here] = read(value[here], begin[here] + i)
+    return mixed(read(value, begin + sizes - 8))
+
+
+def _repeatable(
+    shared: pa.Table, begin: np.ndarray, matches: np.ndarray, by_left: np.ndarray, bucket: np.ndarray, *values: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and number of those matches of each string whose print is shared; where keys are told and not prints, of
+    the strings with these keys."""
+    keys, left, right = values
+    of = shared["bucket"].to_pylist()
+    if "prints" not in shared.column_names:
+        wanted = [np.frombuffer(x.as_py(), np.uint32).astype(np.uint64) | _U(b) << _U(32) for b, x in zip(of, shared["keys"])]
+        return begin, np.where(np.isin(keys >> _U(32) | bucket << _U(32), np.concatenate(wanted)), matches, 0)
+    bits = _U(_PRINT_BITS)
+    wanted = np.sort(np.concatenate([_summed(x.as_py()) | _U(b) << bits for b, x in zip(of, shared["prints"])]))
+
+    def told(prints: np.ndarray) -> np.ndarray:
+        prints = bucket << bits | prints
+        return wanted[np.minimum(np.searchsorted(wanted, prints), len(wanted) - 1)] == prints
+
+    first = np.where(told(left), 0, by_left)
+    return begin + first, np.where(told(right), matches, by_left) - first
+
+
 def _send_shards(length: int, buckets: int, pieces: int) -> Callable:
-    """Per block and bucket: its distinct strings with a shared key as a transform, and whose they are."""
+    """Per block and bucket: its distinct strings with a shared key, by piece and value, and whose they are."""
     schema = pa.schema([("bucket", pa.int64()), ("block", pa.string()), *((n, pa.binary()) for n in _SHARD)])
 
     def run(_: tuple, packed: pa.Table, shared: pa.Table) -> pa.Table:
         empty = pa.table({f.name: pa.array([], f.type) for f in schema})
         if not packed.num_rows or not shared.num_rows:
             return empty
-        data, ids, _, begin, matches, row, keys = _strings(_unpack(packed["rows"][0].as_py()), length)
-        bucket, short = (keys % _U(buckets)), keys >> _U(32)
-        wanted = np.concatenate(
-            [
-                np.frombuffer(k.as_py(), np.uint32).astype(np.uint64) * _U(buckets) + _U(b)
-                for b, k in zip(shared["bucket"].to_pylist(), shared["keys"])
-            ]
-        )
-        mine = np.flatnonzero(np.isin(short * _U(buckets) + bucket, wanted))
+        data, ids, _, begin, matches, row, keys, by_left, left, right = _places(_unpack(packed["rows"][0].as_py()), length)
+        bucket = keys % _U(buckets)
+        begin, matches = _repeatable(shared, begin, matches, by_left, bucket, keys, left, right)
+        mine = np.flatnonzero(matches > 0)
         if not len(mine):
             return empty
-        begin, matches, whose = begin[mine], matches[mine], ids[row[mine]]
-        piece = (mixed(keys[mine]) % _U(pieces)).astype(np.int64)
-        bucket = bucket[mine].astype(np.int64)
-        # Equal strings are one, by size, key and a value of all their bytes.
-        sizes = matches + length - 1
-        value = keys[mine] + sizes.astype(np.uint64)
-        for i in range(0, int(sizes.max())):
-            here = i < sizes
-            value[here] = value[here] * _U(0x9E3779B97F4A7C15) + data[begin[here] + i]
-        value = mixed(value)
-        order = np.lexsort((whose, value, piece, bucket))
-        begin, sizes, whose, piece, bucket, value = (x[order] for x in (begin, sizes, whose, piece, bucket, value))
-        fresh = np.append(True, (value[1:] != value[:-1]) | (bucket[1:] != bucket[:-1]) | (piece[1:] != piece[:-1]))
+        begin, whose, sizes = begin[mine], ids[row[mine]], matches[mine] + length - 1
+        shard = bucket[mine].astype(np.int64) * pieces + (mixed(keys[mine]) % _U(pieces)).astype(np.int64)
+        # Equal strings are one, by a value of all their bytes.
+        value = _string_values(data, begin, sizes)
+        order = np.lexsort((value, shard))
+        begin, sizes, whose, shard, value = (x[order] for x in (begin, sizes, whose, shard, value))
+        fresh = np.append(True, (value[1:] != value[:-1]) | (shard[1:] != shard[:-1]))
         at = np.flatnonzero(fresh)
-        most = np.maximum.reduceat(whose, at)
+        least, most = np.minimum.reduceat(whose, at), np.maximum.reduceat(whose, at)
         copy_of = np.cumsum(fresh)[~fresh] - 1
         copies = begin[~fresh]
-        begin, sizes, least, piece, bucket, value = (x[at] for x in (begin, sizes, whose, piece, bucket, value))
+        begin, sizes, shard, value = (x[at] for x in (begin, sizes, shard, value))
+        bucket, piece = np.divmod(shard, pieces)
         out = []
         cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+        split = np.searchsorted(copy_of, cuts)
+        for a, b, c, d in zip(cuts[:-1], cuts[1:], split[:-1], split[1:]):
+            columns = (piece[a:b], sizes[a:b], least[a:b], most[a:b] - least[a:b], begin[a:b], value[a:b], copies[c:d], copy_of[c:d] - a)
+            sent = (_pressed(x.astype(kind)) for x, kind in zip(columns, _SHARD.values()))
+            out.append((int(bucket[a]), packed["block"][0].as_py(), *sent))
+        give_back()
+        return pa.table({f.name: pa.array(c, f.type) for f, c in zip(schema, zip(*out))}, schema=schema)
+
+    return run
+
+
+def _told(group: pa.Table) -> tuple[list[str], dict[str, list[np.ndarray]], np.ndarray, np.ndarray, np.ndarray]:
+    """What blocks told a bucket: the blocks in order, their columns, and of all strings one after the other the block's
+    number, the number of the string among different ones by piece, and of each of these which one is sent."""
+    group = group.sort_by("block")
+    read = {n: [_plain(x.as_py(), kind) for x in group[n]] for n, kind in _SHARD.items()}
+    whose = np.repeat(np.arange(group.num_rows), [len(x) for x in read["sizes"]])
+    piece, value = np.concatenate(read["piece"]), np.concatenate(read["value"])
+    order = np.lexsort((value, piece))
+    piece, value = piece[order], value[order]
+    fresh = np.append(True, (value[1:] != value[:-1]) | (piece[1:] != piece[:-1]))
+    same = np.empty(len(order), dtype=np.int64)
+    same[order] = np.cumsum(fresh) - 1
+    # Any of the blocks that have a string may send it; its value chooses, so that all send about as much.
+    at = np.flatnonzero(fresh)
+    held = np.diff(np.append(at, len(order))).astype(np.uint64)
+    chosen = order[at + (mixed(value[at]) % held).astype(np.int64)]
+    return group["block"].to_pylist(), read, whose, same, chosen
+
+
+def _choose(group: pa.Table) -> pa.Table:
+    """To each block the strings of a bucket that it is to send."""
+    blocks, read, whose, _, chosen = _told(group)
+    chosen = np.sort(chosen)
+    columns = [np.concatenate(read[n])[chosen] for n in _WANTED]
+    bounds = np.searchsorted(whose[chosen], np.arange(len(blocks) + 1))
+    bucket = group["bucket"][0].as_py()
+    out = [(blocks[r], bucket, *(_pressed(x[a:b]) for x in columns)) for r, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if a < b]
+    kinds = {"block": pa.string(), "bucket": pa.int64()} | dict.fromkeys(_WANTED, pa.binary())
+    return pa.table({n: pa.array([x[i] for x in out], t) for i, (n, t) in enumerate(kinds.items())})
+
+
+def _send_transforms(pieces: int) -> Callable:
+    """Per block and bucket: the strings that the block is chosen for as transforms."""
+    schema = pa.schema([("bucket", pa.int64()), ("block", pa.string()), *((n, pa.binary()) for n in _TRANSFORM)])
+
+    def run(_: tuple, packed: pa.Table, wanted: pa.Table) -> pa.Table:
+        if not packed.num_rows or not wanted.num_rows:
+            return pa.table({f.name: pa.array([], f.type) for f in schema})
+        data, _ = buffers(_unpack(packed["rows"][0].as_py())["text"])
+        read = {n: [_plain(x.as_py(), kind) for x in wanted[n]] for n, kind in _WANTED.items()}
+        piece, begin, sizes = (np.concatenate(read[n]).astype(np.int64) for n in _WANTED)
+        cuts = np.append(0, np.cumsum([len(x) for x in read["sizes"]]))
+        buckets = wanted["bucket"].to_pylist()
+        shard = np.repeat(np.arange(len(buckets)), np.diff(cuts)) * pieces + piece
+        out = []
         # Whole shards that have about a slice of symbols together are put in order together.
-        filled = np.cumsum(sizes + 1)
+        filled = np.append(0, np.cumsum(sizes + 1))
         at = 0
-        while at < len(cuts) - 1:
+        while at < len(buckets):
             low = cuts[at]
-            done = filled[low] - sizes[low] - 1
-            to = max(at + 1, int(np.searchsorted(filled[cuts[1:] - 1], done + _ORDERED, side="right")))
+            to = max(at + 1, int(np.searchsorted(filled[cuts[1:]], filled[low] + _ORDERED, side="right")))
             high = cuts[to]
-            heads, symbols, own = _transforms(data, begin[low:high], sizes[low:high], (bucket * pieces + piece)[low:high])
-            for a, b in zip(cuts[at:to], cuts[at + 1 : to + 1]):
-                first, last = (int(filled[i] - sizes[i] - 1 - done) for i in (a, b - 1))
-                c, d = np.searchsorted(copy_of, [a, b])
-                columns = (np.bincount(piece[a:b], minlength=pieces), sizes[a:b], least[a:b], most[a:b] - least[a:b], begin[a:b])
-                columns += (heads[a - low : b - low], value[a:b], symbols[first : last + int(own[b - 1 - low])], copies[c:d], copy_of[c:d] - a)
-                sent = (_pressed(x.astype(kind)) for x, kind in zip(columns, _SHARD.values()))
-                out.append((int(bucket[a]), packed["block"][0].as_py(), *sent))
+            heads, symbols, _ = _transforms(data, begin[low:high], sizes[low:high], shard[low:high])
+            for i in range(at, to):
+                a, b = cuts[i], cuts[i + 1]
+                columns = (heads[a - low : b - low], symbols[filled[a] - filled[low] : filled[b] - filled[low]])
+                sent = (_pressed(x.astype(kind)) for x, kind in zip(columns, _TRANSFORM.values()))
+                out.append((buckets[i], packed["block"][0].as_py(), *sent))
             at = to
         give_back()
         return pa.table({f.name: pa.array(c, f.type) for f, c in zip(schema, zip(*out))}, schema=schema)
@@ -328,12 +447,14 @@ def _walk(symbols: np.ndarray, heads: np.ndarray, shard: np.ndarray, shard_first
     return back
 
 
-def merged(symbols: np.ndarray, back: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def merged(symbols: np.ndarray, back: np.ndarray, length: int, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The interleave of the shards' elements by their first ``length`` symbols, and the number of the
-    interval of equal ones that each place belongs to."""
+    interval of equal ones that each place belongs to. Of ``starts``, only of the elements that lie ``length`` symbols
+    left of these."""
     n = len(symbols)
-    source, interval = np.arange(n, dtype=np.int32), np.zeros(n, dtype=np.int32)
-    places = np.arange(n, dtype=np.uint64)
+    source = np.arange(n, dtype=np.int32) if starts is None else starts.astype(np.int32)
+    interval = np.zeros(len(source), dtype=np.int32)
+    places = np.arange(len(source), dtype=np.uint64)
 
     def refined(ranks: np.ndarray, jump: np.ndarray) -> None:
         # A stable distribution of the interleave by the symbols to the left, which then come first.
@@ -350,118 +471,121 @@ def merged(symbols: np.ndarray, back: np.ndarray, length: int) -> tuple[np.ndarr
         interval[0] = 0
         np.cumsum(parted, dtype=np.int32, out=interval[1:])
 
+    wide = symbols.astype(np.uint64)
     steps = length // _STEP
     if steps:
-        wide = symbols.astype(np.uint64)
         chunk, jump = wide, back
         for i in range(1, _STEP):
             chunk = chunk | wide[jump] << _U(9 * i)
             jump = back[jump]
-        # The first distribution is also the one that numbers the chunks in order.
+        # The chunks numbered in order.
         order = np.argsort(chunk)
         chunk = chunk[order]
-        np.cumsum(chunk[1:] != chunk[:-1], dtype=np.int32, out=interval[1:])
-        ranks = np.empty(n, dtype=np.uint64)
-        ranks[order] = interval
-        source = jump[order]
-        del chunk, wide
-        for _ in range(steps - 1):
+        ranks = np.zeros(n, dtype=np.uint64)
+        ranks[order[1:]] = np.cumsum(chunk[1:] != chunk[:-1])
+        del chunk
+        for _ in range(steps):
             refined(ranks, jump)
     for _ in range(length - steps * _STEP):
-        refined(symbols.astype(np.uint64), back)
+        refined(wide, back)
     return source, interval
 
 
-def _merge_shards(length: int, pieces: int) -> Callable:
+def _shared_ranges(
+    length: int, row: np.ndarray, sizes: np.ndarray, heads: np.ndarray, symbols: np.ndarray, lowest: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """Of different strings by shard, which ``row`` numbers, with their transforms and the least document of each:
+    ranges of matches of a string that begin in the same least document, as string, from, to, document."""
+    own = sizes + 1
+    first = np.cumsum(own) - own
+    string_first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+    shard_first = first[string_first]
+    shard = np.repeat(np.arange(len(string_first)), np.diff(np.append(string_first, len(row))))
+    heads = heads + shard_first[shard]
+    symbols = symbols.astype(np.uint16) + np.uint16(1)
+    symbols[heads] = 0
+    back = _walk(symbols, heads, np.repeat(shard, own), shard_first, string_first)
+    # Which match of which string an element begins, by going left from the terminators.
+    matches = sizes - length + 1
+    match_first = np.cumsum(matches) - matches
+    match = np.empty(len(symbols), dtype=np.int32)
+    starts = np.zeros(len(symbols), dtype=bool)  # from where ``length`` symbols to the left a match begins
+    here = shard_first[shard] + np.arange(len(sizes)) - string_first[shard]
+    active, until, most = np.arange(len(sizes)), int(sizes.min()), int(sizes.max())
+    for step in range(most + 1):
+        if step > until:
+            going = np.flatnonzero(sizes[active] >= step)
+            active, here = active[going], here[going]
+        if step:
+            here = back[here]
+        if step <= most - length:
+            starts[here if step <= until - length else here[sizes[active] - length >= step]] = True
+        if step >= length:
+            match[here] = match_first[active] + sizes[active] - step
+    source, interval = merged(symbols, back, length, np.flatnonzero(starts))
+    place = match[source]
+    string_of = np.repeat(np.arange(len(sizes), dtype=np.int32), matches)
+    group_first = np.flatnonzero(np.append(True, interval[1:] != interval[:-1]))
+    first_seen = np.minimum.reduceat(lowest[string_of[place]], group_first)
+    origin = np.empty(len(place), dtype=np.int64)
+    origin[place] = np.repeat(first_seen, np.diff(np.append(group_first, len(place))))
+    cut = np.append(True, (origin[1:] != origin[:-1]) | (string_of[1:] != string_of[:-1]))
+    low = np.flatnonzero(cut)
+    high = np.append(low[1:], len(origin))
+    string = string_of[low]
+    return string, low - match_first[string], high - match_first[string], origin[low]
+
+
+def _merge_shards(length: int) -> Callable:
     """To each block: its strings' matches, as ranges, that begin in a smaller document than some copy's."""
     kinds = {"block": pa.string()} | dict.fromkeys(("begin", "low", "high", "least", "copies", "copied"), pa.binary())
 
-    def run(group: pa.Table) -> pa.Table:
-        rows = group.num_rows
-        read = {n: [_plain(x.as_py(), kind) for x in group[n]] for n, kind in _SHARD.items()}
-        counts = np.stack(read["counts"])
-        taken = np.zeros(rows, dtype=np.int64)  # strings and elements of each shard row that earlier pieces had
-        used = np.zeros(rows, dtype=np.int64)
-        kept: list[list[tuple]] = [[] for _ in range(rows)]
-        for piece in range(pieces):
-            some = np.flatnonzero(counts[:, piece])
-            if not len(some):
-                continue
-            columns: dict[str, list[np.ndarray]] = {n: [] for n in ("sizes", "least", "most", "begin", "heads", "value", "symbols")}
-            elements = []
-            for r in some:
-                a, b = taken[r], taken[r] + counts[r, piece]
-                for n in ("sizes", "least", "most", "begin", "heads", "value"):
-                    columns[n].append(read[n][r][a:b])
-                size = int(columns["sizes"][-1].sum() + (b - a))
-                columns["symbols"].append(read["symbols"][r][used[r] : used[r] + size])
-                elements.append(size)
-                taken[r], used[r] = b, used[r] + size
-            strings = counts[some, piece]
-            shard_first = np.cumsum(elements) - elements
-            string_first = np.cumsum(strings) - strings
-            of_string = np.repeat(np.arange(len(some)), strings)
-            sizes, least, most, begin = (np.concatenate(columns[n]) for n in ("sizes", "least", "most", "begin"))
-            sizes = sizes.astype(np.int64)
-            heads = np.concatenate(columns["heads"]) + shard_first[of_string]
-            symbols = np.concatenate(columns["symbols"]).astype(np.uint16) + np.uint16(1)
-            symbols[heads] = 0
-            back = _walk(symbols, heads, np.repeat(np.arange(len(some)), elements), shard_first, string_first)
-            # Equal strings of several shards are one; the others' elements go no further.
-            _, chosen, same = np.unique(np.concatenate(columns["value"]), return_index=True, return_inverse=True)
-            lowest = np.full(len(chosen), _LAST, dtype=np.int64)
-            np.minimum.at(lowest, same, least)
-            # Which match of which string an element begins, by going left from the terminators.
-            matches = sizes[chosen] - length + 1
-            match_first = np.cumsum(matches) - matches
-            match = np.full(len(symbols), -2, dtype=np.int32)
-            here = (shard_first[of_string] + np.arange(len(sizes)) - string_first[of_string])[chosen]
-            match[here] = -1
-            active, size = np.arange(len(chosen)), sizes[chosen]
-            for step in range(1, int(size.max()) + 1):
-                going = size[active] >= step
-                active, here = active[going], back[here[going]]
-                match[here] = match_first[active] + size[active] - step if step >= length else -1
-            keep = np.flatnonzero(match > -2)
-            renumbered = np.empty(len(symbols), dtype=np.int32)
-            renumbered[keep] = np.arange(len(keep), dtype=np.int32)
-            source, interval = merged(symbols[keep], renumbered[back[keep]], length)
-            place = match[keep][source]
-            at = np.flatnonzero(place >= 0)
-            place, interval = place[at], interval[at]
-            string_of = np.repeat(np.arange(len(chosen), dtype=np.int32), matches)
-            group_first = np.flatnonzero(np.append(True, interval[1:] != interval[:-1]))
-            first_seen = np.minimum.reduceat(lowest[string_of[place]], group_first)
-            origin = np.empty(len(place), dtype=np.int64)
-            origin[place] = np.repeat(first_seen, np.diff(np.append(group_first, len(place))))
-            # Ranges of matches of a string that begin in the same smaller document, for each of its copies.
-            cut = np.append(True, (origin[1:] != origin[:-1]) | (string_of[1:] != string_of[:-1]))
-            low = np.flatnonzero(cut)
-            high = np.append(low[1:], len(origin))
-            ranges = np.searchsorted(string_of[low], np.arange(len(chosen) + 1))
-            a, b = ranges[same], ranges[same + 1]
-            s, at = np.repeat(np.arange(len(sizes)), b - a), _expanded(a, b - a)
-            low, high, origin = low[at] - match_first[same[s]], high[at] - match_first[same[s]], origin[low[at]]
-            told = np.flatnonzero(origin < least[s] + most[s])
-            low, high, s, origin = low[told], high[told], s[told], origin[told]
-            bounds = np.searchsorted(s, np.append(string_first, len(sizes)))
-            for i, r in enumerate(some):
-                a, b = bounds[i], bounds[i + 1]
-                if a < b:
-                    t = s[a:b]
-                    number = t - string_first[i] + taken[r] - counts[r, piece]
-                    kept[r].append((begin[t], low[a:b], high[a:b], origin[a:b], number))
+    def run(_: tuple, told: pa.Table, shards: pa.Table) -> pa.Table:
+        if not told.num_rows:
+            return pa.table({n: pa.array([], t) for n, t in kinds.items()})
+        blocks, read, whose, same, chosen = _told(told)
+        sizes, least, most, begin = (np.concatenate(read[n]).astype(np.int64) for n in ("sizes", "least", "most", "begin"))
+        lowest = np.full(len(chosen), _LAST, dtype=np.int64)
+        np.minimum.at(lowest, same, least)
+        # The strings sent lie by block and piece in the transforms; they are taken by piece and block.
+        shards = shards.sort_by("block")
+        heads, symbols = (np.concatenate([_plain(x.as_py(), kind) for x in shards[n]]) for n, kind in _TRANSFORM.items())
+        sent = np.sort(chosen)
+        own = sizes[sent] + 1
+        first = np.cumsum(own) - own
+        piece = np.concatenate(read["piece"])[sent]
+        order = np.argsort(piece, kind="stable")
+        piece = piece[order]
+        cuts = np.append(np.flatnonzero(np.append(True, piece[1:] != piece[:-1])), len(piece))
+        found = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            some = order[a:b]
+            string = sent[some]
+            elements = _expanded(first[some], own[some])
+            ranges = _shared_ranges(length, whose[string], sizes[string], heads[some], symbols[elements], lowest[same[string]])
+            found.append((same[string[ranges[0]]], *ranges[1:]))
+        of, low, high, origin = (np.concatenate(c) for c in zip(*found))
+        # From the different strings to each block's.
+        order = np.argsort(of, kind="stable")
+        bounds = np.searchsorted(of[order], np.arange(len(chosen) + 1))
+        a, b = bounds[same], bounds[same + 1]
+        s, at = np.repeat(np.arange(len(sizes)), b - a), order[_expanded(a, b - a)]
+        low, high, origin = low[at], high[at], origin[at]
+        gone = np.flatnonzero(origin < least[s] + most[s])
+        low, high, s, origin = low[gone].astype(np.int16), high[gone].astype(np.int16), s[gone], origin[gone]
+        strings = np.searchsorted(whose, np.arange(len(blocks) + 1))
+        bounds = np.searchsorted(s, strings)
         out = []
-        for r in range(rows):
-            if not kept[r]:
+        for r, block in enumerate(blocks):
+            a, b = bounds[r], bounds[r + 1]
+            if a == b:
                 continue
-            begin, low, high, origin, number = (np.concatenate(c) for c in zip(*kept[r]))
             copies, copy_of = read["copies"][r], read["copy_of"][r]
-            told = np.isin(copy_of, number)
-            of = np.zeros(len(read["sizes"][r]), dtype=np.int64)
-            of[number] = begin
-            columns = (begin, low.astype(np.int16), high.astype(np.int16), origin, copies[told], of[copy_of[told]])
-            out.append((group["block"][r].as_py(), *map(_pressed, columns)))
+            number = s[a:b] - strings[r]
+            twice = np.isin(copy_of, number)
+            columns = (begin[s[a:b]], low[a:b], high[a:b], origin[a:b], copies[twice], begin[strings[r] + copy_of[twice]])
+            out.append((block, *map(_pressed, columns)))
+        give_back()
         return pa.table({n: pa.array([x[i] for x in out], t) for i, (n, t) in enumerate(kinds.items())})
 
     return run
@@ -542,15 +666,23 @@ def remove_repeated_bytes(
     shared = (
         packed.mapInArrow(_send_keys(length, buckets), "bucket long, block string, one binary, more binary")
         .groupBy("bucket")
-        .applyInArrow(thrifty(_shared_keys), "block string, bucket long, keys binary")
+        .applyInArrow(thrifty(_shared_keys), "block string, bucket long, prints binary")
     )
-    shards = (
+    told = (
         packed.groupBy("block")
         .cogroup(shared.groupBy("block"))
         .applyInArrow(_send_shards(length, buckets, pieces), "bucket long, block string, " + ", ".join(f"{c} binary" for c in _SHARD))
     )
-    answers = shards.groupBy("bucket").applyInArrow(
-        thrifty(_merge_shards(length, pieces)), "block string, begin binary, low binary, high binary, least binary, copies binary, copied binary"
+    wanted = told.groupBy("bucket").applyInArrow(thrifty(_choose), "block string, bucket long, " + ", ".join(f"{c} binary" for c in _WANTED))
+    shards = (
+        packed.groupBy("block")
+        .cogroup(wanted.groupBy("block"))
+        .applyInArrow(_send_transforms(pieces), "bucket long, block string, " + ", ".join(f"{c} binary" for c in _TRANSFORM))
+    )
+    answers = (
+        told.groupBy("bucket")
+        .cogroup(shards.groupBy("bucket"))
+        .applyInArrow(_merge_shards(length), "block string, begin binary, low binary, high binary, least binary, copies binary, copied binary")
     )
     kinds = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "removed": "array<array<bigint>>", "left": "binary", "kept_sha256": "string"}
     ddl = ", ".join([f"own_id {rows.schema['own_id'].dataType.simpleString()}", *(f"{n} {kinds[n]}" for n in outputs)])
